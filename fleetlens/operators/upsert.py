@@ -93,8 +93,8 @@ def append_history(batch: DataFrame, version: int, path: str, spec: TableSpec) -
         {"window_date": F.to_date(spec.updated), "batch": F.lit(version).cast("long")}
     )
     (
-        dated.repartition("window_date")
-        .sortWithinPartitions(*spec.keys)
+        dated.hint("rebalance", "window_date")
+        .sortWithinPartitions("window_date", *spec.keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date", "batch")

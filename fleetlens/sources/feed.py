@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -27,23 +27,27 @@ def _explode_feed(payloads: DataFrame, schema: StructType, keep: list[str]) -> D
     return vehicles.select(*keep, *LINE_FIELDS, *[F.col(f"v.{f}") for f in FEED_VEHICLE.names])
 
 
-def _with_time_parts(rows: DataFrame) -> DataFrame:
-    """Replace ISO time ``ta`` by epoch milliseconds and add local text ``ta_tempo``; both NULL if unreadable."""
-    return (
-        rows.withColumn("_gps", parse_iso(F.col("ta")))
-        .withColumns({"ta": epoch_millis(F.col("_gps")), "ta_tempo": local_text(F.col("_gps"))})
-        .drop("_gps")
-    )
+def _gps() -> Column:
+    return parse_iso(F.col("ta"))
 
 
 def flatten_feed(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed reports from payloads; ``keep`` names payload columns to carry along."""
-    return _with_time_parts(_explode_feed(payloads, FEED, list(keep))).select(*keep, *REPORT.names)
+    """Typed reports from payloads; ``keep`` names payload columns to carry along.
+
+    The ISO time becomes epoch milliseconds and local text, both NULL where it cannot be read.
+    """
+    rows = _explode_feed(payloads, FEED, list(keep))
+    return rows.withColumns({"ta": epoch_millis(_gps()), "ta_tempo": local_text(_gps())}).select(*keep, *REPORT.names)
 
 
 def flatten_checked(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed reports and dead letters from payloads, every field read as text before it is coerced."""
-    return split_valid(_with_time_parts(_explode_feed(payloads, _as_text(FEED), [])).select(*REPORT.names))
+    """Typed reports and dead letters from payloads, every field read as text before it is coerced.
+
+    A time that cannot be read stays as it is, so that the dead letter shows it.
+    """
+    rows = _explode_feed(payloads, _as_text(FEED), [])
+    times = {"ta": F.coalesce(epoch_millis(_gps()).cast("string"), "ta"), "ta_tempo": local_text(_gps())}
+    return split_valid(rows.withColumns(times).select(*REPORT.names))
 
 
 def read_payload_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
