@@ -49,10 +49,13 @@ SELECT ts,
     WHEN event_type = 'error' AND event_id % 3 = 1 THEN concat('JobFailedException job=', CAST(event_id AS VARCHAR))
     WHEN event_type = 'error' THEN concat('Sink: sink_', CASE event_id % 4 WHEN 0 THEN 'speed' WHEN 1 THEN 'headway'
       WHEN 2 THEN 'status' ELSE 'latest_pos' END)
+    WHEN event_type = 'signup' AND event_id % 17 = 0 THEN concat('DeserializationException for id ', CAST(event_id AS VARCHAR))
     WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'HTTP GET /schemas/ids/1'
     WHEN event_type = 'signup' THEN 'HTTP POST Registering new schema'
+    WHEN event_type = 'view' AND event_id % 7 = 0 THEN concat('INFO connection accepted from client ', CAST(event_id AS VARCHAR))
     WHEN event_type = 'view' THEN concat('partition ', CAST(event_id % 4 AS VARCHAR), ' replica isr ok posicoes')
     WHEN event_type = 'purchase' THEN concat('mensagem enviada offset=', CAST(event_id AS VARCHAR))
+    WHEN event_id % 11 = 0 THEN concat('java.lang.OutOfMemoryError in task ', CAST(event_id AS VARCHAR))
     ELSE concat('task heartbeat ', CAST(event_id AS VARCHAR)) END AS line
 FROM events
 """

@@ -90,10 +90,13 @@ def logs_from_events(events: DataFrame) -> DataFrame:
                F.concat(F.lit("Checkpoint "), number, F.lit(" completed in "), millis, F.lit(" ms")))
         .when((kind == "error") & (event % 3 == 1), F.concat(F.lit("JobFailedException job="), number))
         .when(kind == "error", F.concat(F.lit("Sink: sink_"), sink))
+        .when((kind == "signup") & (event % 17 == 0), F.concat(F.lit("DeserializationException for id "), number))
         .when((kind == "signup") & (event % 2 == 0), F.lit("HTTP GET /schemas/ids/1"))
         .when(kind == "signup", F.lit("HTTP POST Registering new schema"))
+        .when((kind == "view") & (event % 7 == 0), F.concat(F.lit("INFO connection accepted from client "), number))
         .when(kind == "view", F.concat(F.lit("partition "), (event % 4).cast("string"), F.lit(" replica isr ok posicoes")))
         .when(kind == "purchase", F.concat(F.lit("mensagem enviada offset="), number))
+        .when(event % 11 == 0, F.concat(F.lit("java.lang.OutOfMemoryError in task "), number))
         .otherwise(F.concat(F.lit("task heartbeat "), number))
     )
     return events.select(
