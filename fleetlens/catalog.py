@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from fleetlens.functions import display, timing
 from fleetlens.operators import constraints, deadletter, logmetrics, upsert
 from fleetlens.operators.lag import CHUNK
 from fleetlens.plans import fleet, headway, motion, panels, routes
-from fleetlens.schemas import LATEST_POSITION
-from fleetlens.session import ensure_checkpoint_dir
+from fleetlens.schemas import LATEST_POSITION, TABLES
+from fleetlens.session import ensure_checkpoint_dir, shared_dir
 from fleetlens.sources import derived, feed
 from fleetlens.sources.positions import with_gps_timestamp
+from fleetlens.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +166,35 @@ BATCH: dict[str, Query] = {
     **{form: _panel(key) for form, key in LOG_FORMS.items()},
     **{f"panel_{key}": _panel(key) for key in panels.PANELS if key not in LOG_FORMS.values()},
 }
+
+
+def _stream(name: str, spec) -> Query:
+    """Run one continuous job over all reports that are there now, and return the table it keeps."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        home = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+        cfg = jobs.JobConfig(f"{home}/tables", f"{home}/checkpoints", (("availableNow", True),))
+        schema = spark.read.parquet(f"{folder}/events.parquet").schema
+
+        def source() -> DataFrame:
+            reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            return derived.positions_from_events(reader.parquet(folder))
+
+        jobs.start_all(spark, source, cfg, (name,))[name].awaitTermination()
+        if spec.updated in spec.keys:
+            return upsert.read_history(spark, cfg.table(spec), spec).select(*spec.columns)
+        return upsert.read_table(spark, cfg.table(spec), spec.schema)
+
+    return run
+
+
+STREAMS: dict[str, Query] = {
+    f"stream_{name}": _stream(name, spec) for name, spec in zip(jobs.JOBS, (
+        TABLES["tb_onibus_ativos_por_linha"], TABLES["tb_velocidade_por_linha"],
+        TABLES["tb_historico_velocidade_por_linha"], TABLES["tb_headway_por_linha"],
+        TABLES["tb_historico_headway_por_linha"], TABLES["tb_posicao_atual_onibus"],
+        TABLES["tb_veiculos_em_operacao"], TABLES["tb_linhas_onibus_filtro"],
+    ), strict=True)
+}
+
+QUERIES: dict[str, Query] = {**BATCH, **STREAMS}

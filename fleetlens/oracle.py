@@ -121,6 +121,17 @@ SELECT prefixo, linha, (SELECT shape_dist_traveled FROM shapes
   ORDER BY (shape_pt_lat - latitude) * (shape_pt_lat - latitude) + (shape_pt_lon - longitude) * (shape_pt_lon - longitude),
     shape_dist_traveled LIMIT 1) AS metres
 FROM latest""",
+    "passed": """
+SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 2 SECOND AS mark FROM positions""",
+    "passed_status": f"""
+SELECT p AS prefixo, linha, CASE sl WHEN 2 THEN '{display.INBOUND}' ELSE '{display.OUTBOUND}' END AS sentido,
+  round(speed_kmh, 1) AS velocidade_kmh, round(assumed, 2) AS headway_minutos,
+  CASE WHEN speed_kmh <= 2.0 THEN '{display.STOPPED}' WHEN assumed > 10.0 THEN '{display.DELAYED}'
+    ELSE '{display.NORMAL}' END AS status,
+  event_time AS ultima_atualizacao
+FROM (SELECT *, CASE WHEN speed_kmh < 3.0 THEN 9.72 ELSE coalesce(gap_km / speed_kmh * 60.0, 7.5) END AS assumed
+  FROM motion WHERE event_time <= (SELECT mark FROM passed))
+QUALIFY row_number() OVER (PARTITION BY p ORDER BY event_time DESC, event_id DESC) = 1""",
     "extents": """
 SELECT route_id AS linha, direction_id, max(shape_dist_traveled) / 1000.0 AS dist_km
 FROM shapes JOIN (SELECT DISTINCT route_id, shape_id, direction_id FROM trips) t USING (shape_id)
@@ -130,7 +141,7 @@ GROUP BY route_id, direction_id""",
 _NEEDS = {
     "fixes": ["positions"], "steps": ["fixes"], "speeds": ["steps"], "neighbours": ["positions"], "gaps": ["neighbours"],
     "headways": ["speeds", "gaps"], "motion": ["steps", "gaps"], "latest": ["positions"], "status": ["motion"],
-    "catalogue": ["positions"], "placed": ["latest", "shapes"], "extents": ["shapes", "trips"],
+    "passed": ["positions"], "passed_status": ["motion", "passed"], "catalogue": ["positions"], "placed": ["latest", "shapes"], "extents": ["shapes", "trips"],
 }
 
 
@@ -382,3 +393,21 @@ ORACLES: dict[str, str] = {
     **{form: _panel_sql(panels.PANELS[key]) for form, key in LOG_FORMS.items()},
     **{f"panel_{key}": _panel_sql(p) for key, p in panels.PANELS.items() if key not in LOG_FORMS.values()},
 }
+
+# Continuous jobs. Ordered rows come out once the watermark, two seconds behind the newest report, has passed them.
+_PASSED = "event_time <= (SELECT mark FROM passed)"
+_CLOSED = "date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM passed)"
+ORACLES |= {
+    "stream_active_vehicles": ORACLES["active_vehicles"],
+    "stream_speed_by_line": _sql(f"{_SPEED_LINE} AND {_PASSED} GROUP BY linha", "speeds", "passed"),
+    "stream_speed_history": _sql(
+        f"{_SPEED_HIST} AND {_CLOSED} GROUP BY linha, date_trunc('minute', event_time)", "speeds", "passed"
+    ),
+    "stream_headway_by_line": _sql(f"{_HEADWAY_LINE} WHERE {_PASSED} GROUP BY linha", "headways", "passed"),
+    "stream_headway_history": _sql(
+        f"{_HEADWAY_HIST} WHERE {_CLOSED} GROUP BY linha, date_trunc('minute', event_time)", "headways", "passed"
+    ),
+    "stream_latest_position": ORACLES["latest_position"],
+    "stream_vehicle_status": _sql("SELECT * FROM passed_status", "passed_status"),
+    "stream_line_catalogue": ORACLES["line_catalogue"],
+}
