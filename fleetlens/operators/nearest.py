@@ -10,6 +10,7 @@ than quiet ones, and since a cell is dropped only when it cannot hold the answer
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +20,14 @@ from fleetlens.functions.geo import squared_degrees
 
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
-LEVELS = 3
+# A finest cell should hold about this many points even if all of them lay in one box.
+POINTS_PER_CELL = 16
+
+
+def levels_for(points: int) -> int:
+    """Levels that split a box of 2x2 coarsest cells finely enough for ``points``."""
+    cells = max(points / POINTS_PER_CELL / 4, 1.0)
+    return max(1, math.ceil(math.log(cells, FAN * FAN)))
 
 
 def _cell(coordinate: Column, finest: float) -> Column:
@@ -54,23 +62,22 @@ def nearest_point(
     point_at: Sequence[str],
     value: str,
     radius: float,
-    levels: int = LEVELS,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``value`` of the nearest point within +-``radius`` degrees of every left row, NULL when there is none.
 
-    Of several points at the same distance the smallest ``value`` is taken.
+    Of several points at the same distance the smallest ``value`` is taken. ``levels`` changes the work, never the
+    result; by default it follows from the number of points, which Parquet answers from its footers.
     """
+    levels = levels_for(points.count()) if levels is None else levels
     lat, lon = left_at
     # Slightly wider cells than the radius, so rounding at a box edge cannot push a point out of the 3x3 block.
     finest = radius * 1.0001 / FAN**levels
     located = points.select(
         F.col(point_at[0]).alias("plat"), F.col(point_at[1]).alias("plon"), F.col(value).alias("_value")
     ).where(F.col("plat").isNotNull() & F.col("plon").isNotNull())
-    distinct_points = (
-        located.groupBy("plat", "plon")
-        .agg(F.min("_value").alias("_value"))
-        .withColumns({"ci": _cell(F.col("plat"), finest), "cj": _cell(F.col("plon"), finest)})
-    )
+    located = located.withColumns({"ci": _cell(F.col("plat"), finest), "cj": _cell(F.col("plon"), finest)})
+    distinct_points = located.groupBy("ci", "cj", "plat", "plon").agg(F.min("_value").alias("_value"))
 
     spots = (
         left.select(F.col(lat).alias("slat"), F.col(lon).alias("slon"))
@@ -86,7 +93,7 @@ def nearest_point(
     slat, slon = F.col("slat"), F.col("slon")
     box = (slat - radius, slat + radius, slon - radius, slon + radius)
     per_spot = Window.partitionBy("slat", "slon")
-    for cells in _cell_bounds(distinct_points, levels):
+    for cells in _cell_bounds(located, levels):
         children = cells.withColumns({"pi": _parent(F.col("ci")), "pj": _parent(F.col("cj"))})
         touches = (
             (F.col("lat1") >= box[0]) & (F.col("lat0") <= box[1]) & (F.col("lon1") >= box[2]) & (F.col("lon0") <= box[3])

@@ -25,6 +25,11 @@ from fleetlens.streaming.lag_state import stream_lag
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
+# Seconds of one key's reports that a task orders at a time, about a thousand rows: a vehicle reports once per poll, a
+# line once per vehicle and poll.
+VEHICLE_SLOT = 6 * 3600
+LINE_SLOT = 600
+
 
 @dataclass(frozen=True)
 class JobConfig:
@@ -56,13 +61,13 @@ def _start(df: DataFrame, cfg: JobConfig, name: str, body: Callable[[DataFrame,
 def previous_fixes(positions: DataFrame) -> DataFrame:
     """Every report with its vehicle's previous fix."""
     values = {"from_py": "py", "from_px": "px", "from_us": "event_time"}
-    rows = stream_lag(watermarked(positions), ["p"], ["c", "sl", "py", "px"], values)
+    rows = stream_lag(watermarked(positions), ["p"], ["c", "sl", "py", "px"], values, VEHICLE_SLOT)
     return rows.withColumn("from_time", F.timestamp_micros("from_us")).drop("from_us")
 
 
 def neighbours(positions: DataFrame) -> DataFrame:
     """Every report with the previous report on its line and direction."""
-    return stream_lag(watermarked(positions), ["c", "sl"], ["p", "py", "px"], headway.NEIGHBOUR)
+    return stream_lag(watermarked(positions), ["c", "sl"], ["p", "py", "px"], headway.NEIGHBOUR, LINE_SLOT)
 
 
 def speed_events(positions: DataFrame) -> DataFrame:

@@ -1,42 +1,76 @@
 """LAG in event-time order over a stream.
 
-Streams reject ``lag`` because a row's predecessor may still arrive. The state of a key is the rows ahead of the watermark
-plus the newest row behind it. When the watermark passes buffered rows they are sorted and sent on with their
-predecessors. State per key is therefore bounded by what arrives within the watermark delay and one micro-batch, and rows
-are kept as they come, never as one collected group. This is the only Python-worker code of the package; the built-in
+Streams reject ``lag`` because a row's predecessor may still arrive, so rows wait until the watermark passes them and are
+then sorted and sent on with their predecessor. This is the only Python-worker code of the package; the built-in
 operators have no ordered per-key state.
+
+A key may be hot, so its rows are not gathered under the key alone. They are split by time slot:
+
+* :class:`SlotLag` runs per (key, slot). It sorts the slot's rows and finds every predecessor inside the slot. When the
+  watermark reaches the slot's end it adds one boundary row, a copy of the slot's last row, and forgets the slot.
+* :class:`SlotStitch` runs per key on slot-first and boundary rows only, two per slot, and gives every slot-first row the
+  boundary row before it. All other rows pass through it in lanes of their own, spread like the slots.
+
+A task thus holds one slot of one key at a time, however many rows a key has, and state per key is one row plus the slots
+the watermark has not closed.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType, TimestampType
+
+# Helper columns: real event time in microseconds, slot start, and what a row is for.
+_US, _SLOT, _ROLE, _LANE = "event_us", "slot_us", "slot_role", "lane"
+_PLAIN, _FIRST, _BOUNDARY = 0, 1, 2
+
+# Workers get the processors themselves and need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _values(column: pd.Series) -> list:
+    """Python values of a column, with None for missing ones."""
+    values = column.tolist()
+    return [None if pd.isna(v) else v for v in values] if column.hasnans else values
 
-_US = "event_us"
 
+def _rows(batch: pd.DataFrame, names: Sequence[str]) -> list[tuple]:
+    return list(zip(*[_values(batch[c]) for c in names]))
 
-class EventTimeLag(StatefulProcessor):
-    """Sorts a key's rows by ``(event_us, tie)`` behind the watermark and adds columns of the row before."""
 
-    def __init__(self, row: StructType, keys: Sequence[str], tie: str, values: dict[str, str]):
-        self._row = StructType([f for f in row.fields if f.name not in keys])
+def _frame(rows: Sequence[Sequence], names: Sequence[str]) -> pd.DataFrame:
+    """A frame of Python values; object columns keep integers next to None whole."""
+    return pd.DataFrame({n: pd.Series(v, dtype=object) for n, v in zip(names, zip(*rows))})
+
+
+class SlotLag(StatefulProcessor):
+    """Predecessors within one slot of one key; ``values`` maps new columns to row columns."""
+
+    def __init__(self, row: StructType, keys: Sequence[str], tie: str, values: dict[str, str], slot_us: int):
+        self._row = row
         self._keys = list(keys)
-        self._tie = tie
-        self._values = dict(values)
+        self._at, self._tie = row.names.index(_US), row.names.index(tie)
+        self._sources = [row.names.index(old) for old in values.values()]
+        self._names = [*keys, *row.names, *values, _SLOT, _ROLE, "event_time"]
+        self._width = slot_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._ahead = handle.getListState("ahead", self._row)
+        # One state entry per arriving batch, column by column.
+        packed = StructType([StructField(f.name, ArrayType(f.dataType)) for f in self._row.fields])
+        self._ahead = handle.getListState("ahead", packed)
         self._last = handle.getValueState("last", self._row)
         self._timer = handle.getValueState("timer", StructType([StructField("ms", LongType())]))
 
     def _wait_for(self, event_us: int) -> None:
-        """Keep one timer, at the first millisecond that is not before the earliest buffered row."""
+        """Keep one timer, at the first whole millisecond not before ``event_us``."""
         due = -(-int(event_us) // 1000)
         if self._timer.exists():
             current = self._timer.get()[0]
@@ -47,16 +81,15 @@ class EventTimeLag(StatefulProcessor):
         self._timer.update((due,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        floor = self._last.get()[self._row.names.index(_US)] if self._last.exists() else None
+        sent = self._last.get()[self._at] if self._last.exists() else None
         earliest = None
         for batch in rows:
-            batch = batch[self._row.names]
-            if floor is not None:
+            if sent is not None:
                 # Rows not after what was already sent on are late, as they are for any event-time window.
-                batch = batch[batch[_US] > floor]
+                batch = batch[batch[_US] > sent]
             if batch.empty:
                 continue
-            self._ahead.appendList(list(batch.astype(object).itertuples(index=False, name=None)))
+            self._ahead.appendValue(tuple(_values(batch[c]) for c in self._row.names))
             first = int(batch[_US].min())
             earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
@@ -66,62 +99,124 @@ class EventTimeLag(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._timer.clear()
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        frame = pd.DataFrame(list(self._ahead.get()), columns=self._row.names, dtype=object)
-        if frame.empty:
-            return
-        passed = frame[_US] <= limit
-        waiting, ready = frame[~passed], frame[passed].sort_values([_US, self._tie], kind="stable")
-        if waiting.empty:
+        slot = int(key[len(self._keys)])
+        end = slot + self._width
+        ready, waiting = [], []
+        for packed in self._ahead.get():
+            for row in zip(*packed):
+                (ready if row[self._at] <= limit else waiting).append(row)
+        ready.sort(key=lambda row: (row[self._at], row[self._tie]))
+        before = tuple(self._last.get()) if self._last.exists() else None
+        last = ready[-1] if ready else before
+
+        prefix = tuple(key[: len(self._keys)])
+        missing = (None,) * len(self._sources)
+        out = []
+        for row in ready:
+            found = missing if before is None else tuple(before[i] for i in self._sources)
+            role = _FIRST if before is None else _PLAIN
+            out.append((*prefix, *row, *found, slot, role, row[self._at]))
+            before = row
+        if limit >= end and last is not None:
+            out.append((*prefix, *last, *missing, slot, _BOUNDARY, end))
             self._ahead.clear()
+            self._last.clear()
         else:
-            self._ahead.put(list(waiting.itertuples(index=False, name=None)))
-            self._wait_for(int(waiting[_US].min()))
-        if ready.empty:
+            if ready:
+                self._last.update(last)
+                if waiting:
+                    self._ahead.put([tuple(map(list, zip(*waiting)))])
+                else:
+                    self._ahead.clear()
+            self._wait_for(min((row[self._at] for row in waiting), default=end))
+        if out:
+            frame = _frame(out, self._names)
+            frame["event_time"] = pd.to_datetime(frame["event_time"].astype("int64"), unit="us")
+            yield frame
+
+    def close(self) -> None:
+        pass
+
+
+class SlotStitch(StatefulProcessor):
+    """Predecessors of slot-first rows: the boundary row before them. Needs no timers, because a boundary row never
+    comes in a later micro-batch than the rows after it."""
+
+    def __init__(self, row: StructType, keys: Sequence[str], values: dict[str, str], output: Sequence[str]):
+        self._row = row
+        self._keys = list(keys)
+        self._values = dict(values)
+        self._output = list(output)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", self._row)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[len(self._keys)] >= 0:
+            for batch in rows:
+                yield batch[self._output]
             return
-        before = self._last.get() if self._last.exists() else None
-        previous = ready.shift(1)
-        if before is not None:
-            previous.iloc[0] = list(before)
-        self._last.update(tuple(ready.iloc[-1]))
-        out = ready.copy()
-        for new, source in self._values.items():
-            lagged = previous[source]
-            out[new] = lagged.where(lagged.notna(), None)
-        for name, value in zip(self._keys, key):
-            out[name] = value
-        out["event_time"] = pd.to_datetime(out[_US].astype("int64"), unit="us")
-        yield out.drop(columns=[_US])
+        # Two rows per slot of this micro-batch.
+        edges = pd.concat(list(rows), ignore_index=True)
+        edges["_after"] = edges[_ROLE] != _BOUNDARY
+        edges = edges.sort_values(["event_time", "_after"], kind="stable", ignore_index=True)
+        last = tuple(self._last.get()) if self._last.exists() else None
+        carried = {new: [] for new in self._values}
+        sources = {new: self._row.names.index(old) for new, old in self._values.items()}
+        for role, row in zip(edges[_ROLE], _rows(edges, self._row.names)):
+            for new, at in sources.items():
+                carried[new].append(None if last is None else last[at])
+            if role == _BOUNDARY:
+                last = row
+        if last is not None:
+            self._last.update(last)
+        for new, found in carried.items():
+            edges[new] = pd.Series(found, dtype=object)
+        first = edges[edges[_ROLE] == _FIRST]
+        if len(first):
+            yield first[self._output]
 
     def close(self) -> None:
         pass
 
 
 def stream_lag(
-    positions: DataFrame, keys: Sequence[str], columns: Sequence[str], values: dict[str, str], tie: str = "event_id"
+    positions: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    values: dict[str, str],
+    slot_seconds: int,
+    tie: str = "event_id",
 ) -> DataFrame:
     """Streaming twin of ``lag_over``: ``columns`` of every report with ``values`` of the key's previous report.
 
     ``positions`` must carry a watermark on ``event_time``. A source named ``event_time`` gives the previous time, as
-    microseconds. Rows come out once the watermark has passed them.
+    microseconds. Rows come out once the watermark has passed them. ``slot_seconds`` changes how the work is split, never
+    the result.
     """
+    width = slot_seconds * 1_000_000
     kept = [c for c in dict.fromkeys([*columns, tie]) if c != "event_time" and c not in keys]
-    slim = positions.select("event_time", *keys, *kept, F.unix_micros("event_time").alias(_US))
-    row = StructType([f for f in slim.schema.fields if f.name != "event_time"])
+    at = F.unix_micros("event_time")
+    slim = positions.select("event_time", *keys, *kept, at.alias(_US), (at - F.pmod(at, F.lit(width))).alias(_SLOT))
+    row = StructType([slim.schema[c] for c in [*kept, _US]])
     sources = {new: _US if old == "event_time" else old for new, old in values.items()}
     added = [StructField(new, row[old].dataType) for new, old in sources.items()]
-    carried = [slim.schema[c] for c in [*keys, *kept]]
-    output = StructType([*carried, *added, StructField("event_time", TimestampType())])
-    names = output.names
-
-    class _Ordered(EventTimeLag):
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            for out in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
-                yield out[names]
-
-    return slim.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Ordered(row, keys, tie, sources),
-        outputStructType=output,
-        outputMode="append",
-        timeMode="eventTime",
-        eventTimeColumnName="event_time",
+    key_fields = [slim.schema[k] for k in keys]
+    when = StructField("event_time", TimestampType())
+    inner = StructType([
+        *key_fields, *row.fields, *added, StructField(_SLOT, LongType()), StructField(_ROLE, IntegerType()), when
+    ])
+    in_slots = slim.groupBy(*keys, _SLOT).transformWithStateInPandas(
+        statefulProcessor=SlotLag(row, keys, tie, sources, width), outputStructType=inner, outputMode="append",
+        timeMode="eventTime", eventTimeColumnName="event_time",
+    )
+    lane = F.when(F.col(_ROLE) == _PLAIN, F.col(_SLOT)).otherwise(F.lit(-1)).alias(_LANE)
+    output = StructType([*key_fields, *[row[c] for c in kept], *added, when])
+    return (
+        in_slots.select("*", lane)
+        .groupBy(*keys, _LANE)
+        .transformWithStateInPandas(
+            statefulProcessor=SlotStitch(row, keys, sources, output.names), outputStructType=output,
+            outputMode="append", timeMode="eventTime", eventTimeColumnName="event_time",
+        )
     )
