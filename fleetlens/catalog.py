@@ -174,13 +174,8 @@ def _stream(name: str, spec) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         home = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
         cfg = jobs.JobConfig(f"{home}/tables", f"{home}/checkpoints", (("availableNow", True),))
-        schema = spark.read.parquet(f"{folder}/events.parquet").schema
-
-        def source() -> DataFrame:
-            reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            return derived.positions_from_events(reader.parquet(folder))
-
-        jobs.start_all(spark, source, cfg, (name,))[name].awaitTermination()
+        query = jobs.start_all(spark, lambda: derived.position_stream(spark, folder), cfg, (name,))[name]
+        query.awaitTermination()
         if spec.updated in spec.keys:
             return upsert.read_history(spark, cfg.table(spec), spec).select(*spec.columns)
         return upsert.read_table(spark, cfg.table(spec), spec.schema)

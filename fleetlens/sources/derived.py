@@ -9,108 +9,118 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.timing import epoch_millis, local_text
-
-# Event time is squeezed 60 times towards this instant so that speeds take realistic values.
-EPOCH_MICROS = 1_704_067_200_000_000
-SQUEEZE = 60
+# Columns the views read. They are declared so that no job is needed to infer them.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Event time is squeezed 60 times towards 2024-01-01 so that speeds take realistic values.
+_POSITIONS = {
+    "event_id": "event_id",
+    "c": "concat('L', lpad(cast(user_id % 10 AS string), 2, '0'), '-10')",
+    "cl": "cast(user_id % 10 AS int)",
+    "sl": "cast(1 + event_id % 2 AS int)",
+    "lt0": "concat('TERM ', cast(user_id % 10 AS string))",
+    "lt1": "concat('ORIG ', cast(user_id % 10 AS string))",
+    "qv": "15",
+    "p": "cast(user_id AS int)",
+    "a": "user_id % 3 = 0",
+    "ta": "unix_millis(gps)",
+    "ta_tempo": "date_format(from_utc_timestamp(gps, '-03:00'), 'yyyy-MM-dd HH:mm:ss')",
+    "py": "-23.55D + 0.0001D * (cast(floor(value * 100) AS bigint) % 400)",
+    "px": "-46.63D + 0.0001D * (event_id * 37 % 400)",
+    "event_time": "event_time",
+}
+_EVENT_TIME = (
+    "timestamp_micros(1704067200000000 + "
+    "cast(floor((unix_micros(cast(ts AS timestamp)) - 1704067200000000) / 60) AS bigint))"
+)
+_GPS = "timestamp_seconds(unix_seconds(event_time) - event_id % 12)"
+
+_SHAPES = {
+    "shape_id": "concat('S', cast(o_orderkey % 20 AS string))",
+    "shape_pt_lat": "-23.55D + 0.00001D * (o_orderkey * 7 % 4000)",
+    "shape_pt_lon": "-46.63D + 0.00001D * (o_custkey * 13 % 4000)",
+    "shape_dist_traveled": "cast(o_orderkey % 2000 AS double) * 100",
+}
+
+_TRIPS = {
+    "route_id": "concat('L', lpad(cast(c_custkey % 10 AS string), 2, '0'), '-10')",
+    "shape_id": "concat('S', cast(c_custkey % 20 AS string))",
+    "direction_id": "cast(c_custkey div 10 AS int) % 2",
+}
+
+_LOGS = {
+    "ts": "cast(ts AS timestamp)",
+    "container": """CASE event_type WHEN 'view' THEN 'kafka' WHEN 'click' THEN 'flink-taskmanager'
+        WHEN 'error' THEN 'flink-jobmanager' WHEN 'signup' THEN 'schema-registry' ELSE 'python-producer' END""",
+    "stream": "if(event_id % 5 = 0, 'stderr', 'stdout')",
+    "line": """CASE
+        WHEN event_type = 'error' AND event_id % 3 = 0
+            THEN concat('Checkpoint ', event_id, ' completed in ', cast(floor(value * 10) AS bigint), ' ms')
+        WHEN event_type = 'error' AND event_id % 3 = 1 THEN concat('JobFailedException job=', event_id)
+        WHEN event_type = 'error' THEN concat('Sink: sink_', elt(cast(event_id % 4 AS int) + 1, 'speed', 'headway', 'status', 'latest_pos'))
+        WHEN event_type = 'signup' AND event_id % 17 = 0 THEN concat('DeserializationException for id ', event_id)
+        WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'HTTP GET /schemas/ids/1'
+        WHEN event_type = 'signup' THEN 'HTTP POST Registering new schema'
+        WHEN event_type = 'view' AND event_id % 7 = 0 THEN concat('INFO connection accepted from client ', event_id)
+        WHEN event_type = 'view' THEN concat('partition ', event_id % 4, ' replica isr ok posicoes')
+        WHEN event_type = 'purchase' THEN concat('mensagem enviada offset=', event_id)
+        WHEN event_id % 11 = 0 THEN concat('java.lang.OutOfMemoryError in task ', event_id)
+        ELSE concat('task heartbeat ', event_id) END""",
+}
+
+
+def _view(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def positions_from_events(events: DataFrame) -> DataFrame:
     """Position reports from event rows, batch or streaming."""
-    user, event = F.col("user_id"), F.col("event_id")
-    line = user % 10
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    squeezed = F.floor((micros - EPOCH_MICROS) / SQUEEZE).cast("long") + EPOCH_MICROS
-    event_time = F.timestamp_micros(squeezed)
-    gps = F.timestamp_seconds(F.unix_seconds(event_time) - event % 12)
-    step = F.lit(0.0001)
-    return events.select(
-        event.alias("event_id"),
-        F.concat(F.lit("L"), F.lpad(line.cast("string"), 2, "0"), F.lit("-10")).alias("c"),
-        line.cast("int").alias("cl"),
-        (1 + event % 2).cast("int").alias("sl"),
-        F.concat(F.lit("TERM "), line.cast("string")).alias("lt0"),
-        F.concat(F.lit("ORIG "), line.cast("string")).alias("lt1"),
-        F.lit(15).alias("qv"),
-        user.cast("int").alias("p"),
-        (user % 3 == 0).alias("a"),
-        epoch_millis(gps).alias("ta"),
-        local_text(gps).alias("ta_tempo"),
-        (F.lit(-23.55) + step * (F.floor(F.col("value") * 100).cast("long") % 400)).alias("py"),
-        (F.lit(-46.63) + step * (event * 37 % 400)).alias("px"),
-        event_time.alias("event_time"),
-    )
+    timed = events.selectExpr("event_id", "user_id", "value", f"{_EVENT_TIME} AS event_time")
+    return _view(timed.selectExpr("*", f"{_GPS} AS gps"), _POSITIONS)
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(_table(spark, sf_dir, "events"))
 
 
+def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reports as a stream."""
+    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+    return positions_from_events(reader.parquet(sf_dir))
+
+
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route points with the distance travelled so far, in metres."""
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    step = F.lit(0.00001)
-    return _table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("S"), (order % 20).cast("string")).alias("shape_id"),
-        (F.lit(-23.55) + step * (order * 7 % 4000)).alias("shape_pt_lat"),
-        (F.lit(-46.63) + step * (customer * 13 % 4000)).alias("shape_pt_lon"),
-        ((order % 2000).cast("double") * 100).alias("shape_dist_traveled"),
-    )
+    return _view(_table(spark, sf_dir, "orders"), _SHAPES)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("L"), F.lpad((key % 10).cast("string"), 2, "0"), F.lit("-10")).alias("route_id"),
-        F.concat(F.lit("S"), (key % 20).cast("string")).alias("shape_id"),
-        (F.floor(key / 10).cast("int") % 2).alias("direction_id"),
-    )
+    return _view(_table(spark, sf_dir, "customer"), _TRIPS)
 
 
 def logs_from_events(events: DataFrame) -> DataFrame:
     """Container log lines from event rows, batch or streaming."""
-    kind, event = F.col("event_type"), F.col("event_id")
-    number = event.cast("string")
-    sink = F.element_at(F.array(*map(F.lit, ("speed", "headway", "status", "latest_pos"))), (event % 4 + 1).cast("int"))
-    container = (
-        F.when(kind == "view", "kafka")
-        .when(kind == "click", "flink-taskmanager")
-        .when(kind == "error", "flink-jobmanager")
-        .when(kind == "signup", "schema-registry")
-        .otherwise("python-producer")
-    )
-    millis = F.floor(F.col("value") * 10).cast("long").cast("string")
-    line = (
-        F.when((kind == "error") & (event % 3 == 0),
-               F.concat(F.lit("Checkpoint "), number, F.lit(" completed in "), millis, F.lit(" ms")))
-        .when((kind == "error") & (event % 3 == 1), F.concat(F.lit("JobFailedException job="), number))
-        .when(kind == "error", F.concat(F.lit("Sink: sink_"), sink))
-        .when((kind == "signup") & (event % 17 == 0), F.concat(F.lit("DeserializationException for id "), number))
-        .when((kind == "signup") & (event % 2 == 0), F.lit("HTTP GET /schemas/ids/1"))
-        .when(kind == "signup", F.lit("HTTP POST Registering new schema"))
-        .when((kind == "view") & (event % 7 == 0), F.concat(F.lit("INFO connection accepted from client "), number))
-        .when(kind == "view", F.concat(F.lit("partition "), (event % 4).cast("string"), F.lit(" replica isr ok posicoes")))
-        .when(kind == "purchase", F.concat(F.lit("mensagem enviada offset="), number))
-        .when(event % 11 == 0, F.concat(F.lit("java.lang.OutOfMemoryError in task "), number))
-        .otherwise(F.concat(F.lit("task heartbeat "), number))
-    )
-    return events.select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        container.alias("container"),
-        F.when(event % 5 == 0, "stderr").otherwise("stdout").alias("stream"),
-        line.alias("line"),
-    )
+    return _view(events, _LOGS)
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs_from_events(_table(spark, sf_dir, "events"))
 
 
+def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+    return logs_from_events(reader.parquet(sf_dir))
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw nested payloads, one per 15-second poll, so a payload never outgrows the fleet."""
     poll = F.window("event_time", "15 seconds").alias("poll")

@@ -156,9 +156,7 @@ def test_newest_by_state_runs_in_update_mode(spark, landed, tmp_path):
 
 
 def test_log_metric_streams(spark, tmp_path):
-    schema = spark.read.parquet(f"{SMALL}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    logs = derived.logs_from_events(reader.parquet(SMALL)).withWatermark("ts", "2 seconds")
+    logs = derived.log_stream(spark, SMALL).withWatermark("ts", "2 seconds")
     query = (
         lm.over_time(logs, "1h", ["container"]).writeStream.format("parquet").option("path", str(tmp_path / "o"))
         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
