@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from fleetlens.operators.latest import newest_rows
 from fleetlens.schemas import TableSpec
 
+# A reader may hold on to a version while this many newer ones appear.
+KEPT_VERSIONS = 20
+
 
 def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str], updated: str) -> DataFrame:
     """One row per key from both frames: the newest by ``updated``, and the batch's row when equally new."""
@@ -22,17 +25,20 @@ def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str], updat
     return newest_rows(both, keys, [updated, "_source"]).drop("_source")
 
 
+def _folder(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions under ``path``, oldest first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, fs = _folder(spark, path)
     if not fs.exists(root):
         return []
     found = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        done, _ = _folder(spark, f"{path}/{name}/_SUCCESS")
         if name.startswith("version=") and fs.exists(done):
             found.append(int(name.removeprefix("version=")))
     return sorted(found)
@@ -47,7 +53,13 @@ def read_table(spark: SparkSession, path: str, schema, before: int | None = None
 
 
 def write_version(table: DataFrame, path: str, version: int) -> None:
-    table.write.mode("overwrite").parquet(f"{path}/version={version}")
+    """Write a version, sorted by line inside its files so that a lookup by line skips row groups, and drop versions that
+    are too old to be read or repeated."""
+    ordered = table.sortWithinPartitions("linha") if "linha" in table.columns else table
+    ordered.write.mode("overwrite").parquet(f"{path}/version={version}")
+    for old in _versions(table.sparkSession, path)[:-KEPT_VERSIONS]:
+        outdated, fs = _folder(table.sparkSession, f"{path}/version={old}")
+        fs.delete(outdated, True)
 
 
 def upsert(batch: DataFrame, version: int, path: str, spec: TableSpec) -> None:

@@ -16,6 +16,9 @@ TABLES = {
     "customer": "c_custkey bigint",
 }
 
+FILES_PER_BATCH = 200
+REPORTS_PER_PAYLOAD = 256
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -92,10 +95,15 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(_table(spark, sf_dir, "events"))
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream, a bounded number of files at a time. The pattern fits one file as well as a folder of files."""
+    reader = spark.readStream.schema(TABLES["events"]).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.parquet(f"{sf_dir}/events.parquet*")
+
+
 def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same reports as a stream."""
-    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
-    return positions_from_events(reader.parquet(sf_dir))
+    return positions_from_events(_event_stream(spark, sf_dir))
 
 
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,13 +125,12 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
-    return logs_from_events(reader.parquet(sf_dir))
+    return logs_from_events(_event_stream(spark, sf_dir))
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw nested payloads, one per 15-second poll, so a payload never outgrows the fleet."""
-    poll = F.window("event_time", "15 seconds").alias("poll")
+    """Raw nested payloads of up to ``REPORTS_PER_PAYLOAD`` consecutive reports, so that no payload can grow."""
+    poll = F.expr(f"event_id div {REPORTS_PER_PAYLOAD}").alias("poll")
     stamp = F.date_format(F.timestamp_millis("ta"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ta")
     vehicle = F.struct("p", "a", stamp, "py", "px")
     line = ["c", "cl", "sl", "lt0", "lt1", "qv"]

@@ -14,6 +14,9 @@ TOPIC_PARTITIONS = 4
 WATERMARK = "2 seconds"
 POLL = "15 seconds"
 
+# What a micro-batch may read after a standstill; both bound the rows any task can be given.
+BATCH_LIMITS = {"kafka": {"maxOffsetsPerTrigger": "50000000"}, "files": {"maxFilesPerTrigger": "1000"}}
+
 _FILE_FORMATS = ("parquet", "json", "csv", "orc")
 
 
@@ -48,11 +51,15 @@ def read_positions(
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         start = "latest" if streaming else "earliest"
-        settings = {"subscribe": TOPIC, "startingOffsets": start, "kafka.bootstrap.servers": servers, **options}
+        limits = BATCH_LIMITS["kafka"] if streaming else {}
+        settings = {
+            "subscribe": TOPIC, "startingOffsets": start, "kafka.bootstrap.servers": servers, **limits, **options
+        }
         return decode_messages(reader.format("kafka").options(**settings).load(), encoding)
     if fmt not in _FILE_FORMATS:
         raise ValueError(f"unknown position format: {fmt!r}")
-    return reader.format(fmt).schema(POSITIONS).options(**options).load(path)
+    limits = BATCH_LIMITS["files"] if streaming else {}
+    return reader.format(fmt).schema(POSITIONS).options(**{**limits, **options}).load(path)
 
 
 def with_gps_timestamp(positions: DataFrame) -> DataFrame:

@@ -28,6 +28,13 @@ def test_splits_bound_the_chunks(positions):
     assert len(cuts) == 9 and len(sizes) == 10 and max(sizes) <= 150
 
 
+def test_sampled_splits_bound_the_chunks(spark):
+    skewed = spark.range(200_000).selectExpr("cast(pow(id, 3) AS double) AS t")
+    cuts = lag.order_splits(skewed, "t", rows_per_chunk=10_000)
+    sizes = [r["count"] for r in lag.with_chunk(skewed, "t", cuts).groupBy(lag.CHUNK).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 20_000
+
+
 @pytest.mark.parametrize("rows_per_chunk", [400, 40, 7])
 def test_chunked_plans_equal_plain_ones(positions, rows_per_chunk):
     cuts = lag.order_splits(positions, "event_time", rows_per_chunk)
@@ -187,6 +194,13 @@ def test_versions_survive_a_repeated_batch(spark, tmp_path):
     assert {r.linha: r.total_onibus_ativos for r in earlier.collect()} == {"A": 1, "B": 1}
 
 
+def test_old_versions_are_dropped(spark, tmp_path):
+    table = spark.createDataFrame([("A", 1)], "linha string, n int")
+    for version in range(upsert.KEPT_VERSIONS + 2):
+        upsert.write_version(table, str(tmp_path), version)
+    assert upsert._versions(spark, str(tmp_path)) == list(range(2, upsert.KEPT_VERSIONS + 2))
+
+
 def test_history_is_pruned_by_date_and_repeats_overwrite(spark, tmp_path, positions):
     spec, path = schemas.SPEED_HISTORY, str(tmp_path / "h")
     history = motion.speed_history(positions)
