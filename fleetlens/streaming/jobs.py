@@ -25,9 +25,9 @@ from fleetlens.streaming.lag_state import stream_lag
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
-# Seconds of one key's reports that a task orders at a time, about a thousand rows: a vehicle reports once per poll, a
-# line once per vehicle and poll.
-VEHICLE_SLOT = 6 * 3600
+# Seconds of one key's reports that a task orders at a time, some thousand rows: a vehicle reports once per poll, a line
+# once per vehicle and poll.
+VEHICLE_SLOT = 24 * 3600
 LINE_SLOT = 600
 
 

@@ -67,18 +67,10 @@ class SlotLag(StatefulProcessor):
         packed = StructType([StructField(f.name, ArrayType(f.dataType)) for f in self._row.fields])
         self._ahead = handle.getListState("ahead", packed)
         self._last = handle.getValueState("last", self._row)
-        self._timer = handle.getValueState("timer", StructType([StructField("ms", LongType())]))
 
     def _wait_for(self, event_us: int) -> None:
-        """Keep one timer, at the first whole millisecond not before ``event_us``."""
-        due = -(-int(event_us) // 1000)
-        if self._timer.exists():
-            current = self._timer.get()[0]
-            if current <= due:
-                return
-            self._handle.deleteTimer(current)
-        self._handle.registerTimer(due)
-        self._timer.update((due,))
+        """Set a timer at the first whole millisecond not before ``event_us``; one that finds nothing to do is harmless."""
+        self._handle.registerTimer(-(-int(event_us) // 1000))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         sent = self._last.get()[self._at] if self._last.exists() else None
@@ -97,7 +89,6 @@ class SlotLag(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._timer.clear()
         limit = timerValues.getCurrentWatermarkInMs() * 1000
         slot = int(key[len(self._keys)])
         end = slot + self._width
@@ -108,6 +99,8 @@ class SlotLag(StatefulProcessor):
         ready.sort(key=lambda row: (row[self._at], row[self._tie]))
         before = tuple(self._last.get()) if self._last.exists() else None
         last = ready[-1] if ready else before
+        if last is None and not waiting:
+            return  # the slot is closed already
 
         prefix = tuple(key[: len(self._keys)])
         missing = (None,) * len(self._sources)
