@@ -45,15 +45,16 @@ def read_positions(
     streaming: bool = False,
     servers: str | None = None,
     encoding: str = "avro-registry",
+    topic: str = TOPIC,
     **options: str,
 ) -> DataFrame:
-    """Position reports with event time, from ``kafka`` (``servers``) or files of a declared schema (``path``)."""
+    """Position reports with event time, from ``kafka`` (``servers``, ``topic``) or files of a declared schema (``path``)."""
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         start = "latest" if streaming else "earliest"
         limits = BATCH_LIMITS["kafka"] if streaming else {}
         settings = {
-            "subscribe": TOPIC, "startingOffsets": start, "kafka.bootstrap.servers": servers, **limits, **options
+            "subscribe": topic, "startingOffsets": start, "kafka.bootstrap.servers": servers, **limits, **options
         }
         return decode_messages(reader.format("kafka").options(**settings).load(), encoding)
     if fmt not in _FILE_FORMATS:

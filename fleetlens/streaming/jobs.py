@@ -24,6 +24,7 @@ from fleetlens.sources.positions import POLL, watermarked
 from fleetlens.streaming.lag_state import stream_lag
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Seconds of one key's reports that a task orders at a time, some thousand rows: a vehicle reports once per poll, a line
 # once per vehicle and poll.
@@ -250,4 +251,10 @@ def start_all(
 ) -> dict[str, StreamingQuery]:
     """Start jobs side by side, each with its own reader from ``source`` and its own checkpoint."""
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
-    return {name: JOBS[name](source(), cfg) for name in names}
+    # A stream keeps the number of state partitions it starts with; more than two per core only add overhead.
+    wanted = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(min(int(wanted), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        return {name: JOBS[name](source(), cfg) for name in names}
+    finally:
+        spark.conf.set(PARTITIONS, wanted)
