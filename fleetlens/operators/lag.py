@@ -17,8 +17,8 @@ from pyspark.sql.types import TimestampType
 CHUNK = "_chunk"
 _SEED = "_seed"
 
-# Below this many rows no group can outgrow a task, so the plain window is used.
-ROWS_PER_CHUNK = 2_000_000
+# Below this many rows no group can outgrow a task, so the plain window is used: it needs no second scan for the seeds.
+ROWS_PER_CHUNK = 8_000_000
 # A key has at most this many seed rows.
 MAX_CHUNKS = 16384
 # Values looked at per chunk to place its edge.
