@@ -3,10 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from fleetlens import catalog, oracle
 from tests.conftest import SMALL
 from tools.check import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The training-data operators have tests of their own.
+QUERIES = {name: entry.queries()[name] for name in catalog.QUERIES}
+ORACLES = oracle.ORACLES
 
 
 @pytest.fixture(scope="module")
