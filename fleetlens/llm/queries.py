@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.llm.decontaminate import op10_decontamination
+from fleetlens.llm.packing import op7_packing
 from fleetlens.llm.quality import op8_quality
 from fleetlens.llm.secrets import op1_secret_scans
 from fleetlens.llm.token_counts import op5_token_counts
 from fleetlens.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op4_toxicity, op5_token_counts, op8_quality,
+    f.__name__: f for f in (op1_secret_scans, op4_toxicity, op5_token_counts, op7_packing, op8_quality,
                              op10_decontamination)
 }
 ORACLES: dict[str, str] = {}

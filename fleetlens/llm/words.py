@@ -98,7 +98,11 @@ def row_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterat
 
 def _segment(data: np.ndarray, breaks: np.ndarray, classes: np.ndarray, names: np.ndarray):
     """Words of at most SEGMENT bytes. ``breaks``: places where a word may not go on."""
-    kind = classes[data]
+    return name_runs(data, classes[data], breaks, names)
+
+
+def name_runs(data: np.ndarray, kind: np.ndarray, breaks: np.ndarray, names: np.ndarray = _BYTE_NAMES):
+    """Names, starts and ends of the runs of one kind other than 0, in at most SEGMENT bytes; runs also end at ``breaks``."""
     edge = np.empty(len(data), bool)
     edge[0] = True
     np.not_equal(kind[1:], kind[:-1], out=edge[1:])
