@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlens.llm import chat
+from fleetlens.llm.chat import op3_chat
 from fleetlens.llm.decontaminate import op10_decontamination
 from fleetlens.llm.packing import op7_packing
 from fleetlens.llm.quality import op8_quality
@@ -14,7 +16,7 @@ from fleetlens.llm.token_counts import op5_token_counts
 from fleetlens.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op4_toxicity, op5_token_counts, op7_packing, op8_quality,
+    f.__name__: f for f in (op1_secret_scans, op3_chat, op4_toxicity, op5_token_counts, op7_packing, op8_quality,
                              op10_decontamination)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_chat": chat.ORACLE}
