@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, nearest_codes
+from fleetlens.llm import chat, near_duplicates, nearest_codes
 from fleetlens.llm.chat import op3_chat
 from fleetlens.llm.decontaminate import op10_decontamination
+from fleetlens.llm.near_duplicates import op2_near_duplicates
 from fleetlens.llm.nearest_codes import op9_nearest_codes
 from fleetlens.llm.packing import op7_packing
 from fleetlens.llm.quality import op8_quality
@@ -17,7 +18,7 @@ from fleetlens.llm.token_counts import op5_token_counts
 from fleetlens.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_chat, op4_toxicity, op5_token_counts, op7_packing, op8_quality, op9_nearest_codes,
+    f.__name__: f for f in (op1_secret_scans, op2_near_duplicates, op3_chat, op4_toxicity, op5_token_counts, op7_packing, op8_quality, op9_nearest_codes,
                              op10_decontamination)
 }
-ORACLES: dict[str, str] = {"op3_chat": chat.ORACLE, "op9_nearest_codes": nearest_codes.ORACLE}
+ORACLES: dict[str, str] = {"op2_near_duplicates": near_duplicates.ORACLE, "op3_chat": chat.ORACLE, "op9_nearest_codes": nearest_codes.ORACLE}
