@@ -37,6 +37,13 @@ _POWERS = _powers(_BASE, SEGMENT)
 _INVERSES = _powers(_BASE_INVERSE, SEGMENT)
 
 
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``count`` powers of the base of sequence names and of its inverse."""
+    if count <= SEGMENT:
+        return _POWERS[:count], _INVERSES[:count]
+    return _powers(_BASE, count), _powers(_BASE_INVERSE, count)
+
+
 def space_words() -> np.ndarray:
     """Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return."""
     return (~((_ASCII == 32) | ((_ASCII >= 9) & (_ASCII <= 13)))).astype(np.uint8)
