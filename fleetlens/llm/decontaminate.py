@@ -245,7 +245,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_cov
             texts.append(cut_spans(value, spans) if spans else value)
         return pd.DataFrame({"text": texts, "dropped": dropped})
 
-    done = docs.withColumn("_clean", cleaned(F.col(text)))
+    # Said to be nondeterministic so that it runs once for the filter and the text.
+    done = docs.withColumn("_clean", cleaned.asNondeterministic()(F.col(text)))
     return done.where(~F.col("_clean.dropped")).withColumn(text, F.col("_clean.text")).drop("_clean")
 
 

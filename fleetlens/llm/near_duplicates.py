@@ -92,11 +92,12 @@ def _signed(rows: DataFrame) -> DataFrame:
                 sets = shingle_sets(text_column(part.column(1)))
                 keys = [long_names(short_keys(found)) if len(found) else [] for found in sets]
                 yield pa.record_batch([
-                    part.column(0), pa.array([len(found) for found in sets], pa.int64()),
+                    part.column(0), part.column(2), pa.array([len(found) for found in sets], pa.int64()),
                     pa.array([set_name(found) for found in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                ], names=["doc_id", "n_shingles", "name", "keys"])
+                ], names=["doc_id", "text_hash", "n_shingles", "name", "keys"])
 
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, name long, keys array<long>")
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInArrow(sign, "doc_id long, text_hash long, n_shingles long, name long, keys array<long>")
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -228,8 +229,8 @@ def _links(rows: DataFrame, tasks: DataFrame) -> DataFrame:
     return dealt.groupBy("cluster", "low", "low_block", "high", "high_block").applyInPandas(_confirm, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (least key reachable) and ``kept``."""
+def _grouped(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with the name of their set, and for each name its component's name (``root``) and least key."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = text_rows(docs, text, key)
     signed = _signed(rows).checkpoint()
@@ -241,16 +242,36 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     groups = components(_links(rows, _tasks(members)))
     named = groups.join(members.select(F.col("name").alias("node"), "least_doc"), "node")
     roots = named.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    joined = named.join(roots, "component").select(F.col("node").alias("name"), "component_id")
-    alone = classes.select("name", F.col("least_doc"))
-    of_class = alone.join(joined, "name", "left").select(
-        "name", F.coalesce("component_id", "least_doc").alias("component_id"))
+    joined = named.join(roots, "component").select(F.col("node").alias("name"), F.col("component").alias("root"), "component_id")
+    of_class = classes.select("name", "least_doc").join(joined, "name", "left").select(
+        "name", F.coalesce("root", "name").alias("root"), F.coalesce("component_id", "least_doc").alias("component_id"))
+    return signed, of_class
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (least key reachable) and ``kept``."""
+    signed, of_class = _grouped(docs, text, key)
     filled = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "name").join(of_class, "name").select(
         "doc_id", "n_shingles", "component_id")
     empty = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return filled.union(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component: that of the least key (null last), then of the least hash of the text; of
+    rows equal in both, any. Rows without words all stay. All columns stay."""
+    signed, of_class = _grouped(docs, text, key)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash").alias("h"))
+    ranked = signed.where("n_shingles > 0").select("doc_id", "text_hash", "name").join(of_class.select("name", "root"), "name")
+    kept = ranked.groupBy("root").agg(F.min(order).alias("least")).select(
+        F.coalesce("least.doc_id", F.lit(-(1 << 63))).alias("_key"), F.col("least.h").alias("_hash")).distinct()
+    has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = docs.where(has_words).withColumns({
+        "_key": F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))), "_hash": F.xxhash64(F.col(text))})
+    stay = marked.join(kept, ["_key", "_hash"]).dropDuplicates(["_key", "_hash"]).select(*docs.columns)
+    return stay.union(docs.where(~has_words))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
