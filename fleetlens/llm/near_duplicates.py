@@ -245,7 +245,8 @@ def _grouped(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame
     joined = named.join(roots, "component").select(F.col("node").alias("name"), F.col("component").alias("root"), "component_id")
     of_class = classes.select("name", "least_doc").join(joined, "name", "left").select(
         "name", F.coalesce("root", "name").alias("root"), F.coalesce("component_id", "least_doc").alias("component_id"))
-    return signed, of_class
+    # Written, so that the join with all rows has a shuffle on either side, whose skewed parts Spark can split.
+    return signed, of_class.checkpoint()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -87,6 +87,12 @@ def _shape(token: str) -> str:
     return f"{kinds or token}/{length}/{min(turns, 6) // 2}"
 
 
+def _kinds(shape: str) -> list[str]:
+    """The parts of a shape one by one, which hold for shapes never seen whole."""
+    kinds, length, turns = shape.rsplit("/", 2)
+    return [f"kind={kinds}", f"length={length}", f"turns={turns}", *(f"has={k}" for k in kinds if k in "dxwXW")]
+
+
 def file_features(text: str, has_base: bool) -> list[str]:
     settings = bool(_SETTING.search(text))
     return [f"file-settings={settings}", f"file-base={has_base}", f"file-lines={min(text.count(chr(10)), 16).bit_length()}"]
@@ -104,7 +110,7 @@ def run_features(text: str, start: int, end: int, of_file: list[str]) -> tuple[l
     for i, shape in enumerate(shapes):
         left = shapes[i - 1] if i else "edge"
         right = shapes[i + 1] if i + 1 < len(shapes) else "edge"
-        names = ["bias", f"shape={shape}", f"left={left}", f"right={right}", size, *of_file]
+        names = ["bias", f"shape={shape}", f"left={left}", f"right={right}", size, *_kinds(shape), *of_file]
         names += context if i == 0 else [f"later-{c}" for c in context]
         rows.append([_slot(name) for name in names])
     return spans, rows
