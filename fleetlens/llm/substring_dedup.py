@@ -8,12 +8,14 @@ symbol, their anchor, at the same place. Names are hashes of what they stand for
 the cluster are the anchors, one row for a stretch of windows with the same one. Then
 
 1. names of anchors are counted (aggregated before the shuffle); a name that occurs once has no repeat;
-2. where all stretches of a name spell the same words, their windows repeat and nothing more is asked;
-3. only windows of the other stretches are spelled out, as hashes of their words, and counted;
+2. stretches of one name that spell the same words repeat each other, and nothing more is asked of them;
+3. the other stretches of such a name, and one of each kind of those in 2, are spelled out as hashes of the words of each
+   window, and these are counted;
 4. documents drop the words of the windows that repeat.
 
-Texts are shuffled once, compressed, and that shuffle serves steps 3 and 4. Hot names and windows are handled by joins on
-counts, which split skewed keys; nothing is grouped but the stretches of one document. Long documents are named in parts
+Texts are shuffled once, compressed, and that shuffle serves steps 3 and 4. Equal stretches are found by looking at the
+neighbour in sorted order, in constant memory, and hot windows by a join on counts, whose skewed keys Spark splits; nothing
+is grouped but the stretches of one document. Long documents are named in parts
 that overlap by a window.
 
 Defined cases: null, empty and short texts have no window and keep their words; repeated rows repeat each other's windows;
@@ -27,18 +29,17 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.recompression import anchors
 from fleetlens.llm.words import PLAIN, long_names, mix, powers, row_chunks, space_words, text_column, word_names
 
 WINDOW = 35
-LEVELS = (0, 2, 4)
+LEVELS = (0, 3)
 # Words named at once; longer documents are named in parts.
 PART = 1 << 17
 _CLASSES = space_words()
-_STRETCH = "array<struct<start:int,n:int,sure:boolean>>"
 
 
 def _spelled(words: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -138,7 +139,7 @@ def _small(batch: pa.RecordBatch):
 
 
 def _spelled_windows(doubtful: DataFrame, window: int) -> DataFrame:
-    """Hashes of the windows of stretches that are not sure."""
+    """Hashes of the windows of the stretches to be spelled out."""
 
     def spell(batches):
         for batch in batches:
@@ -149,7 +150,7 @@ def _spelled_windows(doubtful: DataFrame, window: int) -> DataFrame:
                 rows, starts, hashes = [], [], []
                 for row, ranges in enumerate(part.column(3).to_pylist()):
                     words = names[ends[row] - counts[row]:ends[row]]
-                    at = [np.arange(r["start"], r["start"] + r["n"]) for r in ranges if not r["sure"]]
+                    at = [np.arange(r["start"], r["start"] + r["n"]) for r in ranges if r["spell"]]
                     at = np.unique(np.concatenate(at)) if at else np.zeros(0, np.int64)
                     for begin in range(0, len(at), PART):
                         some = at[begin:begin + PART]
@@ -185,14 +186,20 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_removed`` and the ``kept`` words, joined by spaces."""
     rows = _keyed(docs, text, key)
     found = _anchored(rows, window)
-    names = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), (F.min("words") == F.max("words")).alias("sure"))
-    repeated = found.join(names.where("times > 1").select("anchor", "sure"), "anchor")
-    ranges = repeated.groupBy("k", "t").agg(F.collect_set(F.struct("start", "n", "sure")).alias("ranges"))
+    names = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), (F.min("words") != F.max("words")).alias("mixed"))
+    repeated = found.join(names.where("times > 1").select("anchor", "mixed"), "anchor")
+    alike = Window.partitionBy("anchor", "words").orderBy("k", "t", "start")
+    repeated = repeated.withColumns({"first": F.lag("n").over(alike).isNull(), "last": F.lead("n").over(alike).isNull()})
+    sure = ~(F.col("first") & F.col("last"))
+    stretch = F.struct("start", "n", sure.alias("sure"), (F.col("mixed") & F.col("first")).alias("spell"))
+    ranges = repeated.groupBy("k", "t").agg(F.collect_set(stretch).alias("ranges"))
     texts = _compressed(rows)
-    doubtful = texts.join(ranges.where(F.exists("ranges", lambda r: ~r["sure"])), ["k", "t"]).select("k", "t", "packed", "ranges")
+    doubtful = texts.join(ranges.where(F.exists("ranges", lambda r: r["spell"])), ["k", "t"]).select("k", "t", "packed", "ranges")
     windows = _spelled_windows(doubtful, window)
-    twice = windows.groupBy("words").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("words")
-    singles = windows.join(twice, "words").groupBy("k", "t").agg(F.collect_set("start").alias("singles"))
+    twice = windows.groupBy("words").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # Joined by the complement: both sides are shuffled for the join then, and Spark can split a skewed key.
+    singles = windows.select("k", "t", "start", F.bitwise_not("words").alias("w")).join(
+        twice.select(F.bitwise_not("words").alias("w")), "w").groupBy("k", "t").agg(F.collect_set("start").alias("singles"))
     whole = texts.join(ranges, ["k", "t"], "left").join(singles, ["k", "t"], "left")
 
     def cut(batches):
