@@ -7,7 +7,8 @@ Rounds of recompression (``recompression.py``) name runs and pairs of tokens glo
 symbol, their anchor, at the same place. Names are hashes of what they stand for, which makes a round local: what crosses
 the cluster are the anchors, one row for a stretch of windows with the same one. Then
 
-1. names of anchors are counted (aggregated before the shuffle); a name that occurs once has no repeat;
+1. names of anchors are counted (equal stretches within a chunk of rows, then by the aggregation before the shuffle); a name
+   that occurs once has no repeat;
 2. stretches of one name that spell the same words repeat each other, and nothing more is asked of them;
 3. the other stretches of such a name, and one of each kind of those in 2, are spelled out as hashes of the words of each
    window, and these are counted;
@@ -99,19 +100,34 @@ def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.hash("text").alias("t"), "text")
 
 
+def _first_of_kind(anchor: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """For the first of each kind of equal stretches, how many there are; 0 for the others."""
+    _, first, times = np.unique(mix(anchor) + words, return_index=True, return_counts=True)
+    out = np.zeros(len(anchor), np.int32)
+    out[first] = times
+    return out
+
+
 def _anchored(rows: DataFrame, window: int) -> DataFrame:
+    """Stretches of all rows, with ``times``: equal ones that lie in the same chunk of rows are counted at the first of
+    them. The others (0) are known to repeat, so their anchors are replaced by what spreads them."""
+
     def name(batches):
         for batch in batches:
             for part in row_chunks(batch, "text"):
                 names, counts = word_names(text_column(part.column(2)), _CLASSES, PLAIN)
                 doc, start, count, anchor, words = stretches(names, counts, window)
-                at = pa.array(doc)
+                at, times = pa.array(doc), _first_of_kind(anchor, words)
+                keys = part.column(0).take(at)
+                spread = mix(mix(keys.to_numpy().view(np.uint64)) + start.astype(np.uint64))
                 yield pa.record_batch([
-                    part.column(0).take(at), part.column(1).take(at), pa.array(start.astype(np.int32)),
-                    pa.array(count.astype(np.int32)), pa.array(long_names(anchor)), pa.array(long_names(words)),
-                ], names=["k", "t", "start", "n", "anchor", "words"])
+                    keys, part.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)),
+                    pa.array(long_names(np.where(times > 0, anchor, spread))),
+                    pa.array(long_names(np.where(times > 0, words, np.uint64(0)))), pa.array(times),
+                ], names=["k", "t", "start", "n", "anchor", "words", "times"])
 
-    return rows.select("k", "t", "text").mapInArrow(name, "k long, t int, start int, n int, anchor long, words long")
+    return rows.select("k", "t", "text").mapInArrow(
+        name, "k long, t int, start int, n int, anchor long, words long, times int")
 
 
 def _compressed(rows: DataFrame) -> DataFrame:
@@ -186,12 +202,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_removed`` and the ``kept`` words, joined by spaces."""
     rows = _keyed(docs, text, key)
     found = _anchored(rows, window)
-    names = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), (F.min("words") != F.max("words")).alias("mixed"))
-    repeated = found.join(names.where("times > 1").select("anchor", "mixed"), "anchor")
+    counted = found.where("times > 0").groupBy("anchor").agg(
+        F.sum("times").alias("total"), (F.min("words") != F.max("words")).alias("mixed"))
+    repeated = found.join(counted.where("total > 1").select("anchor", "mixed"), "anchor", "left")
+    repeated = repeated.where(F.col("mixed").isNotNull() | (F.col("times") == 0))
     alike = Window.partitionBy("anchor", "words").orderBy("k", "t", "start")
     repeated = repeated.withColumns({"first": F.lag("n").over(alike).isNull(), "last": F.lead("n").over(alike).isNull()})
-    sure = ~(F.col("first") & F.col("last"))
-    stretch = F.struct("start", "n", sure.alias("sure"), (F.col("mixed") & F.col("first")).alias("spell"))
+    sure = (F.col("times") != 1) | ~(F.col("first") & F.col("last"))
+    spell = F.coalesce(F.col("mixed") & F.col("first"), F.lit(False))
+    stretch = F.struct("start", "n", sure.alias("sure"), spell.alias("spell"))
     ranges = repeated.groupBy("k", "t").agg(F.collect_set(stretch).alias("ranges"))
     texts = _compressed(rows)
     doubtful = texts.join(ranges.where(F.exists("ranges", lambda r: r["spell"])), ["k", "t"]).select("k", "t", "packed", "ranges")
