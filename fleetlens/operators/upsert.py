@@ -1,22 +1,44 @@
 """Keyed upsert of result tables.
 
-Result tables hold one row per line or vehicle. On Parquet an upsert writes the merged table as the next numbered version
-and readers take the newest complete one; running a micro-batch again rewrites its own version, so a batch repeated after
-a failure changes nothing. On a database the batch goes to a staging table and one ``INSERT .. ON CONFLICT`` merges it.
+Result tables hold one row per line or vehicle. On Parquet an upsert writes the merged table as the table's own next
+version and readers take the newest complete one. A version is marked with the batch it came from, the id of the streaming
+query and the number of the batch: a batch repeated after a failure finds its version and changes nothing, and a query
+that starts afresh merges on top of what is stored. On a database the batch goes to a staging table and one
+``INSERT .. ON CONFLICT`` merges it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.operators.constraints import check_constraints
 from fleetlens.operators.latest import newest_rows
 from fleetlens.schemas import TableSpec
 
-# A reader may hold on to a version while this many newer ones appear.
-KEPT_VERSIONS = 20
+# Seconds that a version stays readable after a newer one has replaced it.
+KEEP_SECONDS = 900
+
+
+class BatchId(NamedTuple):
+    """A micro-batch: the id that a streaming query keeps over restarts, and its number."""
+
+    query: str
+    number: int
+
+    def __str__(self) -> str:
+        return f"{self.query}_{self.number}"
+
+
+class Version(NamedTuple):
+    number: int
+    batch: str
+    written_ms: int
+    folder: str
 
 
 def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str], updated: str) -> DataFrame:
@@ -30,8 +52,8 @@ def _folder(spark: SparkSession, path: str):
     return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions under ``path``, oldest first."""
+def _versions(spark: SparkSession, path: str) -> list[Version]:
+    """Complete versions under ``path``, oldest first. Their folders are named ``version=<number>_<query>_<batch>``."""
     root, fs = _folder(spark, path)
     if not fs.exists(root):
         return []
@@ -40,52 +62,82 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
         name = status.getPath().getName()
         done, _ = _folder(spark, f"{path}/{name}/_SUCCESS")
         if name.startswith("version=") and fs.exists(done):
-            found.append(int(name.removeprefix("version=")))
+            number, _, batch = name.removeprefix("version=").partition("_")
+            found.append(Version(int(number), batch, fs.getFileStatus(done).getModificationTime(), f"{path}/{name}"))
     return sorted(found)
 
 
-def read_table(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
-    """The newest complete version of a table, or an empty frame; ``before`` leaves out that version and later ones."""
-    versions = [v for v in _versions(spark, path) if before is None or v < before]
+def has_version(spark: SparkSession, path: str, batch: BatchId) -> bool:
+    """Whether a batch has been written already."""
+    return any(version.batch == str(batch) for version in _versions(spark, path))
+
+
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest complete version of a table, or an empty frame."""
+    versions = _versions(spark, path)
     if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}")
+    return spark.read.schema(schema).parquet(versions[-1].folder)
 
 
-def write_version(table: DataFrame, path: str, version: int) -> None:
-    """Write a version, sorted by line inside its files so that a lookup by line skips row groups, and drop versions that
-    are too old to be read or repeated."""
+def write_version(table: DataFrame, path: str, batch: BatchId, keep_seconds: int = KEEP_SECONDS) -> None:
+    """Write the next version, sorted by line inside its files so that a lookup by line skips row groups, and drop versions
+    that were replaced more than ``keep_seconds`` ago. The newest two always stay."""
+    spark = table.sparkSession
+    versions = _versions(spark, path)
+    number = versions[-1].number + 1 if versions else 0
     ordered = table.sortWithinPartitions("linha") if "linha" in table.columns else table
-    ordered.write.mode("overwrite").parquet(f"{path}/version={version}")
-    for old in _versions(table.sparkSession, path)[:-KEPT_VERSIONS]:
-        outdated, fs = _folder(table.sparkSession, f"{path}/version={old}")
-        fs.delete(outdated, True)
+    ordered.write.mode("overwrite").parquet(f"{path}/version={number:012d}_{batch}")
+    written = _versions(spark, path)
+    for old, newer in zip(written[:-2], written[1:-1], strict=True):
+        if written[-1].written_ms - newer.written_ms > 1000 * keep_seconds:
+            outdated, fs = _folder(spark, old.folder)
+            fs.delete(outdated, True)
+
+
+def keep_valid(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec) -> DataFrame:
+    """Rows that keep the table's rules; the others go to ``<path>_rejects`` with the rules they break, in a folder of
+    their batch, which a repeated batch overwrites."""
+    good, bad = check_constraints(rows, spec)
+    bad.write.mode("overwrite").parquet(f"{path}_rejects/batch={batch}")
+    return good
 
 
-def upsert(batch: DataFrame, version: int, path: str, spec: TableSpec) -> None:
-    """Merge a batch into a Parquet table as version ``version``; usable as the body of ``foreachBatch``."""
-    current = read_table(batch.sparkSession, path, spec.schema, before=version)
-    write_version(merge_latest(current, batch.select(*spec.columns), spec.keys, spec.updated), path, version)
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}_rejects")
+
+
+def upsert(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec, keep_seconds: int = KEEP_SECONDS) -> None:
+    """Merge the valid rows of a batch into a Parquet table. A batch that has been merged already changes nothing."""
+    spark = rows.sparkSession
+    if has_version(spark, path, batch):
+        return
+    valid = keep_valid(rows.select(*spec.columns), batch, path, spec)
+    current = read_table(spark, path, spec.schema)
+    write_version(merge_latest(current, valid, spec.keys, spec.updated), path, batch, keep_seconds)
 
 
 def conflict_sql(spec: TableSpec, staging: str) -> str:
-    """Statement that merges a staging table into the target by primary key, newest row first."""
+    """Statement that merges a staging table into the target by primary key; a newer row is never replaced by an older."""
     columns, keys = ", ".join(spec.columns), ", ".join(spec.keys)
-    newest = f"{keys}, {spec.updated} DESC" if spec.updated not in spec.keys else keys
+    dated = spec.updated not in spec.keys
+    newest = f"{keys}, {spec.updated} DESC" if dated else keys
     changed = [c for c in spec.columns if c not in spec.keys]
     assignments = ", ".join(f"{c} = EXCLUDED.{c}" for c in changed)
+    unless_newer = f" WHERE {spec.name}.{spec.updated} <= EXCLUDED.{spec.updated}" if dated else ""
     return (
         f"INSERT INTO {spec.name} ({columns}) "
         f"SELECT DISTINCT ON ({keys}) {columns} FROM {staging} ORDER BY {newest} "
-        f"ON CONFLICT ({keys}) DO UPDATE SET {assignments}"
+        f"ON CONFLICT ({keys}) DO UPDATE SET {assignments}{unless_newer}"
     )
 
 
-def upsert_jdbc(batch: DataFrame, version: int, spec: TableSpec, url: str, properties: dict[str, str]) -> None:
-    """Stage a batch over JDBC and merge it in one transaction. The staging table is replaced, so repeats are safe."""
-    staging = f"{spec.name}_staging"
-    batch.select(*spec.columns).write.mode("overwrite").jdbc(url, staging, properties=properties)
-    jvm = batch.sparkSession.sparkContext._jvm
+def upsert_jdbc(rows: DataFrame, batch: BatchId, spec: TableSpec, url: str, properties: dict[str, str]) -> None:
+    """Stage rows over JDBC and merge them in one transaction. Every query has its own staging table, replaced by each
+    batch, so repeats are safe and writers do not meet."""
+    staging = f"{spec.name}_staging_{batch.query.replace('-', '')}"
+    rows.select(*spec.columns).write.mode("overwrite").jdbc(url, staging, properties=properties)
+    jvm = rows.sparkSession.sparkContext._jvm
     settings = jvm.java.util.Properties()
     for key, value in properties.items():
         settings.setProperty(key, value)
@@ -96,14 +148,12 @@ def upsert_jdbc(batch: DataFrame, version: int, spec: TableSpec, url: str, prope
         connection.close()
 
 
-def append_history(batch: DataFrame, version: int, path: str, spec: TableSpec) -> None:
+def append_history(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec) -> None:
     """Add windows to a history table laid out by date, so that a query on a span of time reads only its days.
 
     Every batch owns one folder below each date, which a repeated batch overwrites.
     """
-    dated = batch.select(*spec.columns).withColumns(
-        {"window_date": F.to_date(spec.updated), "batch": F.lit(version).cast("long")}
-    )
+    dated = rows.select(*spec.columns).withColumns({"window_date": F.to_date(spec.updated), "batch": F.lit(str(batch))})
     (
         dated.hint("rebalance", "window_date")
         .sortWithinPartitions("window_date", *spec.keys)
@@ -115,4 +165,29 @@ def append_history(batch: DataFrame, version: int, path: str, spec: TableSpec) -
 
 
 def read_history(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    return spark.read.parquet(path).select(*spec.columns, "window_date")
+    """History rows, one per key. Filters on keys and dates reach the files."""
+    found = spark.read.schema(f"{_ddl(spec)}, window_date date, batch string").parquet(path)
+    keys = [*spec.keys, "window_date"]
+    others = [F.max(c).alias(c) for c in spec.columns if c not in keys]
+    return found.groupBy(*keys).agg(*others).select(*spec.columns, "window_date")
+
+
+def _ddl(spec: TableSpec) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema.fields)
+
+
+def compact_history(spark: SparkSession, path: str, spec: TableSpec, before: str) -> None:
+    """Rewrite the folders of each day before ``before`` (a date) into one.
+
+    The new folder is complete before the old ones go, and readers take one row per key, so nothing is lost or doubled if
+    this stops half way. Call it for days whose batches will not be repeated any more.
+    """
+    root, fs = _folder(spark, path)
+    for day in [status.getPath() for status in fs.listStatus(root)]:
+        date = day.getName().removeprefix("window_date=")
+        parts = [status.getPath() for status in fs.listStatus(day)] if date != day.getName() and date < before else []
+        if len(parts) > 1:
+            rows = read_history(spark, path, spec).where(F.col("window_date") == F.lit(date).cast("date"))
+            append_history(rows, BatchId(f"compacted-{uuid.uuid4().hex}", 0), path, spec)
+            for part in parts:
+                fs.delete(part, True)

@@ -2,11 +2,14 @@
 
 Current-state tables are kept by ``foreachBatch``: a micro-batch shrinks to one row per key with the batch operators and
 is merged into the table, which is itself the state, so no state store grows without bound and late reports still count.
-Jobs that need ordered rows run through :func:`stream_lag` first. A repeated micro-batch rewrites its own version.
+Jobs that need ordered rows run through :func:`stream_lag` first. A repeated micro-batch changes nothing. Rows that break
+a table's rules (a NULL key, text that is too long) go to its reject table. A job writes Parquet tables, or hands its rows
+to a sink such as a database.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,7 +20,18 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from fleetlens import schemas
 from fleetlens.operators.latest import newest_rows
-from fleetlens.operators.upsert import append_history, read_table, upsert, write_version
+from fleetlens.operators.upsert import (
+    KEEP_SECONDS,
+    BatchId,
+    append_history,
+    has_version,
+    keep_valid,
+    merge_latest,
+    read_table,
+    upsert,
+    upsert_jdbc,
+    write_version,
+)
 from fleetlens.plans import fleet, headway, motion
 from fleetlens.session import SETTINGS
 from fleetlens.sources.positions import POLL, watermarked
@@ -31,56 +45,105 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 VEHICLE_SLOT = 24 * 3600
 LINE_SLOT = 600
 
+Sink = Callable[[DataFrame, BatchId, schemas.TableSpec], None]
+
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Where jobs write. ``trigger`` is passed to ``writeStream.trigger``; ``active_within`` limits job 1 to vehicles
-    seen that recently (for example ``10 minutes``), by default all since the start count."""
+    """Where and how jobs write.
+
+    ``trigger`` is passed to ``writeStream.trigger``. ``active_within`` limits job 1 to vehicles seen that recently (for
+    example ``10 minutes``), by default all since the start count. ``sink`` takes the valid rows of every batch instead of
+    the Parquet result tables. ``state_partitions`` is the number of state partitions of a new stream, by default the
+    session's shuffle partitions; a stream keeps the number it starts with. The slots are the seconds of one key's reports
+    that a task orders at a time; they set memory, not results. ``keep_seconds`` is how long a replaced version of a table
+    stays readable.
+    """
 
     tables: str
     checkpoints: str
     trigger: tuple[tuple[str, object], ...] = (("processingTime", POLL),)
     active_within: str | None = None
+    sink: Sink | None = None
+    state_partitions: int | None = None
+    vehicle_slot: int = VEHICLE_SLOT
+    line_slot: int = LINE_SLOT
+    keep_seconds: int = KEEP_SECONDS
 
     def table(self, spec: schemas.TableSpec) -> str:
         return f"{self.tables}/{spec.name}"
 
 
-def _start(df: DataFrame, cfg: JobConfig, name: str, body: Callable[[DataFrame, int], None], mode: str = "append"):
+def jdbc_sink(url: str, properties: dict[str, str]) -> Sink:
+    """Sink that merges every batch into database tables."""
+    return lambda rows, batch, spec: upsert_jdbc(rows, batch, spec, url, properties)
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: the same over restarts, another for a fresh checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+
+
+def _start(df: DataFrame, cfg: JobConfig, name: str, body: Callable[[DataFrame, BatchId], None], mode: str = "append"):
+    checkpoint = f"{cfg.checkpoints}/{name}"
+
+    def write(rows: DataFrame, number: int) -> None:
+        # Kept while it is looked at twice. Batches without rows, which stateful jobs run to move on, leave tables alone.
+        rows.persist()
+        try:
+            if not rows.isEmpty():
+                body(rows, BatchId(_query_id(rows.sparkSession, checkpoint), number))
+        finally:
+            rows.unpersist()
+
     return (
-        df.writeStream.queryName(name).outputMode(mode)
-        .option("checkpointLocation", f"{cfg.checkpoints}/{name}")
-        .trigger(**dict(cfg.trigger))
-        .foreachBatch(body)
-        .start()
+        df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+        .trigger(**dict(cfg.trigger)).foreachBatch(write).start()
     )
 
 
+def _store(rows: DataFrame, batch: BatchId, cfg: JobConfig, spec: schemas.TableSpec) -> None:
+    """Merge a batch's rows into a result table, or hand them to the sink."""
+    if cfg.sink:
+        cfg.sink(keep_valid(rows.select(*spec.columns), batch, cfg.table(spec), spec), batch, spec)
+    else:
+        upsert(rows, batch, cfg.table(spec), spec, cfg.keep_seconds)
+
+
+def _replace(rows: DataFrame, batch: BatchId, cfg: JobConfig, spec: schemas.TableSpec) -> None:
+    """Write a result table that is computed in full from stored sums."""
+    valid = keep_valid(rows.select(*spec.columns), batch, cfg.table(spec), spec)
+    if cfg.sink:
+        cfg.sink(valid, batch, spec)
+    else:
+        write_version(valid, cfg.table(spec), batch, cfg.keep_seconds)
+
+
 # Ordered rows -----------------------------------------------------------------------------------------------------
 
 
-def previous_fixes(positions: DataFrame) -> DataFrame:
+def previous_fixes(positions: DataFrame, slot: int = VEHICLE_SLOT) -> DataFrame:
     """Every report with its vehicle's previous fix."""
     values = {"from_py": "py", "from_px": "px", "from_us": "event_time"}
-    rows = stream_lag(watermarked(positions), ["p"], ["c", "sl", "py", "px"], values, VEHICLE_SLOT)
+    rows = stream_lag(watermarked(positions), ["p"], ["c", "sl", "py", "px"], values, slot)
     return rows.withColumn("from_time", F.timestamp_micros("from_us")).drop("from_us")
 
 
-def neighbours(positions: DataFrame) -> DataFrame:
+def neighbours(positions: DataFrame, slot: int = LINE_SLOT) -> DataFrame:
     """Every report with the previous report on its line and direction."""
-    return stream_lag(watermarked(positions), ["c", "sl"], ["p", "py", "px"], headway.NEIGHBOUR, LINE_SLOT)
+    return stream_lag(watermarked(positions), ["c", "sl"], ["p", "py", "px"], headway.NEIGHBOUR, slot)
 
 
-def speed_events(positions: DataFrame) -> DataFrame:
-    rows = previous_fixes(positions).where(motion.moved())
+def speed_events(positions: DataFrame, slot: int = VEHICLE_SLOT) -> DataFrame:
+    rows = previous_fixes(positions, slot).where(motion.moved())
     return motion.plausible(rows.select(F.col("c").alias("linha"), "p", "event_time", motion.step_speed().alias("speed_kmh")))
 
 
-def headway_events(positions: DataFrame) -> DataFrame:
+def headway_events(positions: DataFrame, slots: tuple[int, int] = (VEHICLE_SLOT, LINE_SLOT)) -> DataFrame:
     """Speeds joined with gaps on line, vehicle and event time; both sides forget what the watermark has passed."""
-    speeds = speed_events(positions).where(F.col("speed_kmh") >= headway.MIN_SPEED_KMH)
+    speeds = speed_events(positions, slots[0]).where(F.col("speed_kmh") >= headway.MIN_SPEED_KMH)
     gaps = (
-        neighbours(positions)
+        neighbours(positions, slots[1])
         .where(headway.other_vehicle() & F.col("near_px").isNotNull())
         .select(F.col("c").alias("gap_line"), F.col("p").alias("gap_p"), F.col("event_time").alias("gap_time"),
                 headway.gap_km().alias("gap_km"))
@@ -97,13 +160,13 @@ def headway_events(positions: DataFrame) -> DataFrame:
     )
 
 
-def motion_with_gaps(positions: DataFrame) -> DataFrame:
+def motion_with_gaps(positions: DataFrame, slots: tuple[int, int] = (VEHICLE_SLOT, LINE_SLOT)) -> DataFrame:
     """Every report with its speed, and its gap where the line report has one (left outer join)."""
-    speeds = previous_fixes(positions).select(
+    speeds = previous_fixes(positions, slots[0]).select(
         F.col("c").alias("linha"), "sl", "p", "event_time", "event_id",
         F.coalesce(motion.step_speed(), F.lit(0.0)).alias("speed_kmh"),
     )
-    gaps = neighbours(positions).where(headway.other_vehicle()).select(
+    gaps = neighbours(positions, slots[1]).where(headway.other_vehicle()).select(
         F.col("c").alias("gap_line"), F.col("p").alias("gap_p"), F.col("event_time").alias("gap_time"),
         headway.gap_km().alias("gap_km"),
     )
@@ -119,25 +182,31 @@ _PAIRS = schemas.TableSpec(
     "active_pairs", ("linha", "prefixo"),
     StructType([StructField("linha", StringType()), StructField("prefixo", schemas.REPORT["p"].dataType),
                 StructField("ultima_atualizacao", TimestampType())]),
+    optional=("prefixo",),
 )
 
 
 def active_vehicles_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 1. Keeps one row per (line, vehicle) and counts them, so a hot line is never one growing set."""
+    """Job 1. Keeps one row per (line, vehicle) and counts them, so a hot line is never one growing set. Reports without a
+    vehicle keep their line's time up to date but are no vehicle, as in the batch plan."""
 
-    def merge(batch: DataFrame, version: int) -> None:
-        seen = batch.groupBy(F.col("c").alias("linha"), F.col("p").alias("prefixo")).agg(
+    def merge(rows: DataFrame, batch: BatchId) -> None:
+        seen = rows.groupBy(F.col("c").alias("linha"), F.col("p").alias("prefixo")).agg(
             F.max("event_time").alias("ultima_atualizacao")
         )
-        upsert(seen, version, cfg.table(_PAIRS), _PAIRS)
-        pairs = read_table(batch.sparkSession, cfg.table(_PAIRS), _PAIRS.schema, before=version + 1)
-        if cfg.active_within:
-            newest = pairs.agg(F.max("ultima_atualizacao")).scalar()
-            pairs = pairs.where(F.col("ultima_atualizacao") >= newest - F.expr(f"INTERVAL {cfg.active_within}"))
-        counts = pairs.groupBy("linha").agg(
-            F.count(F.lit(1)).alias("total_onibus_ativos"), F.max("ultima_atualizacao").alias("ultima_atualizacao")
+        path, spark = cfg.table(_PAIRS), rows.sparkSession
+        if not has_version(spark, path, batch):
+            valid = keep_valid(seen, batch, path, _PAIRS)
+            merged = merge_latest(read_table(spark, path, _PAIRS.schema), valid, _PAIRS.keys, _PAIRS.updated)
+            if cfg.active_within:
+                # Pairs outside the span are forgotten.
+                newest = merged.agg(F.max("ultima_atualizacao")).scalar()
+                merged = merged.where(F.col("ultima_atualizacao") >= newest - F.expr(f"INTERVAL {cfg.active_within}"))
+            write_version(merged, path, batch, cfg.keep_seconds)
+        counts = read_table(spark, path, _PAIRS.schema).groupBy("linha").agg(
+            F.count("prefixo").alias("total_onibus_ativos"), F.max("ultima_atualizacao").alias("ultima_atualizacao")
         )
-        write_version(counts, cfg.table(schemas.ACTIVE_VEHICLES), version)
+        _replace(counts, batch, cfg, schemas.ACTIVE_VEHICLES)
 
     return _start(positions, cfg, "active_vehicles", merge)
 
@@ -153,85 +222,87 @@ def _running_job(events: DataFrame, column: str, cfg: JobConfig, name: str, spec
     mean, lowest, highest = (
         next(c for c in spec.columns if f"_{part}" in c) for part in ("medi", "minim", "maxim")
     )
-
-    def merge(batch: DataFrame, version: int) -> None:
-        path = f"{cfg.tables}/{name}_running"
-        part = batch.groupBy("linha").agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(column).alias("total"), F.min(column).alias("lowest"),
-            F.max(column).alias("highest"), F.max("event_time").alias("updated"),
-        )
-        running = read_table(batch.sparkSession, path, _running_schema(), before=version).unionByName(part)
-        merged = running.groupBy("linha").agg(
-            F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"),
-            F.max("highest").alias("highest"), F.max("updated").alias("updated"),
-        )
-        write_version(merged, path, version)
-        stored = read_table(batch.sparkSession, path, _running_schema(), before=version + 1)
-        shown = stored.select(
+    path = f"{cfg.tables}/{name}_running"
+
+    def merge(rows: DataFrame, batch: BatchId) -> None:
+        spark = rows.sparkSession
+        if not has_version(spark, path, batch):
+            part = rows.groupBy("linha").agg(
+                F.count(F.lit(1)).alias("rows"), F.sum(column).alias("total"), F.min(column).alias("lowest"),
+                F.max(column).alias("highest"), F.max("event_time").alias("updated"),
+            )
+            merged = read_table(spark, path, _running_schema()).unionByName(part).groupBy("linha").agg(
+                F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"),
+                F.max("highest").alias("highest"), F.max("updated").alias("updated"),
+            )
+            write_version(merged, path, batch, cfg.keep_seconds)
+        shown = read_table(spark, path, _running_schema()).select(
             "linha", F.round(F.col("total") / F.nullif("rows", F.lit(0)), 2).alias(mean),
             F.round("lowest", 2).alias(lowest), F.round("highest", 2).alias(highest),
             F.col("updated").alias("ultima_atualizacao"),
         )
-        write_version(shown.select(*spec.columns), cfg.table(spec), version)
+        _replace(shown, batch, cfg, spec)
 
     return _start(events, cfg, name, merge)
 
 
 def speed_by_line_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 2."""
-    return _running_job(speed_events(positions), "speed_kmh", cfg, "speed_by_line", schemas.SPEED_BY_LINE)
+    return _running_job(speed_events(positions, cfg.vehicle_slot), "speed_kmh", cfg, "speed_by_line", schemas.SPEED_BY_LINE)
 
 
 def _history_job(events: DataFrame, summary, cfg: JobConfig, name: str, spec: schemas.TableSpec) -> StreamingQuery:
-    windows = motion.per_minute(events, summary)
-    return _start(windows, cfg, name, lambda batch, version: append_history(batch, version, cfg.table(spec), spec))
+    def append(rows: DataFrame, batch: BatchId) -> None:
+        valid = keep_valid(rows.select(*spec.columns), batch, cfg.table(spec), spec)
+        if cfg.sink:
+            cfg.sink(valid, batch, spec)
+        else:
+            append_history(valid, batch, cfg.table(spec), spec)
+
+    return _start(motion.per_minute(events, summary), cfg, name, append)
 
 
 def speed_history_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 3."""
-    return _history_job(speed_events(positions), motion.speed_summary(), cfg, "speed_history", schemas.SPEED_HISTORY)
+    events = speed_events(positions, cfg.vehicle_slot)
+    return _history_job(events, motion.speed_summary(), cfg, "speed_history", schemas.SPEED_HISTORY)
 
 
 def headway_by_line_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 4."""
-    return _running_job(headway_events(positions), "headway_min", cfg, "headway_by_line", schemas.HEADWAY_BY_LINE)
+    events = headway_events(positions, (cfg.vehicle_slot, cfg.line_slot))
+    return _running_job(events, "headway_min", cfg, "headway_by_line", schemas.HEADWAY_BY_LINE)
 
 
 def headway_history_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 5."""
-    return _history_job(
-        headway_events(positions), headway.headway_summary(), cfg, "headway_history", schemas.HEADWAY_HISTORY
-    )
+    events = headway_events(positions, (cfg.vehicle_slot, cfg.line_slot))
+    return _history_job(events, headway.headway_summary(), cfg, "headway_history", schemas.HEADWAY_HISTORY)
+
+
+def _newest(plan: Callable[[DataFrame], DataFrame], spec: schemas.TableSpec, cfg: JobConfig):
+    return lambda rows, batch: _store(plan(rows), batch, cfg, spec)
 
 
 def latest_position_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 6."""
-    spec = schemas.LATEST_POSITION
-    return _start(
-        positions, cfg, "latest_position",
-        lambda batch, version: upsert(fleet.latest_position(batch), version, cfg.table(spec), spec),
-    )
+    return _start(positions, cfg, "latest_position", _newest(fleet.latest_position, schemas.LATEST_POSITION, cfg))
 
 
-def vehicle_status_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 7."""
-    spec = schemas.VEHICLE_STATUS
+def _status_rows(rows: DataFrame) -> DataFrame:
+    found = rows.withColumn("_has_gap", F.col("gap_km").isNotNull())
+    return fleet.as_status_rows(newest_rows(found, ["p"], ["event_time", "_has_gap", "event_id"]))
 
-    def merge(batch: DataFrame, version: int) -> None:
-        rows = batch.withColumn("_has_gap", F.col("gap_km").isNotNull())
-        newest = newest_rows(rows, ["p"], ["event_time", "_has_gap", "event_id"])
-        upsert(fleet.as_status_rows(newest), version, cfg.table(spec), spec)
 
-    return _start(motion_with_gaps(positions), cfg, "vehicle_status", merge)
+def vehicle_status_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
+    """Job 7."""
+    rows = motion_with_gaps(positions, (cfg.vehicle_slot, cfg.line_slot))
+    return _start(rows, cfg, "vehicle_status", _newest(_status_rows, schemas.VEHICLE_STATUS, cfg))
 
 
 def line_catalogue_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 8."""
-    spec = schemas.LINE_CATALOGUE
-    return _start(
-        positions, cfg, "line_catalogue",
-        lambda batch, version: upsert(fleet.line_catalogue(batch), version, cfg.table(spec), spec),
-    )
+    return _start(positions, cfg, "line_catalogue", _newest(fleet.line_catalogue, schemas.LINE_CATALOGUE, cfg))
 
 
 JOBS: dict[str, Callable[[DataFrame, JobConfig], StreamingQuery]] = {
@@ -251,9 +322,9 @@ def start_all(
 ) -> dict[str, StreamingQuery]:
     """Start jobs side by side, each with its own reader from ``source`` and its own checkpoint."""
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
-    # A stream keeps the number of state partitions it starts with; more than two per core only add overhead.
     wanted = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, str(min(int(wanted), 2 * spark.sparkContext.defaultParallelism)))
+    if cfg.state_partitions:
+        spark.conf.set(PARTITIONS, str(cfg.state_partitions))
     try:
         return {name: JOBS[name](source(), cfg) for name in names}
     finally:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetlens import schemas
 from fleetlens.operators import logmetrics as lm
 from fleetlens.operators.latest import newest_by_state
-from fleetlens.operators.upsert import read_history, read_table
+from fleetlens.operators.upsert import read_history, read_rejects, read_table
 from fleetlens.plans import fleet, headway, motion
 from fleetlens.sources import derived, feed
 from fleetlens.sources.positions import read_positions, watermarked
@@ -100,6 +100,41 @@ def test_state_tables_over_batches_side_by_side(spark, landed, tmp_path):
         assert rows_of(read_table(spark, cfg.table(spec), spec.schema)) == rows_of(plan(seen))
 
 
+def test_fresh_checkpoints_lose_nothing(spark, reports, tmp_path):
+    """Two queries one after the other, each from batch 0, over the same tables."""
+    first = [{"p": 1, "at": 0}, {"p": 1, "at": 60, "km": 0.5}, {"p": None, "at": 61}, {"p": 2, "at": 600}, {"p": 2, "at": 700, "id": 70}]
+    then = [{"p": 1, "at": 1000, "km": 1.0, "id": 80}, {"p": 1, "at": 1100, "km": 2.0, "id": 81}, {"p": 3, "at": 1300, "id": 82},
+            {"p": 3, "at": 1400, "id": 83}]
+    names = ("active_vehicles", "speed_by_line", "speed_history", "latest_position")
+    seen = {}
+    for turn, part in enumerate((first, then)):
+        folder = str(tmp_path / f"in{turn}")
+        for report in part:  # several batches
+            reports([report]).coalesce(1).write.mode("append").parquet(folder)
+        cfg = jobs.JobConfig(str(tmp_path / "tables"), str(tmp_path / f"checkpoints{turn}"), (("availableNow", True),),
+                             state_partitions=2, keep_seconds=0)
+        run(spark, folder, cfg, *names)
+        seen[turn] = read_history(spark, cfg.table(schemas.SPEED_HISTORY), schemas.SPEED_HISTORY).count()
+    latest = read_table(spark, cfg.table(schemas.LATEST_POSITION), schemas.LATEST_POSITION.schema).collect()
+    assert {r.prefixo: r.ultima_atualizacao.minute for r in latest} == {1: 18, 2: 11, 3: 23}
+    assert read_rejects(spark, cfg.table(schemas.LATEST_POSITION)).count() == 1
+    active = read_table(spark, cfg.table(schemas.ACTIVE_VEHICLES), schemas.ACTIVE_VEHICLES.schema).first()
+    assert active.total_onibus_ativos == 3
+    speeds = read_table(spark, cfg.table(schemas.SPEED_BY_LINE), schemas.SPEED_BY_LINE.schema).first()
+    assert speeds.velocidade_maxima == 36.0 and seen[1] > seen[0] > 0
+
+
+def test_rows_go_to_a_sink(spark, landed, tmp_path):
+    got = {}
+
+    def sink(rows, batch, spec):
+        got.setdefault((spec.name, batch.query), []).append(rows.count())
+
+    run(spark, landed, config(tmp_path, sink=sink), "latest_position", "active_vehicles")
+    assert {name for name, _ in got} == {schemas.LATEST_POSITION.name, schemas.ACTIVE_VEHICLES.name} and len(got) == 2
+    assert all(len(counts) == BATCHES for counts in got.values())
+
+
 def test_active_within_forgets_quiet_vehicles(spark, landed, tmp_path):
     cfg = config(tmp_path, active_within="1 hour")
     run(spark, landed, cfg, "active_vehicles")
