@@ -14,6 +14,7 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
     "orders": "o_orderkey bigint, o_custkey bigint",
     "customer": "c_custkey bigint",
+    "nation": "n_name string",
 }
 
 FILES_PER_BATCH = 200
@@ -142,6 +143,18 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads, and one of each broken kind for every nation: cut off, a list that is an object, an error page."""
+    name = F.col("n_name")
+    kinds = F.array(
+        F.concat(F.lit('{"l":[{"c":"'), name, F.lit('","cl":1,"vs":[{"p":')),
+        F.concat(F.lit('{"l":[{"c":"'), name, F.lit('","vs":{"p":1}}]}')),
+        F.concat(F.lit("<html><body>"), name, F.lit("</body></html>")),
+    )
+    broken = _table(spark, sf_dir, "nation").select(F.explode(kinds).alias("payload"))
+    return feed(spark, sf_dir).unionByName(broken)
+
+
 def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports as untyped text, some of which cannot be coerced: bad or missing ids, broken numbers and flags."""
     event = F.col("event_id")

@@ -24,9 +24,19 @@ def test_flatten_repeats_line_fields(spark):
     assert (second.ta, second.ta_tempo) == (1709261999900, "2024-02-29 23:59:59")
 
 
-@pytest.mark.parametrize("body", [{"l": []}, {"l": [{**LINE, "vs": []}]}, {}, "null", "", "not json"])
+@pytest.mark.parametrize("body", [{"l": []}, {"l": [{**LINE, "vs": []}]}, {}, "null", "", " [] ", "false"])
 def test_empty_payloads_give_no_rows(spark, body):
     assert feed.flatten_feed(payloads(spark, body)).count() == 0
+    assert feed.checked_rows(payloads(spark, body)).count() == 0
+
+
+def test_unreadable_payloads_become_dead_letters(spark):
+    good = {"l": [{**LINE, "vs": [VEHICLE]}]}
+    broken = ["not json", '{"l":[{"c":"A","vs":[{"p":1', '{"l":[{"c":"A","vs":{"p":1}}]}', '{"l":"x"}', "<html></html>"]
+    rows, dead = feed.flatten_checked(payloads(spark, good, *broken, "", "null"))
+    assert rows.count() == 1
+    assert sorted((r.key, r.value) for r in dead.collect()) == sorted(("unknown", b) for b in broken)
+    assert rows_of(feed.dead_payloads(payloads(spark, good, *broken))) == rows_of(dead)
 
 
 def test_bad_vehicles_become_dead_letters(spark):
@@ -67,12 +77,31 @@ def test_kafka_records_decode(spark):
 
 def test_landing_keeps_a_vehicle_in_one_partition(spark, tmp_path):
     good, dead = split_valid(derived.raw_reports(spark, SMALL))
-    producer.land(good, dead, str(tmp_path))
-    landed = spark.read.json(str(tmp_path / positions.TOPIC)).withColumn("file", F.input_file_name())
+    producer.land(producer.tagged(good, dead), str(tmp_path), 4)
+    landed = spark.read.json(str(tmp_path)).withColumn("file", F.input_file_name())
+    assert landed.where(F.col("topic") == producer.DEAD_LETTER_TOPIC).count() == dead.count()
+    landed = landed.where(F.col("topic") == positions.TOPIC)
     assert landed.count() == good.count()
     assert landed.groupBy("key").agg(F.count_distinct("file").alias("n")).where("n > 1").count() == 0
-    assert landed.select("file").distinct().count() <= positions.TOPIC_PARTITIONS
-    assert spark.read.json(str(tmp_path / producer.DEAD_LETTER_TOPIC)).count() == dead.count()
+    assert landed.select("file").distinct().count() <= 4
+
+
+def test_ingest_job_over_batches(spark, tmp_path):
+    folder = tmp_path / "polls"
+    folder.mkdir()
+    texts = []
+    for i in range(4):
+        vehicle = {"p": i, "a": False, "ta": "2024-03-01T11:00:00Z" if i else "soon", "py": 1.0, "px": 2.0}
+        texts.append(json.dumps({"l": [{**LINE, "vs": [vehicle]}]}))
+    for i, text in enumerate([*texts, "<html>", '{"l":[{', ""]):
+        (folder / f"{i}.json").write_text(text)
+    source = feed.read_payload_stream(spark, str(folder), files_per_batch=2)
+    query = producer.start_ingest(source, str(tmp_path / "c"), str(tmp_path / "out"), trigger=(("availableNow", True),))
+    query.awaitTermination()
+    landed = [(r.topic, r.key) for r in spark.read.json(str(tmp_path / "out")).collect()]
+    dead = producer.DEAD_LETTER_TOPIC
+    assert sorted(landed) == sorted([(positions.TOPIC, k) for k in "123"] + [(dead, "0"), (dead, "unknown"), (dead, "unknown")])
+
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "csv", "orc"])
