@@ -21,7 +21,8 @@ HEADLINE = [
     "active_vehicles", "speed_by_line", "speed_history", "headway_by_line", "headway_history", "latest_position",
     "vehicle_status", "line_catalogue", "vehicle_motion_left", "operations_panel", "nearest_shape", "route_spacing",
     "route_length_all", "flatten_feed", "dead_letter", "upsert_merge", "constraint_violations", "log_count_default",
-    "log_quantile", "log_rate_by_container", "log_live_containers", "log_bytes_over_time",
+    "log_quantile", "log_rate_by_container", "log_live_containers", "log_bytes_over_time", "adjacent_lag",
+    "adjacent_lag_chunked", "headway_by_line_chunked", "dead_payloads", "ingest_messages",
 ]
 STREAMING = ["stream_speed_history"]
 

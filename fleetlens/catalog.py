@@ -14,7 +14,7 @@ from fleetlens.operators.lag import CHUNK
 from fleetlens.plans import fleet, headway, motion, panels, routes
 from fleetlens.schemas import LATEST_POSITION, TABLES
 from fleetlens.session import ensure_checkpoint_dir, shared_dir
-from fleetlens.sources import derived, feed
+from fleetlens.sources import derived, feed, producer
 from fleetlens.sources.positions import with_gps_timestamp
 from fleetlens.streaming import jobs
 
@@ -25,6 +25,7 @@ LINE = "L01-10"
 EXTENT_LINES = ("L01-10", "L02-10", "L03-10")
 UPSERT_CUT = "2024-01-01 06:00:00"
 RAW_DIGITS = 6
+SMALL_CHUNK = 100
 
 
 def _on_positions(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -51,6 +52,17 @@ def _adjacent_lag(positions: DataFrame) -> DataFrame:
     return headway.with_neighbour(positions).select("event_id", "c", "sl", "p", "near_py", "near_px", "near_p")
 
 
+def _adjacent_lag_chunked(positions: DataFrame) -> DataFrame:
+    splits = motion.time_splits(positions, motion.LINE_WAY, rows_per_chunk=SMALL_CHUNK)
+    rows = headway.with_neighbour(positions, splits)
+    return rows.select("event_id", "c", "sl", "p", "near_py", "near_px", "near_p")
+
+
+def _headway_chunked(positions: DataFrame) -> DataFrame:
+    splits = motion.time_splits(positions, motion.VEHICLE, motion.LINE_WAY, rows_per_chunk=SMALL_CHUNK)
+    return headway.headway_by_line(positions, splits)
+
+
 def _segment_distance(positions: DataFrame) -> DataFrame:
     rows = motion.segments(positions)
     return rows.select("event_id", "p", F.round("distance_km", RAW_DIGITS).alias("distance_km"), "seconds")
@@ -120,6 +132,9 @@ BATCH: dict[str, Query] = {
     "gps_time_parts": _on_positions(_gps_time_parts),
     "vehicle_lag": _on_positions(_vehicle_lag),
     "adjacent_lag": _on_positions(_adjacent_lag),
+    # The form that tables with very large keys get, forced by a small chunk.
+    "adjacent_lag_chunked": _on_positions(_adjacent_lag_chunked),
+    "headway_by_line_chunked": _on_positions(_headway_chunked),
     "segment_distance": _on_positions(_segment_distance),
     "instant_speed": _on_positions(lambda p: _rounded(motion.speed_events(p), "speed_kmh")),
     "speed_valid": _on_positions(lambda p: _rounded(motion.plausible(motion.speed_events(p)), "speed_kmh")),
@@ -152,6 +167,8 @@ BATCH: dict[str, Query] = {
     "route_length_all": lambda s, d: routes.route_length(derived.shapes(s, d), derived.trips(s, d)),
     # Ingest and sinks.
     "flatten_feed": lambda s, d: feed.flatten_feed(derived.feed(s, d)),
+    "dead_payloads": lambda s, d: feed.dead_payloads(derived.broken_feed(s, d)),
+    "ingest_messages": lambda s, d: producer.feed_messages(derived.broken_feed(s, d)),
     "flatten_checked": lambda s, d: feed.flatten_checked(derived.feed(s, d))[0],
     "valid_reports": lambda s, d: deadletter.split_valid(derived.raw_reports(s, d))[0],
     "dead_letter": lambda s, d: deadletter.split_valid(derived.raw_reports(s, d))[1],

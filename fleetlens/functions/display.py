@@ -39,8 +39,8 @@ def spacing_diagnosis(gap_km: Column) -> Column:
 
 
 def fixed(value: Column, places: int) -> Column:
-    """Exact decimal with ``places`` digits, ties away from zero."""
-    return F.round(value.cast("decimal(24,6)"), places)
+    """Exact decimal with ``places`` digits, rounded once, ties away from zero."""
+    return F.round(value.cast("decimal(38,15)"), places)
 
 
 def decimal_comma(value: Column, places: int) -> Column:

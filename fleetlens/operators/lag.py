@@ -1,7 +1,7 @@
 """LAG over ordered keys that stays bounded when one key holds most of the rows.
 
-A plain ``lag().over(partitionBy(key))`` puts a whole key in one task. Here the order column is cut into chunks at its
-quantiles, so a (key, chunk) group holds at most about one chunk of all rows whatever the skew. What a chunk needs from
+A plain ``lag().over(partitionBy(key))`` puts a whole key in one task. Where a key is
+that large, the order column is cut into chunks at its quantiles, so a (key, chunk) group holds about one chunk of rows. What a chunk needs from
 the past is one row: the last row of the key's previous chunk. Those rows are found with a pre-aggregated ``max_by``
 (one row per key and chunk) and added as seed rows at the head of the next chunk, so one shuffle of the data is enough.
 """
@@ -17,10 +17,8 @@ from pyspark.sql.types import TimestampType
 CHUNK = "_chunk"
 _SEED = "_seed"
 
-# Below this many rows no group can outgrow a task, so the plain window is used: it needs no second scan for the seeds.
+# Rows of one key that a task should sort at a time. A table whose largest key has fewer is not cut.
 ROWS_PER_CHUNK = 8_000_000
-# A key has at most this many seed rows.
-MAX_CHUNKS = 16384
 # Values looked at per chunk to place its edge.
 SAMPLES_PER_CHUNK = 100
 
@@ -32,24 +30,30 @@ def _as_number(df: DataFrame, column: str):
 
 
 def order_splits(
-    df: DataFrame, column: str, rows_per_chunk: int = ROWS_PER_CHUNK, max_chunks: int = MAX_CHUNKS
+    df: DataFrame, column: str, keys: Sequence[Sequence[str]], rows_per_chunk: int | None = None
 ) -> tuple[float, ...]:
-    """Quantiles of ``column`` that cut the rows into chunks; empty when all rows fit in one.
+    """Quantiles of ``column`` that cut the largest group of any of the ``keys`` into chunks; empty when no group is large.
 
-    Like a range partitioner this looks at the data before the plan is built: a row count, which Parquet answers from
-    its footers, and a sample of one column when there is more than one chunk. The sample only places the edges; where
-    they lie changes how the work is split, not the result.
+    Like a range partitioner this looks at the data before the plan is built: rows are counted by key (aggregated before
+    the shuffle), and only where a key is too large, a sample of the order column of such keys places the edges. Where
+    they lie changes how the work is split, not the result. There is no upper limit to the number of chunks.
     """
-    rows = df.count()
-    if rows <= rows_per_chunk:
-        return ()
-    chunks = min(max_chunks, -(-rows // rows_per_chunk))
-    share = min(1.0, SAMPLES_PER_CHUNK * chunks / rows)
-    seen = df.select(_as_number(df, column).alias("v"))
-    seen = seen.sample(share, seed=7) if share < 1.0 else seen
-    shares = [i / chunks for i in range(1, chunks)]
-    cuts = seen.agg(F.percentile_approx("v", shares, 10 * max(chunks, 1000))).first()[0]
-    return tuple(sorted(set(cuts or ())))
+    rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK
+    cuts: set[float] = set()
+    for key in keys:
+        large = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_chunk)
+        most, total = large.agg(F.max("_n"), F.sum("_n")).first()
+        if most is None:
+            continue
+        chunks = -(-most // rows_per_chunk)
+        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
+        rows = df.select(*key, _as_number(df, column).alias("v")).alias("a")
+        share = min(1.0, SAMPLES_PER_CHUNK * chunks / most)
+        rows = rows.join(large.select(*key).alias("b"), same, "left_semi").select("v")
+        rows = rows.sample(share, seed=7) if share < 1.0 else rows
+        shares = [i / chunks for i in range(1, chunks)]
+        cuts.update(rows.agg(F.percentile_approx("v", shares, 10 * max(chunks, 1000))).first()[0] or ())
+    return tuple(sorted(cuts))
 
 
 def with_chunk(df: DataFrame, column: str, splits: Sequence[float]) -> DataFrame:

@@ -106,17 +106,16 @@ def quantile_over_time(
     )
 
 
-def steps_of(logs: DataFrame, span: str) -> DataFrame:
-    """Every range between the first and the last log line, including those without lines."""
+def steps_of(logs: DataFrame, span: str, edges: tuple[int, int] | None = None) -> DataFrame:
+    """Every range between two times, including those without lines. ``edges`` are seconds since 1970 of the first and the
+    last line to cover, by default those of ``logs``; steps are made in parallel, however far apart the edges are."""
     width = seconds_of(span)
-    edge = f"timestamp_seconds(floor(unix_seconds({{}}) / {width}) * {width})"
-    return (
-        logs.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-        .where(F.col("a").isNotNull())
-        .select(F.explode(F.expr(
-            f"sequence({edge.format('a')}, {edge.format('b')}, INTERVAL {width} SECONDS)"
-        )).alias("window_start"))
-        .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {width} SECONDS"))
+    if edges is None:
+        edges = logs.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    first, last = (0, -1) if edges[0] is None else (edge // width for edge in edges)
+    start = F.timestamp_seconds((F.col("id") + first) * width)
+    return logs.sparkSession.range(last - first + 1).select(start.alias("window_start")).withColumn(
+        "window_end", F.col("window_start") + F.expr(f"INTERVAL {width} SECONDS")
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.geo import squared_degrees
+from fleetlens.session import ensure_checkpoint_dir
 
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
@@ -40,10 +41,11 @@ def _parent(cell: Column) -> Column:
 
 
 def _cell_bounds(points: DataFrame, levels: int) -> list[DataFrame]:
-    """Occupied cells with tight bounds, from the level below the coarsest down to the finest."""
+    """Occupied cells with tight bounds, from the level below the coarsest down to the finest. The finest are aggregated
+    from the points and written; each level comes from the one below it."""
     finest = points.groupBy("ci", "cj").agg(
         F.min("plat").alias("lat0"), F.max("plat").alias("lat1"), F.min("plon").alias("lon0"), F.max("plon").alias("lon1")
-    )
+    ).checkpoint()
     stack = [finest]
     for _ in range(levels - 1):
         stack.append(
@@ -77,7 +79,9 @@ def nearest_point(
         F.col(point_at[0]).alias("plat"), F.col(point_at[1]).alias("plon"), F.col(value).alias("_value")
     ).where(F.col("plat").isNotNull() & F.col("plon").isNotNull())
     located = located.withColumns({"ci": _cell(F.col("plat"), finest), "cj": _cell(F.col("plon"), finest)})
-    distinct_points = located.groupBy("ci", "cj", "plat", "plon").agg(F.min("_value").alias("_value"))
+    # Written once: the points are scanned here and counted above, whatever the number of levels.
+    ensure_checkpoint_dir(points.sparkSession)
+    distinct_points = located.groupBy("ci", "cj", "plat", "plon").agg(F.min("_value").alias("_value")).checkpoint()
 
     spots = (
         left.select(F.col(lat).alias("slat"), F.col(lon).alias("slon"))
@@ -93,7 +97,7 @@ def nearest_point(
     slat, slon = F.col("slat"), F.col("slon")
     box = (slat - radius, slat + radius, slon - radius, slon + radius)
     per_spot = Window.partitionBy("slat", "slon")
-    for cells in _cell_bounds(located, levels):
+    for cells in _cell_bounds(distinct_points, levels):
         children = cells.withColumns({"pi": _parent(F.col("ci")), "pj": _parent(F.col("cj"))})
         touches = (
             (F.col("lat1") >= box[0]) & (F.col("lat0") <= box[1]) & (F.col("lon1") >= box[2]) & (F.col("lon0") <= box[3])

@@ -174,13 +174,13 @@ _HEADWAY_HIST = f"SELECT linha, {_MINUTE}, {_HEADWAY} FROM headways"
 
 
 def _comma(value: str, places: int) -> str:
-    return f"replace(CAST(CAST(round(CAST({value} AS DECIMAL(24,6)), {places}) AS DECIMAL(24,{places})) AS VARCHAR), '.', ',')"
+    return f"replace(CAST(CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,15)), {places}) AS DECIMAL(24,{places})) AS VARCHAR), '.', ',')"
 
 
 _WHOLE_SECONDS = "CAST(floor(CAST(headway_minutos AS DECIMAL(12,2)) * 60) AS BIGINT)"
 _PANEL = f"""
 SELECT prefixo, sentido,
-  CAST(CAST(round(CAST(velocidade_kmh AS DECIMAL(24,6)), 1) AS DECIMAL(24,1)) AS VARCHAR) || ' km/h' AS velocidade,
+  CAST(CAST(round(CAST(CAST(velocidade_kmh AS VARCHAR) AS DECIMAL(38,15)), 1) AS DECIMAL(24,1)) AS VARCHAR) || ' km/h' AS velocidade,
   lpad(CAST({_WHOLE_SECONDS} // 60 % 60 AS VARCHAR), 2, '0') || ':' ||
     lpad(CAST({_WHOLE_SECONDS} % 60 AS VARCHAR), 2, '0') || ' min' AS headway,
   CASE status WHEN '{display.STOPPED}' THEN '{display.STATUS_BADGES[display.STOPPED]}'
@@ -202,7 +202,7 @@ SELECT linha, prefixo AS onibus, onibus_a_frente, {_comma('metres', 1)} AS km_ac
   replace(CAST(gap AS VARCHAR), '.', ',') AS dist_entre_onibus_km,
   CASE WHEN gap <= 0.20 THEN '{display.BUNCHED}' WHEN gap >= 5.0 THEN '{display.SERVICE_GAP}'
     WHEN gap >= 3.0 THEN '{display.WIDE}' ELSE '{display.REGULAR}' END AS diagnostico_operacional
-FROM (SELECT *, CAST(round(CAST((metres - lag(metres) OVER w) / 1000.0 AS DECIMAL(24,6)), 2) AS DECIMAL(24,2)) AS gap,
+FROM (SELECT *, CAST(round(CAST(CAST((metres - lag(metres) OVER w) / 1000.0 AS VARCHAR) AS DECIMAL(38,15)), 2) AS DECIMAL(24,2)) AS gap,
     lag(prefixo) OVER w AS onibus_a_frente
   FROM placed WINDOW w AS (PARTITION BY linha ORDER BY metres NULLS LAST, prefixo))
 WHERE gap IS NOT NULL
@@ -296,6 +296,10 @@ def _panel_sql(panel: Panel, digits: int = RAW_DIGITS) -> str:
     return _with(f"{windows}, {steps}", body, "logs")
 
 
+_BROKEN_PAYLOADS = """
+SELECT 'unknown' AS key, unnest(['{"l":[{"c":"' || n_name || '","cl":1,"vs":[{"p":', '{"l":[{"c":"' || n_name || '","vs":{"p":1}}]}',
+  '<html><body>' || n_name || '</body></html>']) AS value FROM nation"""
+
 ORACLES: dict[str, str] = {
     "active_vehicles": _sql(f"{_ACTIVE} GROUP BY c", "positions"),
     "speed_by_line": _sql(f"{_SPEED_LINE} GROUP BY linha", "speeds"),
@@ -371,6 +375,13 @@ ORACLES: dict[str, str] = {
         f"SELECT CAST(p AS VARCHAR) AS key, CAST(json_object({_JSON_FIELDS}) AS VARCHAR) AS value FROM positions",
         "positions"
     ),
+    "dead_payloads": f"SELECT key, value FROM ({_BROKEN_PAYLOADS})",
+    "ingest_messages": _sql(
+        f"SELECT 'posicoes_sptrans' AS topic, CAST(p AS VARCHAR) AS key, "
+        f"CAST(json_object({_JSON_FIELDS}) AS VARCHAR) AS value FROM positions "
+        f"UNION ALL SELECT 'posicoes_sptrans_dlq', key, value FROM ({_BROKEN_PAYLOADS})",
+        "positions"
+    ),
     "upsert_merge": _sql("SELECT * FROM latest", "latest"),
     "constraint_violations": _with(
         _CARELESS,
@@ -398,6 +409,8 @@ ORACLES: dict[str, str] = {
 _PASSED = "event_time <= (SELECT mark FROM passed)"
 _CLOSED = "date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM passed)"
 ORACLES |= {
+    "adjacent_lag_chunked": ORACLES["adjacent_lag"],
+    "headway_by_line_chunked": ORACLES["headway_by_line"],
     "stream_active_vehicles": ORACLES["active_vehicles"],
     "stream_speed_by_line": _sql(f"{_SPEED_LINE} AND {_PASSED} GROUP BY linha", "speeds", "passed"),
     "stream_speed_history": _sql(

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from fleetlens.functions.geo import haversine_km
 from fleetlens.operators.lag import CHUNK, lag_over
 from fleetlens.plans.motion import (
+    LINE_WAY,
     MAX_SPEED_KMH,
     ORDER,
+    VEHICLE,
     moved,
     per_minute,
     step_speed,
@@ -39,7 +41,7 @@ def with_neighbour(
 ) -> DataFrame:
     """Every report with the previous report on the same line and direction, whoever sent it."""
     if splits is None:
-        splits = time_splits(positions if tail_source is None else tail_source)
+        splits = time_splits(positions if tail_source is None else tail_source, LINE_WAY)
     return lag_over(positions, ["c", "sl"], ORDER, NEIGHBOUR, splits, tail_source)
 
 
@@ -78,7 +80,7 @@ def headway_minutes(gap: Column, speed: Column) -> Column:
 
 def headway_events(positions: DataFrame, splits: Sequence[float] | None = None) -> DataFrame:
     """One row per report with a plausible speed and a neighbour: gap, speed and headway in minutes."""
-    splits = time_splits(positions) if splits is None else splits
+    splits = time_splits(positions, VEHICLE, LINE_WAY) if splits is None else splits
     rows = lag_over(_with_group_speed(positions, splits), ["c", "sl"], ORDER, NEIGHBOUR, splits, tail_source=positions)
     return (
         rows.where(
@@ -116,7 +118,7 @@ def motion_with_gaps(positions: DataFrame, splits: Sequence[float] | None = None
 
     This is the outer join on (line, vehicle, time) in full: reports that share all three pair up.
     """
-    splits = time_splits(positions) if splits is None else splits
+    splits = time_splits(positions, VEHICLE, LINE_WAY) if splits is None else splits
     speed = with_previous_fix(positions, splits).select(
         "event_id", F.col("c").alias("linha"), "sl", "p", "event_time",
         F.coalesce(step_speed(), F.lit(0.0)).alias("speed_kmh"),

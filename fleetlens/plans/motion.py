@@ -18,8 +18,12 @@ MAX_SPEED_KMH = 120.0
 HISTORY_WINDOW = "1 minute"
 
 
-def time_splits(positions: DataFrame) -> tuple[float, ...]:
-    return order_splits(positions, "event_time")
+VEHICLE, LINE_WAY = ("p",), ("c", "sl")
+
+
+def time_splits(positions: DataFrame, *keys: Sequence[str], rows_per_chunk: int | None = None) -> tuple[float, ...]:
+    """Edges that keep every group of the given keys small enough for a task."""
+    return order_splits(positions, "event_time", keys, rows_per_chunk)
 
 
 def step_seconds() -> Column:
@@ -46,7 +50,7 @@ def moved() -> Column:
 
 def with_previous_fix(positions: DataFrame, splits: Sequence[float] | None = None) -> DataFrame:
     """Every report with the vehicle's previous coordinates and time. Keeps the ``_chunk`` helper column."""
-    splits = time_splits(positions) if splits is None else splits
+    splits = time_splits(positions, VEHICLE) if splits is None else splits
     previous = {"from_py": "py", "from_px": "px", "from_time": "event_time"}
     return lag_over(positions, ["p"], ORDER, previous, splits)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import display
 from fleetlens.functions.timing import clock
-from fleetlens.operators.lag import ROWS_PER_CHUNK, lag_over, order_splits
+from fleetlens.operators.lag import lag_over, order_splits
 from fleetlens.operators.nearest import nearest_point
 from fleetlens.session import ensure_checkpoint_dir
 
@@ -27,20 +27,18 @@ def place_on_shapes(latest: DataFrame, shapes: DataFrame) -> DataFrame:
 
 
 def route_spacing(
-    latest: DataFrame, shapes: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK
+    latest: DataFrame, shapes: DataFrame, rows_per_chunk: int | None = None
 ) -> DataFrame:
     """Gap of every vehicle to the next one behind it along the line, with a diagnosis.
 
-    ``latest`` should be a stored table: it is counted to see whether one line could outgrow a task. Vehicles that are
-    not near a shape have no distance, sort after all others and get no gap, so they are left out before the LAG.
+    Places are written once, one row per vehicle, and counted by line to see whether one could outgrow a task. Vehicles
+    that are not near a shape have no distance, sort after all others and get no gap, so they are left out before the LAG.
     """
     placed = place_on_shapes(latest.select("prefixo", "linha", "latitude", "longitude"), shapes)
     placed = placed.where(F.col("dist_percorrida_metros").isNotNull())
-    splits: Sequence[float] = ()
-    if latest.count() > rows_per_chunk:
-        ensure_checkpoint_dir(latest.sparkSession)
-        placed = placed.checkpoint()
-        splits = order_splits(placed, "dist_percorrida_metros", rows_per_chunk)
+    ensure_checkpoint_dir(latest.sparkSession)
+    placed = placed.checkpoint()
+    splits = order_splits(placed, "dist_percorrida_metros", [["linha"]], rows_per_chunk)
     behind = {"onibus_a_frente": "prefixo", "_behind_m": "dist_percorrida_metros"}
     rows = lag_over(placed, ["linha"], ["dist_percorrida_metros", "prefixo"], behind, splits)
     gap = display.fixed((F.col("dist_percorrida_metros") - F.col("_behind_m")) / 1000.0, 2)

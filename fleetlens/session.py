@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,14 +32,19 @@ def build_session(app: str = "fleetlens", master: str | None = None, **extra: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint dir, or a local one in tests."""
+    """Folder every executor can reach: the cluster's checkpoint dir, or on a local master a folder of this process, which
+    is removed when it ends."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"name a shared folder in spark.checkpoint.dir: executors of {master} do not share local folders")
     local = tempfile.mkdtemp(prefix="fleetlens-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.sparkContext.setCheckpointDir("file://" + os.path.abspath(local))
     return spark.sparkContext.getCheckpointDir()
 

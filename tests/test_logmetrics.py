@@ -70,3 +70,11 @@ def test_empty_logs_have_no_steps(logs):
 @pytest.mark.parametrize("key", panels.PANELS)
 def test_every_panel_runs(logs, key):
     assert panels.run_panel(logs, panels.PANELS[key]).columns
+
+
+def test_steps_between_far_edges_are_made_in_parallel(spark):
+    logs = spark.createDataFrame([("1970-01-01 00:00:10",), ("2024-01-01 00:00:00",)], "ts string").withColumn("ts", F.to_timestamp("ts"))
+    steps = lm.steps_of(logs, "1h")
+    assert steps.count() == 473353 and steps.rdd.getNumPartitions() > 1
+    assert lm.steps_of(logs.where("false"), "1h").count() == 0
+    assert [r.window_start.minute for r in lm.steps_of(logs, "1m", (30, 150)).orderBy("window_start").collect()] == [0, 1, 2]

@@ -18,26 +18,31 @@ def positions(spark):
     return derived.positions(spark, SMALL)
 
 
+def cuts_of(df, column, rows_per_chunk):
+    """Edges for all rows, as if they had one key."""
+    return lag.order_splits(df.withColumn("one", F.lit(1)), column, [["one"]], rows_per_chunk)
+
+
 def test_few_rows_need_no_splits(positions):
-    assert lag.order_splits(positions, "event_time") == ()
+    assert lag.order_splits(positions, "event_time", [["p"], ["c", "sl"]]) == ()
 
 
 def test_splits_bound_the_chunks(positions):
-    cuts = lag.order_splits(positions, "event_time", rows_per_chunk=100)
+    cuts = cuts_of(positions, "event_time", 100)
     sizes = [r["count"] for r in lag.with_chunk(positions, "event_time", cuts).groupBy(lag.CHUNK).count().collect()]
     assert len(cuts) == 9 and len(sizes) == 10 and max(sizes) <= 150
 
 
 def test_sampled_splits_bound_the_chunks(spark):
     skewed = spark.range(200_000).selectExpr("cast(pow(id, 3) AS double) AS t")
-    cuts = lag.order_splits(skewed, "t", rows_per_chunk=10_000)
+    cuts = cuts_of(skewed, "t", 10_000)
     sizes = [r["count"] for r in lag.with_chunk(skewed, "t", cuts).groupBy(lag.CHUNK).count().collect()]
     assert len(sizes) == 20 and max(sizes) < 20_000
 
 
 @pytest.mark.parametrize("rows_per_chunk", [400, 40, 7])
 def test_chunked_plans_equal_plain_ones(positions, rows_per_chunk):
-    cuts = lag.order_splits(positions, "event_time", rows_per_chunk)
+    cuts = cuts_of(positions, "event_time", rows_per_chunk)
     assert cuts
     for plan in (motion.speed_history, headway.headway_events, fleet.vehicle_status, headway.motion_with_gaps):
         assert rows_of(plan(positions, cuts)) == rows_of(plan(positions, ()))
@@ -48,13 +53,13 @@ def test_chunked_lag_with_one_hot_key_gaps_and_null_keys(spark):
     rows = [(("hot" if i % 3 else rng.choice(["a", "b", None])), float(rng.choice(range(0, 5000, 10))), i) for i in range(900)]
     df = spark.createDataFrame(rows, "k string, t double, id long")
     plain = lag.lag_over(df, ["k"], ["t", "id"], {"prev": "id"}).drop(lag.CHUNK)
-    cuts = lag.order_splits(df, "t", 50)
+    cuts = lag.order_splits(df, "t", [["k"]], 50)
     assert len(cuts) > 10
     assert rows_of(lag.lag_over(df, ["k"], ["t", "id"], {"prev": "id"}, cuts).drop(lag.CHUNK)) == rows_of(plain)
 
 
 def test_chunked_lag_shuffles_the_rows_once(positions):
-    cuts = lag.order_splits(positions, "event_time", 100)
+    cuts = cuts_of(positions, "event_time", 100)
     rows = motion.with_previous_fix(positions, cuts)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     # One exchange for the rows and seeds, two for the seeds: one per (key, chunk), one per key.
@@ -184,28 +189,49 @@ def test_versions_survive_a_repeated_batch(spark, tmp_path):
         return spark.createDataFrame([], spec.schema) if not rows else spark.createDataFrame(rows, "linha string, total_onibus_ativos long, ultima_atualizacao string").withColumn(
             "ultima_atualizacao", F.to_timestamp("ultima_atualizacao"))
 
-    upsert.upsert(batch(("A", 1, "2024-01-01 00:00:00"), ("B", 1, "2024-01-01 00:00:00")), 0, path, spec)
+    once, other = (lambda n: upsert.BatchId("q", n)), (lambda n: upsert.BatchId("r", n))
+    upsert.upsert(batch(("A", 1, "2024-01-01 00:00:00"), ("B", 1, "2024-01-01 00:00:00")), once(0), path, spec)
     for _ in range(2):
-        upsert.upsert(batch(("A", 2, "2024-01-01 00:01:00"), ("C", 5, "2024-01-01 00:01:00")), 1, path, spec)
-    upsert.upsert(batch(("A", 9, "2023-12-31 00:00:00")), 2, path, spec)
-    stored = {r.linha: r.total_onibus_ativos for r in upsert.read_table(spark, path, spec.schema).collect()}
-    assert stored == {"A": 2, "B": 1, "C": 5}
-    earlier = upsert.read_table(spark, path, spec.schema, before=1)
-    assert {r.linha: r.total_onibus_ativos for r in earlier.collect()} == {"A": 1, "B": 1}
+        upsert.upsert(batch(("A", 2, "2024-01-01 00:01:00"), ("C", 5, "2024-01-01 00:01:00")), once(1), path, spec)
+    upsert.upsert(batch(("A", 9, "2023-12-31 00:00:00")), once(2), path, spec)
 
+    def stored():
+        return {r.linha: r.total_onibus_ativos for r in upsert.read_table(spark, path, spec.schema).collect()}
+
+    assert stored() == {"A": 2, "B": 1, "C": 5}
+    # A query that starts afresh counts its batches from 0 again and still merges on top.
+    for _ in range(2):
+        upsert.upsert(batch(("B", 7, "2024-01-02 00:00:00")), other(0), path, spec)
+    assert stored() == {"A": 2, "B": 7, "C": 5}
+    upsert.upsert(batch((None, 3, "2024-01-02 00:00:00"), ("L" * 60, 3, "2024-01-02 00:00:00"), ("D", 4, "2024-01-02 00:00:00")),
+                  other(1), path, spec)
+    assert stored() == {"A": 2, "B": 7, "C": 5, "D": 4}
+    rejects = upsert.read_rejects(spark, path).select(F.explode("broken")).collect()
+    assert sorted(r[0] for r in rejects) == ["max_length:linha", "not_null:linha"]
 
-def test_old_versions_are_dropped(spark, tmp_path):
+
+def test_old_versions_are_dropped_by_age_and_the_newest_stay(spark, tmp_path):
     table = spark.createDataFrame([("A", 1)], "linha string, n int")
-    for version in range(upsert.KEPT_VERSIONS + 2):
-        upsert.write_version(table, str(tmp_path), version)
-    assert upsert._versions(spark, str(tmp_path)) == list(range(2, upsert.KEPT_VERSIONS + 2))
+    for number in range(25):
+        upsert.write_version(table, str(tmp_path), upsert.BatchId("old", number), keep_seconds=3600)
+    assert len(upsert._versions(spark, str(tmp_path))) == 25
+    upsert.write_version(table.withColumn("n", F.lit(2)), str(tmp_path), upsert.BatchId("new", 0), keep_seconds=0)
+    left = upsert._versions(spark, str(tmp_path))
+    assert left[-1].number == 25 and left[-1].batch == "new_0" and 2 <= len(left) < 25
+    assert upsert.read_table(spark, str(tmp_path), table.schema).first().n == 2
 
 
 def test_history_is_pruned_by_date_and_repeats_overwrite(spark, tmp_path, positions):
     spec, path = schemas.SPEED_HISTORY, str(tmp_path / "h")
     history = motion.speed_history(positions)
-    for version in (0, 0):
-        upsert.append_history(history, version, path, spec)
+    even = F.minute("janela_inicio") % 2 == 0
+    for query in ("q", "q", "r"):
+        upsert.append_history(history.where(even if query == "q" else ~even), upsert.BatchId(query, 0), path, spec)
+    stored = upsert.read_history(spark, path, spec)
+    assert rows_of(stored.drop("window_date")) == rows_of(history)
+    upsert.compact_history(spark, path, spec, "2100-01-01")
+    days = list((tmp_path / "h").glob("window_date=*"))
+    assert days and all(len(list(day.glob("batch=*"))) == 1 for day in days)
     stored = upsert.read_history(spark, path, spec)
     assert rows_of(stored.drop("window_date")) == rows_of(history)
     plan = stored.where("window_date = date'2024-01-01'")._jdf.queryExecution().executedPlan().toString()
@@ -235,3 +261,48 @@ def test_conflict_statement_upserts(spec):
     changed = next(c for c in spec.columns if c not in spec.keys and c not in (spec.updated, "acessivel"))
     rows = db.execute(f"SELECT count(*), max(CAST({changed} AS VARCHAR)) FROM {spec.name}").fetchall()
     assert rows[0][0] == 1 and "2" in rows[0][1]
+    if spec.updated not in spec.keys:
+        db.execute("DELETE FROM staging")
+        stage(1)
+        db.execute(upsert.conflict_sql(spec, "staging"))
+        assert db.execute(f"SELECT max(CAST({changed} AS VARCHAR)) FROM {spec.name}").fetchall() == [(rows[0][1],)]
+
+
+def test_display_rounds_once(spark):
+    values = [0.2049999999, 2.9949999999, 4.9949999999, 0.205, 2.995, 1.25]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(
+        display.fixed(F.col("v"), 2).cast("string").alias("t"), display.spacing_diagnosis(display.fixed(F.col("v"), 2)).alias("d"))
+    got = rows.collect()
+    assert [r.t for r in got] == ["0.20", "2.99", "4.99", "0.21", "3.00", "1.25"]
+    assert [r.d for r in got] == [display.BUNCHED, display.REGULAR, display.WIDE, display.REGULAR, display.WIDE, display.REGULAR]
+
+
+def test_lookups_on_stored_tables_reach_the_files(spark, tmp_path, positions):
+    spec, path = schemas.SPEED_BY_LINE, str(tmp_path / "s")
+    upsert.upsert(motion.speed_by_line(positions), upsert.BatchId("q", 0), path, spec)
+    found = routes.rows_of_line(upsert.read_table(spark, path, spec.schema), "L01-10")
+    assert "EqualTo(linha,L01-10)" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(found) == rows_of(routes.rows_of_line(motion.speed_by_line(positions), "L01-10"))
+    spec, path = schemas.SPEED_HISTORY, str(tmp_path / "h")
+    upsert.append_history(motion.speed_history(positions), upsert.BatchId("q", 0), path, spec)
+    newest = routes.history_of_line(upsert.read_history(spark, path, spec), "L01-10").where("window_date = date'2024-01-01'")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(linha,L01-10)" in plan and "PartitionFilters: [isnotnull(window_date" in plan
+
+
+def test_chunks_are_made_only_for_large_keys(spark, positions):
+    assert motion.time_splits(positions, motion.VEHICLE, motion.LINE_WAY) == ()
+    per_line = positions.groupBy("c", "sl").count().agg(F.max("count")).first()[0]
+    splits = motion.time_splits(positions, motion.LINE_WAY, rows_per_chunk=per_line // 3)
+    assert 2 <= len(splits) <= 6
+    plan = headway.with_neighbour(positions, splits)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "_seed" in plan
+
+
+def test_points_are_scanned_twice_at_any_depth(spark):
+    shapes = derived.shapes(spark, SMALL)
+    spots = spark.createDataFrame([(1, -23.549, -46.629)], "id int, a double, b double")
+    for levels in (1, 3, 6):
+        found = nearest.nearest_point(spots, shapes, ["a", "b"], ["shape_pt_lat", "shape_pt_lon"], "shape_dist_traveled", 0.01, levels)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan
