@@ -24,7 +24,7 @@ HEADLINE = [
     "log_quantile", "log_rate_by_container", "log_live_containers", "log_bytes_over_time", "adjacent_lag",
     "adjacent_lag_chunked", "headway_by_line_chunked", "dead_payloads", "ingest_messages",
 ]
-STREAMING = ["stream_speed_history"]
+STREAMING = [name for name in QUERIES if name.startswith("stream_")]
 
 
 def _run(spark, folder: str, name: str) -> float:

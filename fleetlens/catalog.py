@@ -201,7 +201,7 @@ def _stream(name: str, spec) -> Query:
 
 
 STREAMS: dict[str, Query] = {
-    f"stream_{name}": _stream(name, spec) for name, spec in zip(jobs.JOBS, (
+    f"stream_{name}": _stream(name, spec) for name, spec in zip(jobs.NAMES, (
         TABLES["tb_onibus_ativos_por_linha"], TABLES["tb_velocidade_por_linha"],
         TABLES["tb_historico_velocidade_por_linha"], TABLES["tb_headway_por_linha"],
         TABLES["tb_historico_headway_por_linha"], TABLES["tb_posicao_atual_onibus"],

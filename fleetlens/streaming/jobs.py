@@ -2,7 +2,8 @@
 
 Current-state tables are kept by ``foreachBatch``: a micro-batch shrinks to one row per key with the batch operators and
 is merged into the table, which is itself the state, so no state store grows without bound and late reports still count.
-Jobs that need ordered rows run through :func:`stream_lag` first. A repeated micro-batch changes nothing. Rows that break
+Jobs that need ordered rows share one query, which puts every micro-batch in order once (``ordered.py``) and keeps the
+result tables of all of them. A repeated micro-batch changes nothing. Rows that break
 a table's rules (a NULL key, text that is too long) go to its reject table. A job writes Parquet tables, or hands its rows
 to a sink such as a database.
 """
@@ -32,18 +33,15 @@ from fleetlens.operators.upsert import (
     upsert_jdbc,
     write_version,
 )
-from fleetlens.plans import fleet, headway, motion
+from fleetlens.plans import fleet, motion
 from fleetlens.session import SETTINGS
-from fleetlens.sources.positions import POLL, watermarked
-from fleetlens.streaming.lag_state import stream_lag
+from fleetlens.sources.positions import POLL
+from fleetlens.streaming import ordered
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
 
-# Seconds of one key's reports that a task orders at a time, some thousand rows: a vehicle reports once per poll, a line
-# once per vehicle and poll.
-VEHICLE_SLOT = 24 * 3600
-LINE_SLOT = 600
+WATERMARK_US = 2_000_000
 
 Sink = Callable[[DataFrame, BatchId, schemas.TableSpec], None]
 
@@ -55,9 +53,8 @@ class JobConfig:
     ``trigger`` is passed to ``writeStream.trigger``. ``active_within`` limits job 1 to vehicles seen that recently (for
     example ``10 minutes``), by default all since the start count. ``sink`` takes the valid rows of every batch instead of
     the Parquet result tables. ``state_partitions`` is the number of state partitions of a new stream, by default the
-    session's shuffle partitions; a stream keeps the number it starts with. The slots are the seconds of one key's reports
-    that a task orders at a time; they set memory, not results. ``keep_seconds`` is how long a replaced version of a table
-    stays readable.
+    session's shuffle partitions; a stream keeps the number it starts with. ``keep_seconds`` is how long a replaced version
+    of a table stays readable.
     """
 
     tables: str
@@ -66,8 +63,6 @@ class JobConfig:
     active_within: str | None = None
     sink: Sink | None = None
     state_partitions: int | None = None
-    vehicle_slot: int = VEHICLE_SLOT
-    line_slot: int = LINE_SLOT
     keep_seconds: int = KEEP_SECONDS
 
     def table(self, spec: schemas.TableSpec) -> str:
@@ -119,63 +114,6 @@ def _replace(rows: DataFrame, batch: BatchId, cfg: JobConfig, spec: schemas.Tabl
         write_version(valid, cfg.table(spec), batch, cfg.keep_seconds)
 
 
-# Ordered rows -----------------------------------------------------------------------------------------------------
-
-
-def previous_fixes(positions: DataFrame, slot: int = VEHICLE_SLOT) -> DataFrame:
-    """Every report with its vehicle's previous fix."""
-    values = {"from_py": "py", "from_px": "px", "from_us": "event_time"}
-    rows = stream_lag(watermarked(positions), ["p"], ["c", "sl", "py", "px"], values, slot)
-    return rows.withColumn("from_time", F.timestamp_micros("from_us")).drop("from_us")
-
-
-def neighbours(positions: DataFrame, slot: int = LINE_SLOT) -> DataFrame:
-    """Every report with the previous report on its line and direction."""
-    return stream_lag(watermarked(positions), ["c", "sl"], ["p", "py", "px"], headway.NEIGHBOUR, slot)
-
-
-def speed_events(positions: DataFrame, slot: int = VEHICLE_SLOT) -> DataFrame:
-    rows = previous_fixes(positions, slot).where(motion.moved())
-    return motion.plausible(rows.select(F.col("c").alias("linha"), "p", "event_time", motion.step_speed().alias("speed_kmh")))
-
-
-def headway_events(positions: DataFrame, slots: tuple[int, int] = (VEHICLE_SLOT, LINE_SLOT)) -> DataFrame:
-    """Speeds joined with gaps on line, vehicle and event time; both sides forget what the watermark has passed."""
-    speeds = speed_events(positions, slots[0]).where(F.col("speed_kmh") >= headway.MIN_SPEED_KMH)
-    gaps = (
-        neighbours(positions, slots[1])
-        .where(headway.other_vehicle() & F.col("near_px").isNotNull())
-        .select(F.col("c").alias("gap_line"), F.col("p").alias("gap_p"), F.col("event_time").alias("gap_time"),
-                headway.gap_km().alias("gap_km"))
-        .where(F.col("gap_km") > headway.MIN_GAP_KM)
-    )
-    same = (
-        (F.col("linha") == F.col("gap_line")) & (F.col("p") == F.col("gap_p")) & (F.col("event_time") == F.col("gap_time"))
-    )
-    return (
-        speeds.join(gaps, same)
-        .select("linha", "p", "event_time",
-                headway.headway_minutes(F.col("gap_km"), F.col("speed_kmh")).alias("headway_min"))
-        .where(F.col("headway_min") <= headway.MAX_HEADWAY_MIN)
-    )
-
-
-def motion_with_gaps(positions: DataFrame, slots: tuple[int, int] = (VEHICLE_SLOT, LINE_SLOT)) -> DataFrame:
-    """Every report with its speed, and its gap where the line report has one (left outer join)."""
-    speeds = previous_fixes(positions, slots[0]).select(
-        F.col("c").alias("linha"), "sl", "p", "event_time", "event_id",
-        F.coalesce(motion.step_speed(), F.lit(0.0)).alias("speed_kmh"),
-    )
-    gaps = neighbours(positions, slots[1]).where(headway.other_vehicle()).select(
-        F.col("c").alias("gap_line"), F.col("p").alias("gap_p"), F.col("event_time").alias("gap_time"),
-        headway.gap_km().alias("gap_km"),
-    )
-    same = (
-        (F.col("linha") == F.col("gap_line")) & (F.col("p") == F.col("gap_p")) & (F.col("event_time") == F.col("gap_time"))
-    )
-    return speeds.join(gaps, same, "left").drop("gap_line", "gap_p", "gap_time")
-
-
 # Jobs -------------------------------------------------------------------------------------------------------------
 
 _PAIRS = schemas.TableSpec(
@@ -217,67 +155,105 @@ def _running_schema() -> StructType:
                        StructField("updated", TimestampType())])
 
 
-def _running_job(events: DataFrame, column: str, cfg: JobConfig, name: str, spec: schemas.TableSpec) -> StreamingQuery:
-    """All-time mean, lowest and highest by line, from sums merged batch by batch."""
-    mean, lowest, highest = (
-        next(c for c in spec.columns if f"_{part}" in c) for part in ("medi", "minim", "maxim")
+def _summary_columns(spec: schemas.TableSpec) -> tuple[str, str, str]:
+    """Mean, lowest and highest column of a result table."""
+    return tuple(next(c for c in spec.columns if f"_{part}" in c) for part in ("medi", "minim", "maxim"))
+
+
+def _sums(column: str) -> list:
+    return [F.count(F.lit(1)).alias("rows"), F.sum(column).alias("total"), F.min(column).alias("lowest"),
+            F.max(column).alias("highest"), F.max("event_time").alias("updated")]
+
+
+def _merged(parts: DataFrame, *keys: str) -> DataFrame:
+    return parts.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"), F.max("updated").alias("updated"),
     )
+
+
+def _shown(sums: DataFrame, spec: schemas.TableSpec, *others) -> DataFrame:
+    mean, lowest, highest = _summary_columns(spec)
+    return sums.select(
+        "linha", *others, F.round(F.col("total") / F.nullif("rows", F.lit(0)), 2).alias(mean),
+        F.round("lowest", 2).alias(lowest), F.round("highest", 2).alias(highest),
+        F.col("updated").alias("ultima_atualizacao"),
+    ).select(*spec.columns)
+
+
+Result = Callable[[DataFrame, int, BatchId], None]
+
+
+def _running(plan: Callable[[DataFrame], DataFrame], column: str, cfg: JobConfig, name: str, spec: schemas.TableSpec) -> Result:
+    """All-time mean, lowest and highest by line, from sums merged batch by batch."""
     path = f"{cfg.tables}/{name}_running"
 
-    def merge(rows: DataFrame, batch: BatchId) -> None:
+    def merge(rows: DataFrame, mark: int, batch: BatchId) -> None:
         spark = rows.sparkSession
         if not has_version(spark, path, batch):
-            part = rows.groupBy("linha").agg(
-                F.count(F.lit(1)).alias("rows"), F.sum(column).alias("total"), F.min(column).alias("lowest"),
-                F.max(column).alias("highest"), F.max("event_time").alias("updated"),
-            )
-            merged = read_table(spark, path, _running_schema()).unionByName(part).groupBy("linha").agg(
-                F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"),
-                F.max("highest").alias("highest"), F.max("updated").alias("updated"),
-            )
+            part = plan(rows).groupBy("linha").agg(*_sums(column))
+            merged = _merged(read_table(spark, path, _running_schema()).unionByName(part), "linha")
             write_version(merged, path, batch, cfg.keep_seconds)
-        shown = read_table(spark, path, _running_schema()).select(
-            "linha", F.round(F.col("total") / F.nullif("rows", F.lit(0)), 2).alias(mean),
-            F.round("lowest", 2).alias(lowest), F.round("highest", 2).alias(highest),
-            F.col("updated").alias("ultima_atualizacao"),
-        )
-        _replace(shown, batch, cfg, spec)
+        _replace(_shown(read_table(spark, path, _running_schema()), spec), batch, cfg, spec)
 
-    return _start(events, cfg, name, merge)
+    return merge
 
 
-def speed_by_line_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 2."""
-    return _running_job(speed_events(positions, cfg.vehicle_slot), "speed_kmh", cfg, "speed_by_line", schemas.SPEED_BY_LINE)
+def _history(plan: Callable[[DataFrame], DataFrame], column: str, cfg: JobConfig, name: str, spec: schemas.TableSpec) -> Result:
+    """Summaries per line and minute, added once the watermark has passed the minute; sums of open minutes are kept."""
+    path = f"{cfg.tables}/{name}_open"
+    times = [StructField("janela_inicio", TimestampType()), StructField("janela_fim", TimestampType())]
+    schema = StructType([*_running_schema().fields, *times])
+    keys = ("linha", "janela_inicio", "janela_fim")
 
+    def append(rows: DataFrame, mark: int, batch: BatchId) -> None:
+        spark = rows.sparkSession
+        if has_version(spark, path, batch):
+            return
+        window = F.window("event_time", motion.HISTORY_WINDOW).alias("_w")
+        part = plan(rows).groupBy("linha", window).agg(*_sums(column)).withColumns(
+            {"janela_inicio": F.col("_w.start"), "janela_fim": F.col("_w.end")}).drop("_w")
+        sums = _merged(read_table(spark, path, schema).unionByName(part), *keys).persist()
+        try:
+            closed = F.unix_micros("janela_fim") <= mark
+            done = _shown(sums.where(closed), spec, "janela_inicio", "janela_fim")
+            valid = keep_valid(done, batch, cfg.table(spec), spec)
+            if cfg.sink:
+                cfg.sink(valid, batch, spec)
+            else:
+                append_history(valid, batch, cfg.table(spec), spec)
+            write_version(sums.where(~closed).select(*schema.names), path, batch, cfg.keep_seconds)
+        finally:
+            sums.unpersist()
 
-def _history_job(events: DataFrame, summary, cfg: JobConfig, name: str, spec: schemas.TableSpec) -> StreamingQuery:
-    def append(rows: DataFrame, batch: BatchId) -> None:
-        valid = keep_valid(rows.select(*spec.columns), batch, cfg.table(spec), spec)
-        if cfg.sink:
-            cfg.sink(valid, batch, spec)
-        else:
-            append_history(valid, batch, cfg.table(spec), spec)
-
-    return _start(motion.per_minute(events, summary), cfg, name, append)
+    return append
 
 
-def speed_history_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 3."""
-    events = speed_events(positions, cfg.vehicle_slot)
-    return _history_job(events, motion.speed_summary(), cfg, "speed_history", schemas.SPEED_HISTORY)
+def _status(cfg: JobConfig) -> Result:
+    spec = schemas.VEHICLE_STATUS
+    return lambda rows, mark, batch: _store(_status_rows(ordered.motion_with_gaps(rows)), batch, cfg, spec)
 
 
-def headway_by_line_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 4."""
-    events = headway_events(positions, (cfg.vehicle_slot, cfg.line_slot))
-    return _running_job(events, "headway_min", cfg, "headway_by_line", schemas.HEADWAY_BY_LINE)
+# Jobs 2, 3, 4, 5 and 7 take ordered rows.
+ORDERED: dict[str, Callable[[JobConfig], Result]] = {
+    "speed_by_line": lambda cfg: _running(
+        ordered.speed_events, "speed_kmh", cfg, "speed_by_line", schemas.SPEED_BY_LINE),
+    "speed_history": lambda cfg: _history(
+        ordered.speed_events, "speed_kmh", cfg, "speed_history", schemas.SPEED_HISTORY),
+    "headway_by_line": lambda cfg: _running(
+        ordered.headway_events, "headway_min", cfg, "headway_by_line", schemas.HEADWAY_BY_LINE),
+    "headway_history": lambda cfg: _history(
+        ordered.headway_events, "headway_min", cfg, "headway_history", schemas.HEADWAY_HISTORY),
+    "vehicle_status": _status,
+}
 
 
-def headway_history_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 5."""
-    events = headway_events(positions, (cfg.vehicle_slot, cfg.line_slot))
-    return _history_job(events, headway.headway_summary(), cfg, "headway_history", schemas.HEADWAY_HISTORY)
+def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] = tuple(ORDERED)) -> StreamingQuery:
+    """One query that orders the reports and keeps the results of the named jobs."""
+    results = [ORDERED[name](cfg) for name in names]
+    path = f"{cfg.tables}/ordered_state"
+    return _start(positions, cfg, "ordered", lambda rows, batch: ordered.run_batch(
+        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results))
 
 
 def _newest(plan: Callable[[DataFrame], DataFrame], spec: schemas.TableSpec, cfg: JobConfig):
@@ -294,12 +270,6 @@ def _status_rows(rows: DataFrame) -> DataFrame:
     return fleet.as_status_rows(newest_rows(found, ["p"], ["event_time", "_has_gap", "event_id"]))
 
 
-def vehicle_status_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 7."""
-    rows = motion_with_gaps(positions, (cfg.vehicle_slot, cfg.line_slot))
-    return _start(rows, cfg, "vehicle_status", _newest(_status_rows, schemas.VEHICLE_STATUS, cfg))
-
-
 def line_catalogue_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 8."""
     return _start(positions, cfg, "line_catalogue", _newest(fleet.line_catalogue, schemas.LINE_CATALOGUE, cfg))
@@ -307,25 +277,28 @@ def line_catalogue_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
 
 JOBS: dict[str, Callable[[DataFrame, JobConfig], StreamingQuery]] = {
     "active_vehicles": active_vehicles_job,
-    "speed_by_line": speed_by_line_job,
-    "speed_history": speed_history_job,
-    "headway_by_line": headway_by_line_job,
-    "headway_history": headway_history_job,
     "latest_position": latest_position_job,
-    "vehicle_status": vehicle_status_job,
     "line_catalogue": line_catalogue_job,
 }
+# All job names, in the order of the result tables.
+NAMES = ("active_vehicles", "speed_by_line", "speed_history", "headway_by_line", "headway_history", "latest_position",
+         "vehicle_status", "line_catalogue")
 
 
 def start_all(
-    spark: SparkSession, source: Callable[[], DataFrame], cfg: JobConfig, names: tuple[str, ...] = tuple(JOBS)
+    spark: SparkSession, source: Callable[[], DataFrame], cfg: JobConfig, names: tuple[str, ...] = NAMES
 ) -> dict[str, StreamingQuery]:
-    """Start jobs side by side, each with its own reader from ``source`` and its own checkpoint."""
+    """Start jobs side by side, each with its own reader from ``source`` and its own checkpoint. Those that need ordered
+    reports share one query, which stands under each of their names."""
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     wanted = spark.conf.get(PARTITIONS)
     if cfg.state_partitions:
         spark.conf.set(PARTITIONS, str(cfg.state_partitions))
     try:
-        return {name: JOBS[name](source(), cfg) for name in names}
+        queries = {name: JOBS[name](source(), cfg) for name in names if name in JOBS}
+        shared = tuple(name for name in names if name in ORDERED)
+        if shared:
+            queries |= dict.fromkeys(shared, ordered_jobs(source(), cfg, shared))
+        return queries
     finally:
         spark.conf.set(PARTITIONS, wanted)
