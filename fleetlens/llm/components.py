@@ -13,7 +13,8 @@ def _to_least(edges: DataFrame, include_self: bool) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("low"))
     if include_self:
         least = least.withColumn("low", F.least("low", "u"))
-    return edges.join(least, "u")
+    # Joined by the complement: both sides are shuffled for the join then, and Spark can split a hub's edges.
+    return edges.withColumn("_key", F.bitwise_not("u")).join(least.select(F.bitwise_not("u").alias("_key"), "low"), "_key")
 
 
 def components(edges: DataFrame) -> DataFrame:
