@@ -7,8 +7,8 @@ product with the packed signs estimates the true inner product, and the scalars
 
 Queries and vectors are dealt into blocks; each pair of blocks is one small task that returns its best ``k`` per query, so
 no task holds more than two blocks and no group of equal vectors meets in one. The centre comes from a bounded sample
-(``SAMPLE_ROWS``); every row is coded. ``SIGMAS`` sets the bound: at 2.5 an estimate is too low by more than it about six times in
-a thousand. Work is queries times vectors, as a search over a stated set against all rows is.
+(``SAMPLE_ROWS``); every row is coded. ``SIGMAS`` sets the bound: at 3.5 an estimate is too low by more than it about twice in
+ten thousand. Work is queries times vectors, as a search over a stated set against all rows is.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite numbers take no part, nor rows without an id;
 a query meets only vectors of its own dimension; ties go to the smaller id; rows with a repeated id are candidates each,
@@ -26,7 +26,7 @@ K = 20
 QUERY_STEP = 20
 SAMPLE_ROWS = 10_000
 QUERY_BLOCK, VECTOR_BLOCK = 1_000, 16_000
-SIGMAS = 2.5
+SIGMAS = 3.5
 # Exact products that set the first bound, as a multiple of k; queries whose estimates are held at once.
 SEEDS = 8
 TOGETHER = 32
