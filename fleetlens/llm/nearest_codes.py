@@ -2,17 +2,19 @@
 
 Every vector is centred, rotated at random and stored as the signs of its coordinates, packed into bytes, with two
 correction scalars: its distance to the centre and how well the signs stand for its direction. For a query, the inner
-product with the packed signs estimates the true inner product, and the scalars bound the error of the estimate. A block keeps the vectors whose upper bound reaches the k-th best exact product known for the query
-(seeded from the best estimates) and reranks only those on the original vectors in double precision.
+product with the packed signs estimates the true inner product, and the scalars bound the error of the estimate. A block
+keeps the vectors whose upper bound reaches the k-th best exact product known for the query (seeded from the best
+estimates) and reranks only those on the original vectors in double precision.
 
 Queries and vectors are dealt into blocks; each pair of blocks is one small task that returns its best ``k`` per query, so
 no task holds more than two blocks and no group of equal vectors meets in one. The centre comes from a bounded sample
-(``SAMPLE_ROWS``); every row is coded. ``SIGMAS`` sets the bound: at 3.5 an estimate is too low by more than it about twice in
-ten thousand. Work is queries times vectors, as a search over a stated set against all rows is.
+(``SAMPLE_ROWS``); every row is coded. ``SIGMAS`` sets the bound: at 3.5 an estimate is too low by more than it about
+twice in ten thousand. Work is queries times vectors, as a search over a stated set against all rows is.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite numbers take no part, nor rows without an id;
 a query meets only vectors of its own dimension; ties go to the smaller id; rows with a repeated id are candidates each,
-but none of a query's own id; equal query rows count once, and different ones of one id share a ranking; other columns are ignored, whatever their names; an empty table gives no row.
+but none of a query's own id; equal query rows count once, and different ones of one id share a ranking; other columns are
+ignored, whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
