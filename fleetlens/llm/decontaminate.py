@@ -256,3 +256,35 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE = rf"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM benchmark),
+windows AS (
+  SELECT id, least(len(w), {WINDOW}) AS n, unnest(generate_series(1, greatest(len(w) - {WINDOW - 1}, 1))) AS i, w
+  FROM item_words WHERE len(w) > 0),
+runs AS (SELECT DISTINCT id, n, md5_number(array_to_string(w[i:i + n - 1], ' ')) AS h FROM windows),
+words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+places AS (
+  SELECT doc_id, n, unnest(generate_series(1, len(w) - n + 1)) AS i, w
+  FROM words, (SELECT DISTINCT n FROM runs) WHERE len(w) >= n),
+hits AS (
+  SELECT p.doc_id, p.n, p.i, r.id
+  FROM (SELECT doc_id, n, i, md5_number(array_to_string(w[i:i + n - 1], ' ')) AS h FROM places) p JOIN runs r
+    ON p.n = r.n AND p.h = r.h),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, id FROM hits) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit_words h ON h.doc_id = w.doc_id LEFT JOIN hit_items t ON t.doc_id = w.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, near_duplicates, nearest_codes, substring_dedup
+from fleetlens.llm import chat, decontaminate, near_duplicates, nearest_codes, substring_dedup
 from fleetlens.llm.chat import op3_chat
 from fleetlens.llm.decontaminate import op10_decontamination
 from fleetlens.llm.near_duplicates import op2_near_duplicates
@@ -19,7 +19,15 @@ from fleetlens.llm.token_counts import op5_token_counts
 from fleetlens.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_near_duplicates, op3_chat, op4_toxicity, op5_token_counts, op6_substring_dedup, op7_packing, op8_quality, op9_nearest_codes,
-                             op10_decontamination)
+    query.__name__: query for query in (
+        op1_secret_scans, op2_near_duplicates, op3_chat, op4_toxicity, op5_token_counts, op6_substring_dedup, op7_packing,
+        op8_quality, op9_nearest_codes, op10_decontamination,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op2_near_duplicates": near_duplicates.ORACLE,
+    "op3_chat": chat.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
+    "op9_nearest_codes": nearest_codes.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }
-ORACLES: dict[str, str] = {"op2_near_duplicates": near_duplicates.ORACLE, "op3_chat": chat.ORACLE, "op6_substring_dedup": substring_dedup.ORACLE, "op9_nearest_codes": nearest_codes.ORACLE}
