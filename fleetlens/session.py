@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     folder = shared_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, unless their search path has it already. Done once per Spark context."""
+    context, home = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(home)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_fleetlens_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="fleetlens-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "fleetlens.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(path, name)
+                    packed.write(full, os.path.relpath(full, root))
+    context.addPyFile(archive)
+    context._fleetlens_shipped = True
