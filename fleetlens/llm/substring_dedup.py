@@ -40,6 +40,8 @@ WINDOW = 35
 LEVELS = (0, 3)
 # Words named at once; longer documents are named in parts.
 PART = 1 << 17
+# Bits below the first window in a packed place: two for the times, the others for the number of windows.
+_PLACE_BITS = 20
 _CLASSES = space_words()
 
 
@@ -109,8 +111,9 @@ def _first_of_kind(anchor: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def _anchored(rows: DataFrame, window: int) -> DataFrame:
-    """Stretches of all rows, with ``times``: equal ones that lie in the same chunk of rows are counted at the first of
-    them. The others (0) are known to repeat, so their anchors are replaced by what spreads them."""
+    """Stretches of all rows. ``place`` packs the first window, the number of windows and how often the stretch occurs in
+    its chunk of rows (2 for more): equal ones are counted at the first of them. The others (0) are known to repeat, so
+    their anchors are replaced by what spreads them."""
 
     def name(batches):
         for batch in batches:
@@ -120,21 +123,20 @@ def _anchored(rows: DataFrame, window: int) -> DataFrame:
                 at, times = pa.array(doc), _first_of_kind(anchor, words)
                 keys = part.column(0).take(at)
                 spread = mix(mix(keys.to_numpy().view(np.uint64)) + start.astype(np.uint64))
+                place = (start.astype(np.int64) << _PLACE_BITS) + count * 4 + np.minimum(times, 2)
                 yield pa.record_batch([
-                    keys, part.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)),
-                    pa.array(long_names(np.where(times > 0, anchor, spread))),
-                    pa.array(long_names(np.where(times > 0, words, np.uint64(0)))), pa.array(times),
-                ], names=["k", "t", "start", "n", "anchor", "words", "times"])
+                    keys, part.column(1).take(at), pa.array(place), pa.array(long_names(np.where(times > 0, anchor, spread))),
+                    pa.array(long_names(np.where(times > 0, words, np.uint64(0)))),
+                ], names=["k", "t", "place", "anchor", "words"])
 
-    return rows.select("k", "t", "text").mapInArrow(
-        name, "k long, t int, start int, n int, anchor long, words long, times int")
+    return rows.select("k", "t", "text").mapInArrow(name, "k long, t int, place long, anchor long, words long")
 
 
 def _compressed(rows: DataFrame) -> DataFrame:
     """Texts as they cross the cluster."""
 
     def press(batches):
-        compressor = zstandard.ZstdCompressor(level=3)
+        compressor = zstandard.ZstdCompressor(level=5)
         for batch in batches:
             for part in row_chunks(batch, "text"):
                 packed = [compressor.compress(value.encode()) for value in text_column(part.column(3)).to_pylist()]
@@ -202,12 +204,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_removed`` and the ``kept`` words, joined by spaces."""
     rows = _keyed(docs, text, key)
     found = _anchored(rows, window)
-    counted = found.where("times > 0").groupBy("anchor").agg(
-        F.sum("times").alias("total"), (F.min("words") != F.max("words")).alias("mixed"))
+    times = F.col("place") % 4
+    counted = found.where(times > 0).groupBy("anchor").agg(
+        F.sum(times).alias("total"), (F.min("words") != F.max("words")).alias("mixed"))
     repeated = found.join(counted.where("total > 1").select("anchor", "mixed"), "anchor", "left")
-    repeated = repeated.where(F.col("mixed").isNotNull() | (F.col("times") == 0))
-    alike = Window.partitionBy("anchor", "words").orderBy("k", "t", "start")
-    repeated = repeated.withColumns({"first": F.lag("n").over(alike).isNull(), "last": F.lead("n").over(alike).isNull()})
+    repeated = repeated.where(F.col("mixed").isNotNull() | (times == 0))
+    alike = Window.partitionBy("anchor", "words").orderBy("k", "t", "place")
+    repeated = repeated.withColumns({
+        "first": F.lag("place").over(alike).isNull(), "last": F.lead("place").over(alike).isNull(), "times": times,
+        "start": F.shiftright("place", _PLACE_BITS).cast("int"),
+        "n": (F.shiftright("place", 2) % (1 << _PLACE_BITS - 2)).cast("int"),
+    })
     sure = (F.col("times") != 1) | ~(F.col("first") & F.col("last"))
     spell = F.coalesce(F.col("mixed") & F.col("first"), F.lit(False))
     stretch = F.struct("start", "n", sure.alias("sure"), spell.alias("spell"))
