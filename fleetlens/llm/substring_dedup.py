@@ -97,9 +97,9 @@ def stretches(names: np.ndarray, counts: np.ndarray, window: int = WINDOW):
 
 
 def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Rows with a join key: the document's key and a hash of its text, for keys that stand on several rows."""
+    """Rows with a join key: the document's key and a 64-bit hash of its text, for null keys and keys of several rows."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.hash("text").alias("t"), "text")
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("t"), "text")
 
 
 def _first_of_kind(anchor: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def _anchored(rows: DataFrame, window: int) -> DataFrame:
                     pa.array(long_names(np.where(times > 0, words, np.uint64(0)))),
                 ], names=["k", "t", "place", "anchor", "words"])
 
-    return rows.select("k", "t", "text").mapInArrow(name, "k long, t int, place long, anchor long, words long")
+    return rows.select("k", "t", "text").mapInArrow(name, "k long, t long, place long, anchor long, words long")
 
 
 def _compressed(rows: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def _compressed(rows: DataFrame) -> DataFrame:
                 yield pa.record_batch([part.column(0), part.column(1), part.column(2), pa.array(packed, pa.binary())],
                                       names=["doc_id", "k", "t", "packed"])
 
-    return rows.mapInArrow(press, "doc_id long, k long, t int, packed binary")
+    return rows.mapInArrow(press, "doc_id long, k long, t long, packed binary")
 
 
 def _unpacked(column) -> list[bytes]:
@@ -184,7 +184,7 @@ def _spelled_windows(doubtful: DataFrame, window: int) -> DataFrame:
                         pa.array(long_names(np.concatenate(hashes))),
                     ], names=["k", "t", "start", "words"])
 
-    return doubtful.mapInArrow(spell, "k long, t int, start int, words long")
+    return doubtful.mapInArrow(spell, "k long, t long, start int, words long")
 
 
 def repeated_mask(count: int, ranges, singles, window: int) -> np.ndarray:

@@ -221,3 +221,14 @@ def test_repeats_of_odd_rows(odd_docs, docs_of):
     assert S.remove_repeats(docs_of([])).collect() == []
     twice = docs_of([(1, LONG[:400]), (None, "p " + " ".join(f"q{i}" for i in range(50))), (None, " ".join(f"q{i}" for i in range(50)))])
     assert rows_of(S.remove_repeats(twice).select("n_words", "n_removed")) == [(50, 50), (51, 50), (80, 80)]
+
+
+def test_texts_of_one_key_with_equal_short_hashes_keep_their_own_ranges(spark, docs_of):
+    passage, other = " ".join(f"p{i}" for i in range(40)), " ".join(f"q{i}" for i in range(60))
+    pair = [f"{passage} a13146", f"{other} b243593"]
+    hashes = spark.createDataFrame([(t,) for t in pair], "text string").selectExpr("hash(text)").distinct()
+    assert hashes.count() == 1
+    for key in (None, 6):
+        rows = S.remove_repeats(docs_of([*((key, t) for t in pair), (7, f"{passage} c")]))
+        assert rows_of(rows.select("n_words", "n_removed", "kept")) == sorted(
+            [(41, 40, "a13146"), (61, 0, pair[1]), (41, 40, "c")], key=repr)
