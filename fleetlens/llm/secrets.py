@@ -2,9 +2,10 @@
 
 Base spans come from three fixed patterns. The field tags tokens as secret begin, inside or outside from their shape,
 neighbouring words and features of the whole file, and Viterbi decoding gives further spans, which are added where they
-touch no base span. Only runs of ``MIN_RUN`` value characters with a digit may hold a secret for the field: every other
-token is outside by definition, so the chain falls apart into short ones that are decoded one by one, exactly, however
-long the text. The field is trained from the base spans of a bounded sample of rows (``SAMPLE_ROWS``).
+touch no base span. A text is one chain of all its tokens (runs of letters and digits, and single signs), of any length and
+with or without digits. Tokens that are outside on every best path, whatever their neighbours are, cut it into short chains,
+which are decoded one by one with the result of the whole. The field is trained from the base spans of a bounded sample of
+rows (``SAMPLE_ROWS``): pieces around them, and pieces without any.
 
 Defined cases: null and empty texts have no span; repeated rows are scanned each; other columns are ignored, whatever
 their names; an empty table gives an empty result and an untrained field, which adds nothing.
@@ -13,7 +14,10 @@ their names; an empty table gives an empty result and an untrained field, which
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +36,19 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 ADDED = "field"
-MIN_RUN = 16
 SAMPLE_ROWS = 20_000
 SAMPLE_RUNS = 4_000
+# Tokens of a piece of text that the field learns from, and those of them before a base span.
+PIECE, LEAD = 16, 6
 ROUNDS = 120
 
 OUT, BEGIN, INSIDE = range(3)
-_VALUE = re.compile(r"[A-Za-z0-9+/_.=-]+")
-_VALUE_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
-_DIGITS = re.compile(r"[0-9]+")
-_TOKEN = re.compile(r"[A-Za-z0-9]+|[+/_.=-]")
-_BEFORE = re.compile(r"\w+|[^\w\s]")
+_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+_DIGIT = re.compile(r"[0-9]")
 _SETTING = re.compile(r"^[ \t]*[A-Za-z_][A-Za-z0-9_.-]*[ \t]*[:=]", re.MULTILINE)
-_FEATURES = 1 << 12
+_FEATURES = 1 << 16
+# Tokens whose scores a task keeps; beyond it the table starts afresh.
+_KNOWN = 1 << 17
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -56,32 +60,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def value_runs(text: str) -> Iterator[tuple[int, int]]:
-    """Longest runs of value characters that hold a digit and have MIN_RUN characters."""
-    done = 0
-    for digit in _DIGITS.finditer(text):
-        start = digit.start()
-        if start < done:
-            continue
-        end = _VALUE.match(text, start).end()
-        while start > done and text[start - 1] in _VALUE_SET:
-            start -= 1
-        done = end
-        if end - start >= MIN_RUN:
-            yield start, end
+    """Ranges of text that are a chain of tokens each: the whole text, if it is not empty."""
+    if text:
+        yield 0, len(text)
 
 
 def _slot(name: str) -> int:
     """Feature number by a hash that is the same in every process."""
-    value = 2166136261
-    for byte in name.encode():
-        value = (value ^ byte) * 16777619 & 0xFFFFFFFF
-    return (value ^ value >> 15) % _FEATURES
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % _FEATURES
 
 
 def _shape(token: str) -> str:
     size = len(token)
     length = "1" if size == 1 else "4" if size < 5 else "8" if size < 9 else "16" if size < 17 else "32" if size < 33 else "+"
-    kinds = "".join(k for k, rule in (("d", r"[0-9]"), ("x", r"[a-f]"), ("w", r"[g-z]"), ("X", r"[A-F]"), ("W", r"[G-Z]"))
+    kinds = "".join(k for k, rule in (("d", r"[0-9]"), ("x", r"[a-f]"), ("w", r"[g-z]"), ("X", r"[A-F]"), ("W", r"[G-Z]"), ("u", r"[^\x00-\x7f]"))
                     if re.search(rule, token))
     turns = len(re.findall(r"[0-9][A-Za-z]|[A-Za-z][0-9]", token))
     return f"{kinds or token}/{length}/{min(turns, 6) // 2}"
@@ -90,7 +82,7 @@ def _shape(token: str) -> str:
 def _kinds(shape: str) -> list[str]:
     """The parts of a shape one by one, which hold for shapes never seen whole."""
     kinds, length, turns = shape.rsplit("/", 2)
-    return [f"kind={kinds}", f"length={length}", f"turns={turns}", *(f"has={k}" for k in kinds if k in "dxwXW")]
+    return [f"kind={kinds}", f"length={length}", f"turns={turns}", *(f"has={k}" for k in kinds if k in "dxwXWu")]
 
 
 def file_features(text: str, has_base: bool) -> list[str]:
@@ -98,22 +90,60 @@ def file_features(text: str, has_base: bool) -> list[str]:
     return [f"file-settings={settings}", f"file-base={has_base}", f"file-lines={min(text.count(chr(10)), 16).bit_length()}"]
 
 
+# Places around a token whose words are features of it, and the places next to it whose shapes are.
+_BEFORE, _AFTER = 4, 2
+_PARTS = 1 + 4 + _BEFORE + _AFTER
+
+
+@lru_cache(_KNOWN)
+def _shape_slots(shape: str) -> list[list[int]]:
+    """Features of a shape: of the token itself, and of the next and last token, with and without a gap between them."""
+    own = ["bias", f"shape={shape}", *_kinds(shape)]
+    return [[_slot(n) for n in own], *([_slot(f"{side}={shape}")] for side in ("left", "right", "left-gap", "right-gap"))]
+
+
+def _parts(token: str) -> list[list[int]]:
+    """Feature numbers that a token gives itself and the tokens around it, by part."""
+    shape = _shape(token)
+    word = token.lower() if len(token) <= 24 and not _DIGIT.search(token) else shape
+    return [*_shape_slots(shape), *([_slot(f"before{k}={word}")] for k in range(_BEFORE)),
+            *([_slot(f"after{k}={word}")] for k in range(_AFTER))]
+
+
+def _sizes(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a token touches the one before it, and the size class of the run of touching tokens that it stands in."""
+    touches = np.zeros(len(starts), bool)
+    touches[1:] = starts[1:] == ends[:-1]
+    head = np.flatnonzero(~touches)
+    last = np.append(head[1:], len(starts)) - 1
+    size = np.minimum((ends[last] - starts[head]) // 8, 16)
+    return touches, np.repeat(size, last - head + 1)
+
+
 def run_features(text: str, start: int, end: int, of_file: list[str]) -> tuple[list[tuple[int, int]], list[list[int]]]:
-    """Token spans of a run and the feature numbers of each token."""
+    """Token spans of a chain and the feature numbers of each token."""
     spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
-    before = _BEFORE.findall(text[max(0, start - 40):start].lower())[-4:]
-    after = _BEFORE.findall(text[end:end + 20].lower())[:2]
-    context = [f"before{k}={word}" for k, word in enumerate(reversed(before))] + [f"after{k}={w}" for k, w in enumerate(after)]
-    size = f"run={(end - start) // 8}"
-    shapes = [_shape(text[a:b]) for a, b in spans]
+    if not spans:
+        return [], []
+    tokens = [text[a:b] for a, b in spans]
+    return spans, token_features(tokens, *_sizes(*np.array(spans).T), of_file, 0, len(spans))
+
+
+def token_features(tokens: list[str], touches: np.ndarray, sizes: np.ndarray, of_file: list[str], low: int, high: int):
+    """Feature numbers of the tokens from ``low`` to ``high`` of a chain."""
+    file_slots, count = [_slot(name) for name in of_file], len(tokens)
+    parts = {i: _parts(tokens[i]) for i in range(max(0, low - _BEFORE), min(count, high + _AFTER))}
     rows = []
-    for i, shape in enumerate(shapes):
-        left = shapes[i - 1] if i else "edge"
-        right = shapes[i + 1] if i + 1 < len(shapes) else "edge"
-        names = ["bias", f"shape={shape}", f"left={left}", f"right={right}", size, *_kinds(shape), *of_file]
-        names += context if i == 0 else [f"later-{c}" for c in context]
-        rows.append([_slot(name) for name in names])
-    return spans, rows
+    for i in range(low, high):
+        row = [*parts[i][0], _slot(f"run={sizes[i]}"), *file_slots]
+        row += parts[i - 1][1 if touches[i] else 3] if i else [_slot("left=edge")]
+        row += parts[i + 1][2 if touches[i + 1] else 4] if i + 1 < count else [_slot("right=edge")]
+        for k in range(min(_BEFORE, i)):
+            row += parts[i - 1 - k][5 + k]
+        for k in range(min(_AFTER, count - 1 - i)):
+            row += parts[i + 1 + k][5 + _BEFORE + k]
+        rows.append(row)
+    return rows
 
 
 def _labels(spans: list[tuple[int, int]], base: list[tuple[str, int, int]], text: str) -> list[int]:
@@ -127,8 +157,76 @@ def _labels(spans: list[tuple[int, int]], base: list[tuple[str, int, int]], text
     return out
 
 
-def _scores(weights: np.ndarray, rows: list[list[int]]) -> np.ndarray:
-    return np.array([weights[:-3][row].sum(0) for row in rows])
+class Emissions:
+    """Scores of the tokens of a text: as the weights of ``run_features`` summed, from tables of the tokens met so far."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.edges = [weights[_slot(name)] for name in ("left=edge", "right=edge")]
+        self.sizes = np.array([weights[_slot(f"run={k}")] for k in range(17)])
+        self.known, self.table = {}, np.zeros((1 << 10, _PARTS, 3))
+
+    def _numbers(self, tokens: list[str]) -> np.ndarray:
+        known = self.known
+        new = [token for token in set(tokens) if token not in known]
+        if new and len(known) + len(new) > _KNOWN:
+            known.clear()
+            new = list(set(tokens))
+        if len(known) + len(new) > len(self.table):
+            bigger = np.zeros((2 * (len(known) + len(new)), _PARTS, 3))
+            bigger[:len(known)] = self.table[:len(known)]
+            self.table = bigger
+        for token in new:
+            parts = _parts(token)
+            self.table[len(known), 0] = self.weights[parts[0]].sum(0)
+            self.table[len(known), 1:] = self.weights[[part[0] for part in parts[1:]]]
+            known[token] = len(known)
+        return np.fromiter((known[token] for token in tokens), np.int64, len(tokens))
+
+    def scores(self, tokens: list[str], starts: np.ndarray, ends: np.ndarray, of_file: list[str]) -> np.ndarray:
+        at, table = self._numbers(tokens), self.table
+        touches, sizes = _sizes(starts, ends)
+        emit = table[at, 0] + self.sizes[sizes] + self.weights[[_slot(name) for name in of_file]].sum(0)
+        emit[0] += self.edges[0]
+        emit[-1] += self.edges[1]
+        emit[1:] += table[at[:-1], np.where(touches[1:], 1, 3)]
+        emit[:-1] += table[at[1:], np.where(touches[1:], 2, 4)]
+        for k in range(min(_BEFORE, len(at) - 1)):
+            emit[k + 1:] += table[at[:-k - 1], 5 + k]
+        for k in range(min(_AFTER, len(at) - 1)):
+            emit[:-k - 1] += table[at[k + 1:], 5 + _BEFORE + k]
+        return emit
+
+
+def sure_outside(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Tokens that are outside on every best path: outside in their place gains more than any transition can cost.
+
+    An inside token behind them would have to begin then, which is counted too.
+    """
+    enter = (step[:, 1:] - step[:, :1])[step[:, 1:] > -1e8].max()
+    leave = max((step[label, after] - step[OUT, after]) for label in (BEGIN, INSIDE) for after in (OUT, BEGIN))
+    into = max(step[label, INSIDE] - step[OUT, BEGIN] for label in (BEGIN, INSIDE))
+    further = max(0.0, (step[INSIDE] - step[BEGIN]).max())
+    gain = emit[:, OUT] - emit[:, 1:].max(1)
+    behind = np.full(len(emit), max(leave, 0.0))
+    behind[:-1] = np.maximum(behind[:-1], into + further + emit[1:, INSIDE] - emit[1:, BEGIN])
+    return gain > enter + behind + 1e-9
+
+
+def best_path(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The path of ``viterbi``, decoded between the tokens that are outside for sure."""
+    path = np.full(len(emit), OUT)
+    open_ = np.flatnonzero(~sure_outside(emit, step))
+    if not len(open_):
+        return path
+    breaks = np.flatnonzero(np.diff(open_) > 1) + 1
+    for part in np.split(open_, breaks):
+        begin, end = int(part[0]), int(part[-1]) + 1
+        scores = emit[begin:end]
+        if end < len(emit):
+            scores = np.vstack([scores, [0.0, -1e9, -1e9]])
+        path[begin:end] = viterbi(scores, step)[:end - begin]
+    return path
 
 
 def viterbi(emit: np.ndarray, step: np.ndarray) -> list[int]:
@@ -172,7 +270,7 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> np.ndarray:
     first = second = 0.0
     for t in range(1, ROUNDS + 1):
         table = np.vstack([weights[:-3], np.zeros(3)])
-        emit, step = table[ids].sum(2), _steps(weights)
+        emit, step = sum(table[ids[:, :, k]] for k in range(width)), _steps(weights)
         alpha = np.empty_like(emit)
         beta = np.zeros_like(emit)
         alpha[:, 0] = emit[:, 0] + step[OUT]
@@ -186,9 +284,8 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> np.ndarray:
         node = np.exp(alpha + beta - norm[:, None, None]) * mask[:, :, None]
         gradient = np.zeros_like(weights)
         delta = (one[gold] * mask[:, :, None] - node)
-        spread = np.repeat(delta.reshape(-1, 3), width, axis=0)
         for label in range(3):
-            gradient[:-3, label] = np.bincount(flat, spread[:, label], _FEATURES + 1)[:-1]
+            gradient[:-3, label] = np.bincount(flat, np.repeat(delta[:, :, label].ravel(), width), _FEATURES + 1)[:-1]
         start = np.zeros((3, 3))
         start[OUT] = (one[gold[:, 0]] - node[:, 0]).sum(0)
         gradient[-3:] += start
@@ -204,34 +301,37 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> np.ndarray:
     return weights
 
 
-def field_spans(text: str, base: list[tuple[str, int, int]], weights: np.ndarray, step: np.ndarray):
+def field_spans(text: str, base: list[tuple[str, int, int]], field: Emissions, step: np.ndarray):
     """Spans that the field adds: decoded secrets that touch no base span."""
-    found, of_file, at = [], None, 0
-    ordered = sorted((s, e) for _, s, e in base)
-    for start, end in value_runs(text):
-        while at < len(ordered) and ordered[at][1] <= start:
+    found = []
+    tokens = _TOKEN.findall(text)
+    if not tokens:
+        return found
+    places = np.array([m.span() for m in _TOKEN.finditer(text)])
+    emit = field.scores(tokens, places[:, 0], places[:, 1], file_features(text, bool(base)))
+    path = best_path(emit, step)
+    ordered, at = sorted((s, e) for _, s, e in base), 0
+    begins = np.flatnonzero(path == BEGIN)
+    if not len(begins):
+        return found
+    outside = np.append(np.flatnonzero(path != INSIDE), len(path))
+    lasts = outside[np.searchsorted(outside, begins, "right")] - 1
+    reach = 0
+    for begin, last in zip(places[begins, 0].tolist(), places[lasts, 1].tolist(), strict=True):
+        # Furthest end of the base spans that start before the end of this one.
+        while at < len(ordered) and ordered[at][0] < last:
+            reach = max(reach, ordered[at][1])
             at += 1
-        if at < len(ordered) and ordered[at][0] <= start and end <= ordered[at][1]:
-            continue
-        of_file = of_file or file_features(text, bool(base))
-        spans, rows = run_features(text, start, end, of_file)
-        path = viterbi(_scores(weights, rows), step)
-        begin = None
-        for (a, b), label in [*zip(spans, path, strict=True), ((end, end), OUT)]:
-            if begin is not None and label != INSIDE:
-                if last - begin >= MIN_RUN and not any(s < last and begin < e for s, e in ordered[at:at + 8]):
-                    found.append((ADDED, begin, last))
-                begin = None
-            if label == BEGIN:
-                begin = a
-            last = b
+        if reach <= begin:
+            found.append((ADDED, begin, last))
     return found
 
 
-def text_spans(text: str, weights: np.ndarray, step: np.ndarray) -> list[tuple[str, int, int]]:
+def text_spans(text: str, weights: np.ndarray | Emissions, step: np.ndarray) -> list[tuple[str, int, int]]:
+    field = weights if isinstance(weights, Emissions) else Emissions(weights)
     base = base_spans(text)
     order = {kind: k for k, kind in enumerate((*KINDS, ADDED))}
-    return sorted(base + field_spans(text, base, weights, step), key=lambda s: (s[1], order[s[0]]))
+    return sorted(base + field_spans(text, base, field, step), key=lambda s: (s[1], order[s[0]]))
 
 
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -239,32 +339,58 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """Weights from at most ``sample_rows`` rows (the least by a hash of the key) and SAMPLE_RUNS runs of them."""
+    """Weights from at most ``sample_rows`` rows (the least by a hash of the key) and SAMPLE_RUNS pieces of them."""
     ids = docs.select(F.col(key).cast("long").alias("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    chosen = ids.agg(F.max(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id"))["h"].alias("h")).first()["h"]
+    sample = ids.agg(F.max(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id"))["h"].alias("h"), F.count(F.lit(1)).alias("n"))
+    chosen, count = sample.first()
     if chosen is None:
         return train([])
-    rows = _rows(docs, text, key).where(F.xxhash64("doc_id") <= F.lit(chosen)).where(F.col("text").rlike("[0-9]"))
+    rows = _rows(docs, text, key).where(F.xxhash64("doc_id") <= F.lit(chosen))
+    # One in so many pieces without a secret.
+    rate = max(1, count // 400)
 
     def runs(batches):
         for batch in batches:
             keys, out, labels = [], [], []
             for key_, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                spans = [m.span() for m in _TOKEN.finditer(value)]
+                if not spans:
+                    continue
+                tokens = [value[a:b] for a, b in spans]
+                touches, sizes = _sizes(*np.array(spans).T)
                 base = base_spans(value)
+                starts = [s for s, _ in spans]
+                gold = np.zeros(len(spans), np.int64)
+                for kind, s, e in base:
+                    low = bisect_left(starts, s)
+                    high = bisect_left(starts, e)
+                    gold[low:high] = _labels(spans[low:high], [(kind, s, e)], value)
+                firsts = np.flatnonzero(gold == BEGIN)
+                pieces = {max(0, int(i) - LEAD) for i in firsts}
+                for begin in range(0, len(spans), PIECE):
+                    if not gold[begin:begin + PIECE].any() and zlib.crc32(f"{key_}/{begin}".encode()) % rate == 0:
+                        pieces.add(begin)
                 of_file = file_features(value, bool(base))
-                for start, end in value_runs(value):
-                    spans, features = run_features(value, start, end, of_file)
-                    keys.append((key_ or 0) * 31 + start)
-                    out.append(features[:64])
-                    labels.append(_labels(spans, base, value)[:64])
+                for begin in sorted(pieces):
+                    tags = gold[begin:begin + PIECE].tolist()
+                    if tags[0] == INSIDE:
+                        # A piece begins behind a value, not in it.
+                        skip = next((k for k, tag in enumerate(tags) if tag != INSIDE), len(tags))
+                        begin, tags = begin + skip, tags[skip:]
+                    if tags:
+                        keys.append((key_ or 0) * 31 + begin)
+                        out.append(token_features(tokens, touches, sizes, of_file, begin, begin + len(tags)))
+                        labels.append(tags)
             yield pa.record_batch([
                 pa.array(keys, pa.int64()), pa.array(out, pa.list_(pa.list_(pa.int32()))),
                 pa.array(labels, pa.list_(pa.int32())),
             ], names=["at", "features", "labels"])
 
     found = rows.mapInArrow(runs, "at long, features array<array<int>>, labels array<int>")
-    kept = found.orderBy(F.xxhash64("at"), "at", "labels").limit(SAMPLE_RUNS).collect()
-    return train([(r["features"], r["labels"]) for r in kept if r["labels"]])
+    secret = F.exists("labels", lambda label: label != OUT)
+    kept = [r for some in (secret, ~secret)
+            for r in found.where(some).orderBy(F.xxhash64("at"), "at", "labels").limit(SAMPLE_RUNS // 2).collect()]
+    return train([(r["features"], r["labels"]) for r in kept])
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -276,9 +402,10 @@ def scan_secrets(docs: DataFrame, weights: np.ndarray, text: str = "text", key:
 
     def scan(batches):
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        field = Emissions(weights)
         for batch in batches:
             for part in row_chunks(batch, "text"):
-                spans = [[{"kind": k, "start": s, "end": e} for k, s, e in text_spans(value, weights, step)]
+                spans = [[{"kind": k, "start": s, "end": e} for k, s, e in text_spans(value, field, step)]
                          for value in text_column(part.column(1)).to_pylist()]
                 yield pa.record_batch([part.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
@@ -291,11 +418,13 @@ def redact_secrets(docs: DataFrame, weights: np.ndarray, text: str = "text", mar
 
     @F.pandas_udf("string")
     def redacted(values):
+        field = Emissions(weights)
+
         def one(value):
             if not value:
                 return value
             out, at = [], 0
-            for _, start, end in text_spans(value, weights, step):
+            for _, start, end in text_spans(value, field, step):
                 if start >= at:
                     out += [value[at:start], mark]
                 at = max(at, end)

@@ -72,6 +72,39 @@ def test_field_learns_shapes_and_adds_spans_apart_from_base_spans():
     assert [k for k, _, _ in both] == ["assign"]
 
 
+def test_field_tags_short_digitless_and_split_secrets():
+    rng = random.Random(5)
+    runs = []
+    for _ in range(150):
+        value = "-".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(5, 8))) for _ in range(3))
+        short = "".join(rng.choice("abcdefgh0123456789") for _ in range(9))
+        words = " ".join(rng.choice(["correct", "horse", "of", "the", "well-known", "day", "my"]) for _ in range(6))
+        for text in (f"my password: {value} {words}", f"my password: {short} {words}", f"{words} is {words}"):
+            spans, features = secrets.run_features(text, 0, len(text), secrets.file_features(text, False))
+            runs.append((features, secrets._labels(spans, secrets.base_spans(text), text)))
+    weights = secrets.train(runs)
+    step = secrets._steps(weights)
+    for text, value in (("my password is correct-horse-battery", "correct-horse-battery"), ("my password is hunter2abc", "hunter2abc")):
+        assert ("field", text.index(value), len(text)) in secrets.text_spans(text, weights, step)
+    assert secrets.text_spans("the well-known horse is correct of the day", weights, step) == []
+
+
+def test_tables_and_cuts_give_the_path_of_the_whole_chain():
+    rng = np.random.default_rng(4)
+    weights = rng.normal(size=(secrets._FEATURES + 3, 3))
+    for text in ("a", "pass word: x9-y/z,, '\u00fc' 12 ab", "one two_three \U0001f600 four" * 9):
+        of_file = secrets.file_features(text, False)
+        spans, rows = secrets.run_features(text, 0, len(text), of_file)
+        emit = secrets.Emissions(weights).scores([text[a:b] for a, b in spans], *np.array(spans).T, of_file)
+        assert np.allclose(emit, [weights[row].sum(0) for row in rows])
+    for _ in range(200):
+        step = rng.normal(size=(3, 3)) * 2
+        step[secrets.OUT, secrets.INSIDE] = -1e9
+        emit = rng.normal(size=(rng.integers(1, 30), 3)) * 5
+        emit[:, secrets.OUT] += rng.choice([0, 5, 12])
+        assert secrets.best_path(emit, step).tolist() == secrets.viterbi(emit, step)
+
+
 def test_viterbi_is_the_best_of_all_paths():
     rng = np.random.default_rng(2)
     step = rng.normal(size=(3, 3))
