@@ -105,6 +105,16 @@ def test_tables_and_cuts_give_the_path_of_the_whole_chain():
         assert secrets.best_path(emit, step).tolist() == secrets.viterbi(emit, step)
 
 
+def test_added_spans_touch_none_of_many_base_spans():
+    weights = np.zeros((secrets._FEATURES + 3, 3))
+    weights[secrets._slot("bias"), secrets.BEGIN] = 5.0
+    text = "-".join(f"{k:024x}" for k in range(12, 24))
+    spans = secrets.text_spans(text, weights, secrets._steps(weights))
+    base = [(s, e) for kind, s, e in spans if kind != "field"]
+    assert len(base) == 12
+    assert not any(s < b and a < e for kind, s, e in spans if kind == "field" for a, b in base)
+
+
 def test_viterbi_is_the_best_of_all_paths():
     rng = np.random.default_rng(2)
     step = rng.normal(size=(3, 3))
