@@ -92,11 +92,13 @@ def test_field_tags_short_digitless_and_split_secrets():
 def test_tables_and_cuts_give_the_path_of_the_whole_chain():
     rng = np.random.default_rng(4)
     weights = rng.normal(size=(secrets._FEATURES + 3, 3))
+    field = secrets.Emissions(weights)
     for text in ("a", "pass word: x9-y/z,, '\u00fc' 12 ab", "one two_three \U0001f600 four" * 9):
         of_file = secrets.file_features(text, False)
         spans, rows = secrets.run_features(text, 0, len(text), of_file)
-        emit = secrets.Emissions(weights).scores([text[a:b] for a, b in spans], *np.array(spans).T, of_file)
-        assert np.allclose(emit, [weights[row].sum(0) for row in rows])
+        _, tokens = secrets._text_tokens(text)
+        emit = field.scores(tokens, field.of_file(text, False)[None])
+        assert len(spans) == len(emit) and np.allclose(emit, [weights[row].sum(0) for row in rows])
     for _ in range(200):
         step = rng.normal(size=(3, 3)) * 2
         step[secrets.OUT, secrets.INSIDE] = -1e9
@@ -115,6 +117,75 @@ def test_added_spans_touch_none_of_many_base_spans():
     assert not any(s < b and a < e for kind, s, e in spans if kind == "field" for a, b in base)
 
 
+def test_segments_of_long_texts_give_the_spans_of_the_whole():
+    rng = random.Random(8)
+    words = ["a", "token", "=", "x9y8z7", "\u00fc\u00e9", ",", " ", "  ", "\n", "pass:word", "0f" * 12, "-", "Q" * 40, "9" * 5000, " " * 9000]
+    texts = ["".join(rng.choice(words[:-2]) + rng.choice(["", " "]) for _ in range(20_000)), " " * 30_000, "z" * 50_000, "",
+             "".join(rng.choice(words) for _ in range(200))]
+    draw = np.random.default_rng(8)
+    weights = draw.normal(size=(secrets._FEATURES + 3, 3))
+    for gain in (0.0, 3.0):
+        weights[secrets._slot("bias"), secrets.OUT] = gain
+        field, step = secrets.Emissions(weights), secrets._steps(weights)
+        for text in texts:
+            data = np.frombuffer(text.encode(), np.uint8)
+            of_file = draw.normal(size=3)
+            edges = np.array([0, len(data)])
+            whole = secrets._batch_secrets(data, edges, field, step, of_file[None])[0]
+            assert secrets._long_secrets(data, field, step, of_file, 8192) == whole
+    # Several texts in one buffer are chains of their own.
+    data, edges = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *[len(x.encode()) for x in texts]])
+    alone = [secrets._batch_secrets(data[a:b], np.array([0, b - a]), field, step, of_file[None])[0]
+             for a, b in zip(edges[:-1], edges[1:])]
+    assert secrets._batch_secrets(data, edges, field, step, np.tile(of_file, (len(texts), 1))) == alone
+
+
+PLANTED = ("my pwd: {}", "the credential is '{}'", 'db_pass = "{}"', "passphrase -> {}", "client_key={}", "the new secret is {}",
+           "auth `{}`", "login: {}", "the passkey was {}", "access code => {}")
+
+
+def planted(texts, seed):
+    """Texts with one secret each that the base patterns miss, and where it stands."""
+    rng = random.Random(seed)
+    letters = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    for n, text in enumerate(texts):
+        words = text.split(" ")
+        value = "".join(rng.choice(letters) for _ in range(rng.randint(9, 22)))
+        if n % 3 == 0:
+            value = f"{value[:5]}{rng.choice('-_.!$')}{value[5:]}"
+        if not any(c.isdigit() for c in value):
+            value += "7"
+        at = rng.randrange(len(words) + 1)
+        before = "".join(w + " " for w in words[:at]) + PLANTED[n % len(PLANTED)].split("{}")[0]
+        yield before + value + PLANTED[n % len(PLANTED)].split("{}")[1] + " " + " ".join(words[at:]), (len(before), len(before) + len(value))
+
+
+def test_field_finds_planted_secrets_that_the_patterns_miss(spark):
+    learnt = secrets.learn(spark.read.parquet(f"{MIDDLE}/documents.parquet"))
+    field, step = secrets.Emissions(learnt), secrets._steps(learnt)
+    texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 100").collect()]
+    found = tokens = false = 0
+    for text, (begin, end) in planted(texts, 4):
+        assert not any(s < end and begin < e for _, s, e in secrets.base_spans(text))
+        added = [(s, e) for k, s, e in secrets.text_spans(text, field, step) if k == "field"]
+        # Found: its value is covered by at least four fifths.
+        found += sum(max(0, min(e, end) - max(s, begin)) for s, e in added) >= 0.8 * (end - begin)
+        false += sum(e <= begin or s >= end for s, e in added)
+        tokens += len(secrets._text_tokens(text)[1].starts)
+    print("recall", found / len(texts), "false spans a million tokens", 1e6 * false / tokens, "tokens", tokens)
+    assert found >= 0.8 * len(texts)
+    assert false <= max(5, 50 * tokens / 1e6)
+
+
+def test_hidden_cues_mark_their_secrets():
+    rng = random.Random(6)
+    for _ in range(300):
+        made = list(secrets.hidden_cues(["der", "which", "la", "of"], "9c8b45435718dcc700c184a7e303cdc6", rng))
+        assert [len(spans) for _, spans in made] == [1, 1, 1, 0, 0, 0]
+        for text, spans in made:
+            assert all(text[s:e].strip() == text[s:e] and e - s >= 5 for s, e in spans)
+
+
 def test_viterbi_is_the_best_of_all_paths():
     rng = np.random.default_rng(2)
     step = rng.normal(size=(3, 3))
