@@ -16,7 +16,7 @@ from fleetlens.schemas import LATEST_POSITION, TABLES
 from fleetlens.session import ensure_checkpoint_dir, shared_dir
 from fleetlens.sources import derived, feed, producer
 from fleetlens.sources.positions import with_gps_timestamp
-from fleetlens.streaming import jobs
+from fleetlens.streaming import idle, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,8 @@ EXTENT_LINES = ("L01-10", "L02-10", "L03-10")
 UPSERT_CUT = "2024-01-01 06:00:00"
 RAW_DIGITS = 6
 SMALL_CHUNK = 100
+# Seconds of a poll and of silence that make a partition idle, for the test views' sparse reports.
+IDLE_POLL, IDLE_AFTER = 300, 720
 
 
 def _on_positions(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -209,4 +211,18 @@ STREAMS: dict[str, Query] = {
     ), strict=True)
 }
 
+def _job_config(spark: SparkSession, name: str, **settings) -> jobs.JobConfig:
+    home = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    return jobs.JobConfig(f"{home}/tables", f"{home}/checkpoints", (("availableNow", True),), **settings)
+
+
+def _idle_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Watermarks of a source of four partitions, one of which stops, one lags and one wakes late."""
+    cfg = _job_config(spark, "idle_partitions", idle_seconds=IDLE_AFTER)
+    jobs.source_marks_job(derived.arrival_stream(spark, folder), cfg, IDLE_POLL).awaitTermination()
+    return upsert.read_history(spark, cfg.table(idle.MARKS), idle.MARKS).select(*idle.MARKS.columns)
+
+
+STREAMS |= {"stream_idle_partitions": _idle_partitions}
+
 QUERIES: dict[str, Query] = {**BATCH, **STREAMS}

@@ -9,6 +9,7 @@ that starts afresh merges on top of what is stored. On a database the batch goes
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -53,17 +54,19 @@ def _folder(spark: SparkSession, path: str):
 
 
 def _versions(spark: SparkSession, path: str) -> list[Version]:
-    """Complete versions under ``path``, oldest first. Their folders are named ``version=<number>_<query>_<batch>``."""
+    """Complete versions under ``path``, oldest first, from one listing. Their folders are named
+    ``version=<number>_<query>_<batch>``; the marker that Spark writes last tells that one is complete, and when."""
     root, fs = _folder(spark, path)
     if not fs.exists(root):
         return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        done, _ = _folder(spark, f"{path}/{name}/_SUCCESS")
-        if name.startswith("version=") and fs.exists(done):
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        status = files.next()
+        file = status.getPath()
+        name = file.getParent().getName()
+        if file.getName() == "_SUCCESS" and name.startswith("version="):
             number, _, batch = name.removeprefix("version=").partition("_")
-            found.append(Version(int(number), batch, fs.getFileStatus(done).getModificationTime(), f"{path}/{name}"))
+            found.append(Version(int(number), batch, status.getModificationTime(), f"{path}/{name}"))
     return sorted(found)
 
 
@@ -96,15 +99,21 @@ def write_version(table: DataFrame, path: str, batch: BatchId, keep_seconds: int
 
 
 def keep_valid(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec) -> DataFrame:
-    """Rows that keep the table's rules; the others go to ``<path>_rejects`` with the rules they break, in a folder of
-    their batch, which a repeated batch overwrites."""
+    """Rows that keep the table's rules. If there are others, they go to ``<path>_rejects`` with the rules they break, in a
+    folder of their batch, which a repeated batch overwrites."""
     good, bad = check_constraints(rows, spec)
-    bad.write.mode("overwrite").parquet(f"{path}_rejects/batch={batch}")
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").parquet(f"{path}_rejects/batch={batch}")
     return good
 
 
-def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}_rejects")
+def read_rejects(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """All rejected rows of a table, with ``broken`` and ``batch``; none, if there were none yet."""
+    schema = f"{_ddl(spec)}, broken array<string>, batch string"
+    root, fs = _folder(spark, f"{path}_rejects")
+    if not fs.exists(root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}_rejects")
 
 
 def upsert(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec, keep_seconds: int = KEEP_SECONDS) -> None:
@@ -148,12 +157,19 @@ def upsert_jdbc(rows: DataFrame, batch: BatchId, spec: TableSpec, url: str, prop
         connection.close()
 
 
+# When a history row was written, in microseconds of the writing driver's clock.
+WRITTEN = "written_us"
+
+
 def append_history(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec) -> None:
     """Add windows to a history table laid out by date, so that a query on a span of time reads only its days.
 
-    Every batch owns one folder below each date, which a repeated batch overwrites.
+    Every batch owns one folder below each date, which a repeated batch overwrites. Rows carry the time of writing; rows
+    that have one already, as those that are compacted, keep it.
     """
-    dated = rows.select(*spec.columns).withColumns({"window_date": F.to_date(spec.updated), "batch": F.lit(str(batch))})
+    written = F.col(WRITTEN) if WRITTEN in rows.columns else F.lit(time.time_ns() // 1000)
+    dated = rows.select(*spec.columns, written.alias(WRITTEN)).withColumns(
+        {"window_date": F.to_date(spec.updated), "batch": F.lit(str(batch))})
     (
         dated.hint("rebalance", "window_date")
         .sortWithinPartitions("window_date", *spec.keys)
@@ -164,12 +180,18 @@ def append_history(rows: DataFrame, batch: BatchId, path: str, spec: TableSpec)
     )
 
 
-def read_history(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """History rows, one per key. Filters on keys and dates reach the files."""
-    found = spark.read.schema(f"{_ddl(spec)}, window_date date, batch string").parquet(path)
+def _last_written(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    found = spark.read.schema(f"{_ddl(spec)}, {WRITTEN} long, window_date date, batch string").parquet(path)
     keys = [*spec.keys, "window_date"]
-    others = [F.max(c).alias(c) for c in spec.columns if c not in keys]
-    return found.groupBy(*keys).agg(*others).select(*spec.columns, "window_date")
+    others = [c for c in spec.columns if c not in keys]
+    order = F.struct(F.coalesce(WRITTEN, F.lit(0)), "batch", *others)
+    last = F.max_by(F.struct(*others, WRITTEN), order).alias("_last")
+    return found.groupBy(*keys).agg(last).select(*keys, "_last.*")
+
+
+def read_history(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """History rows, one per key: the one written last, whole. Filters on keys and dates reach the files."""
+    return _last_written(spark, path, spec).select(*spec.columns, "window_date")
 
 
 def _ddl(spec: TableSpec) -> str:
@@ -187,7 +209,7 @@ def compact_history(spark: SparkSession, path: str, spec: TableSpec, before: str
         date = day.getName().removeprefix("window_date=")
         parts = [status.getPath() for status in fs.listStatus(day)] if date != day.getName() and date < before else []
         if len(parts) > 1:
-            rows = read_history(spark, path, spec).where(F.col("window_date") == F.lit(date).cast("date"))
+            rows = _last_written(spark, path, spec).where(F.col("window_date") == F.lit(date).cast("date"))
             append_history(rows, BatchId(f"compacted-{uuid.uuid4().hex}", 0), path, spec)
             for part in parts:
                 fs.delete(part, True)

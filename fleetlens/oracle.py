@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetlens.catalog import EXTENT_LINES, LINE, LOG_FORMS, RAW_DIGITS, UPSERT_CUT
+from fleetlens.catalog import EXTENT_LINES, IDLE_AFTER, IDLE_POLL, LINE, LOG_FORMS, RAW_DIGITS, UPSERT_CUT
 from fleetlens.functions import display
 from fleetlens.operators.logmetrics import seconds_of
 from fleetlens.plans import panels
@@ -405,6 +405,23 @@ ORACLES: dict[str, str] = {
     **{f"panel_{key}": _panel_sql(p) for key, p in panels.PANELS.items() if key not in LOG_FORMS.values()},
 }
 
+_ARRIVALS = f"""
+arrivals AS (SELECT part, event_time, arrived, make_timestamp(epoch_us(arrived) // {IDLE_POLL * 1_000_000} * {IDLE_POLL * 1_000_000}) AS poll
+  FROM (SELECT event_id % 4 AS part, event_time, CASE WHEN event_id % 4 = 3 THEN event_time + INTERVAL 20 MINUTE
+    WHEN event_id % 4 = 2 AND event_time >= TIMESTAMP '2024-01-01 02:00:00' AND event_time < TIMESTAMP '2024-01-01 04:00:00'
+      THEN TIMESTAMP '2024-01-01 04:00:01' ELSE event_time END AS arrived
+  FROM positions WHERE event_id % 4 <> 1 OR event_time < TIMESTAMP '2024-01-01 06:00:00')),
+polls AS (SELECT DISTINCT poll, poll + to_seconds({IDLE_POLL}) AS ends FROM arrivals),
+sent AS (SELECT poll, part, max(event_time) AS newest, max(arrived) AS seen FROM arrivals GROUP BY ALL),
+known AS (SELECT p.poll, p.ends, s.part, max(s.newest) AS newest, max(s.seen) AS seen FROM polls p JOIN sent s ON s.poll <= p.poll GROUP BY ALL),
+least AS (SELECT poll, ends, min(newest) FILTER (WHERE ends - seen <= to_seconds({IDLE_AFTER})) AS least,
+    count(*) FILTER (WHERE ends - seen <= to_seconds({IDLE_AFTER})) AS active, count(*) FILTER (WHERE ends - seen > to_seconds({IDLE_AFTER})) AS idle
+  FROM known GROUP BY ALL),
+marks AS (SELECT *, max(least - INTERVAL 2 SECOND) OVER (ORDER BY poll) AS watermark FROM least),
+met AS (SELECT poll, lag(watermark) OVER (ORDER BY poll) AS met FROM marks),
+counts AS (SELECT poll, count(*) AS rows, count(*) FILTER (WHERE event_time <= met) AS late FROM arrivals JOIN met USING (poll) GROUP BY poll)
+"""
+
 # Continuous jobs. Ordered rows come out once the watermark, two seconds behind the newest report, has passed them.
 _PASSED = "event_time <= (SELECT mark FROM passed)"
 _CLOSED = "date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM passed)"
@@ -423,4 +440,7 @@ ORACLES |= {
     "stream_latest_position": ORACLES["latest_position"],
     "stream_vehicle_status": _sql("SELECT * FROM passed_status", "passed_status"),
     "stream_line_catalogue": ORACLES["line_catalogue"],
+    "stream_idle_partitions": _with(
+        _ARRIVALS, """SELECT ends AS janela_fim, watermark, active, idle, rows, late FROM marks JOIN counts USING (poll)
+WHERE poll < (SELECT max(poll) FROM polls)""", "positions"),
 }

@@ -107,6 +107,23 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(_event_stream(spark, sf_dir))
 
 
+# A source of four partitions: reports of the third lag, those of the first stop half way, the second is silent for hours
+# and then sends what it held back.
+_ARRIVALS = {
+    "source_partition": "cast(event_id % 4 AS int)",
+    "event_time": "event_time",
+    "arrived": """CASE WHEN event_id % 4 = 3 THEN event_time + INTERVAL 20 MINUTES
+        WHEN event_id % 4 = 2 AND event_time >= timestamp'2024-01-01 02:00:00' AND event_time < timestamp'2024-01-01 04:00:00'
+            THEN timestamp'2024-01-01 04:00:01' ELSE event_time END""",
+}
+_SENT = "event_id % 4 <> 1 OR event_time < timestamp'2024-01-01 06:00:00'"
+
+
+def arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports with the source partition they come from and the time they arrive."""
+    return _view(position_stream(spark, sf_dir).where(_SENT), _ARRIVALS)
+
+
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route points with the distance travelled so far, in metres."""
     return _view(_table(spark, sf_dir, "orders"), _SHAPES)

@@ -36,12 +36,15 @@ from fleetlens.operators.upsert import (
 from fleetlens.plans import fleet, motion
 from fleetlens.session import SETTINGS
 from fleetlens.sources.positions import POLL
-from fleetlens.streaming import ordered
+from fleetlens.streaming import idle, ordered
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 WATERMARK_US = 2_000_000
+# Fixed value: silence after which a source partition counts as idle.
+IDLE_SECONDS = 5
+POLL_SECONDS = 15
 
 Sink = Callable[[DataFrame, BatchId, schemas.TableSpec], None]
 
@@ -54,7 +57,8 @@ class JobConfig:
     example ``10 minutes``), by default all since the start count. ``sink`` takes the valid rows of every batch instead of
     the Parquet result tables. ``state_partitions`` is the number of state partitions of a new stream, by default the
     session's shuffle partitions; a stream keeps the number it starts with. ``keep_seconds`` is how long a replaced version
-    of a table stays readable.
+    of a table stays readable. ``idle_seconds`` is how long a source partition may be silent before the watermark goes on
+    without it; None waits for ever.
     """
 
     tables: str
@@ -64,6 +68,7 @@ class JobConfig:
     sink: Sink | None = None
     state_partitions: int | None = None
     keep_seconds: int = KEEP_SECONDS
+    idle_seconds: float | None = IDLE_SECONDS
 
     def table(self, spec: schemas.TableSpec) -> str:
         return f"{self.tables}/{spec.name}"
@@ -252,8 +257,17 @@ def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] =
     """One query that orders the reports and keeps the results of the named jobs."""
     results = [ORDERED[name](cfg) for name in names]
     path = f"{cfg.tables}/ordered_state"
+    idle_us = None if cfg.idle_seconds is None else int(cfg.idle_seconds * 1_000_000)
     return _start(positions, cfg, "ordered", lambda rows, batch: ordered.run_batch(
-        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results))
+        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us))
+
+
+def source_marks_job(arrivals: DataFrame, cfg: JobConfig, poll_seconds: int = POLL_SECONDS) -> StreamingQuery:
+    """Watermark, active and idle partitions, and late reports at the end of every poll, for watching a source. ``arrivals``
+    have ``source_partition``, ``event_time`` and ``arrived``."""
+    idle_us = int((cfg.idle_seconds or 1e9) * 1_000_000)
+    return _start(arrivals, cfg, "source_marks", lambda rows, batch: idle.track(
+        rows, batch, cfg.table(idle.MARKS), f"{cfg.tables}/source_marks_state", poll_seconds, WATERMARK_US, idle_us, cfg.keep_seconds))
 
 
 def _newest(plan: Callable[[DataFrame], DataFrame], spec: schemas.TableSpec, cfg: JobConfig):

@@ -206,7 +206,7 @@ def test_versions_survive_a_repeated_batch(spark, tmp_path):
     upsert.upsert(batch((None, 3, "2024-01-02 00:00:00"), ("L" * 60, 3, "2024-01-02 00:00:00"), ("D", 4, "2024-01-02 00:00:00")),
                   other(1), path, spec)
     assert stored() == {"A": 2, "B": 7, "C": 5, "D": 4}
-    rejects = upsert.read_rejects(spark, path).select(F.explode("broken")).collect()
+    rejects = upsert.read_rejects(spark, path, spec).select(F.explode("broken")).collect()
     assert sorted(r[0] for r in rejects) == ["max_length:linha", "not_null:linha"]
 
 
@@ -238,6 +238,38 @@ def test_history_is_pruned_by_date_and_repeats_overwrite(spark, tmp_path, positi
     assert "PartitionFilters: [isnotnull(window_date" in plan
 
 
+def test_history_keeps_the_row_written_last(spark, tmp_path):
+    """Two writers of one window: the later row comes back whole, before and after compaction, and stays the last."""
+    spec, path = schemas.SPEED_HISTORY, str(tmp_path / "h")
+
+    def append(query, *values):
+        rows = spark.createDataFrame([("A", *values)], "linha string, velocidade_media double, velocidade_maxima double, velocidade_minima double")
+        start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+        upsert.append_history(rows.withColumns({"janela_inicio": start, "janela_fim": start + F.expr("INTERVAL 1 MINUTE")}),
+                              upsert.BatchId(query, 0), path, spec)
+
+    def stored():
+        return [(r.velocidade_media, r.velocidade_maxima, r.velocidade_minima) for r in upsert.read_history(spark, path, spec).collect()]
+
+    append("z", 30.0, 50.0, 10.0)
+    append("b", 40.0, 45.0, 35.0)
+    assert stored() == [(40.0, 45.0, 35.0)]
+    upsert.compact_history(spark, path, spec, "2100-01-01")
+    assert stored() == [(40.0, 45.0, 35.0)]
+    append("a", 20.0, 20.0, 20.0)
+    assert stored() == [(20.0, 20.0, 20.0)]
+
+
+def test_rejects_are_written_only_where_there_are_any(spark, tmp_path):
+    spec, path = schemas.ACTIVE_VEHICLES, str(tmp_path / "t")
+    good = spark.createDataFrame([("A", 1)], "linha string, total_onibus_ativos long").withColumn("ultima_atualizacao", F.lit("2024-01-01").cast("timestamp"))
+    for number in range(3):
+        upsert.upsert(good, upsert.BatchId("q", number), path, spec)
+    assert not (tmp_path / "t_rejects").exists() and upsert.read_rejects(spark, path, spec).count() == 0
+    upsert.upsert(good.withColumn("linha", F.lit(None).cast("string")), upsert.BatchId("q", 3), path, spec)
+    assert [(r.broken, r.batch) for r in upsert.read_rejects(spark, path, spec).collect()] == [(["not_null:linha"], "q_3")]
+
+
 @pytest.mark.parametrize("spec", schemas.TABLES.values(), ids=lambda s: s.name)
 def test_conflict_statement_upserts(spec):
     kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}

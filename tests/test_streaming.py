@@ -117,7 +117,7 @@ def test_fresh_checkpoints_lose_nothing(spark, reports, tmp_path):
         seen[turn] = read_history(spark, cfg.table(schemas.SPEED_HISTORY), schemas.SPEED_HISTORY).count()
     latest = read_table(spark, cfg.table(schemas.LATEST_POSITION), schemas.LATEST_POSITION.schema).collect()
     assert {r.prefixo: r.ultima_atualizacao.minute for r in latest} == {1: 18, 2: 11, 3: 23}
-    assert read_rejects(spark, cfg.table(schemas.LATEST_POSITION)).count() == 1
+    assert read_rejects(spark, cfg.table(schemas.LATEST_POSITION), schemas.LATEST_POSITION).count() == 1
     active = read_table(spark, cfg.table(schemas.ACTIVE_VEHICLES), schemas.ACTIVE_VEHICLES.schema).first()
     assert active.total_onibus_ativos == 3
     speeds = read_table(spark, cfg.table(schemas.SPEED_BY_LINE), schemas.SPEED_BY_LINE.schema).first()
