@@ -13,10 +13,10 @@ from fleetlens.operators import constraints, deadletter, logmetrics, upsert
 from fleetlens.operators.lag import CHUNK
 from fleetlens.plans import fleet, headway, motion, panels, routes
 from fleetlens.schemas import LATEST_POSITION, TABLES
-from fleetlens.session import ensure_checkpoint_dir, shared_dir
+from fleetlens.session import SETTINGS, ensure_checkpoint_dir, shared_dir
 from fleetlens.sources import derived, feed, producer
 from fleetlens.sources.positions import with_gps_timestamp
-from fleetlens.streaming import idle, jobs
+from fleetlens.streaming import idle, jobs, joined
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,8 @@ RAW_DIGITS = 6
 SMALL_CHUNK = 100
 # Seconds of a poll and of silence that make a partition idle, for the test views' sparse reports.
 IDLE_POLL, IDLE_AFTER = 300, 720
+# Seconds after which a silent vehicle or line is forgotten in ``stream_vehicle_status_ttl``.
+TTL_SECONDS = 600
 
 
 def _on_positions(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -223,6 +225,35 @@ def _idle_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.read_history(spark, cfg.table(idle.MARKS), idle.MARKS).select(*idle.MARKS.columns)
 
 
-STREAMS |= {"stream_idle_partitions": _idle_partitions}
+def _appended(name: str, plan: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Run a streaming plan over all that is there now into a Parquet sink in append mode, and return what it wrote."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        home = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+        spark.conf.set(jobs.STATE_STORE, SETTINGS[jobs.STATE_STORE])
+        rows = plan(spark, folder)
+        query = rows.writeStream.format("parquet").option("path", f"{home}/rows").option("checkpointLocation", f"{home}/checkpoint")
+        query.queryName(name).trigger(availableNow=True).start().awaitTermination()
+        return spark.read.schema(rows.schema).parquet(f"{home}/rows")
+
+    return run
+
+
+def _status_ttl(spark: SparkSession, folder: str) -> DataFrame:
+    """Vehicle status where vehicles and lines that were silent for longer than a time to live start afresh."""
+    cfg, spec = _job_config(spark, "vehicle_status_ttl", ttl_seconds=TTL_SECONDS), TABLES["tb_veiculos_em_operacao"]
+    jobs.ordered_jobs(derived.position_stream(spark, folder), cfg, ("vehicle_status",)).awaitTermination()
+    return upsert.read_table(spark, cfg.table(spec), spec.schema)
+
+
+STREAMS |= {
+    "stream_idle_partitions": _idle_partitions,
+    # Append streams, joined by Spark's stream-stream join.
+    "stream_headway_events": lambda s, d: _rounded(_appended(
+        "headway_events", lambda s, d: joined.headway_events(derived.position_stream(s, d)))(s, d), "speed_kmh", "gap_km", "headway_min"),
+    "stream_motion_left": lambda s, d: _rounded(_appended(
+        "motion_left", lambda s, d: joined.motion_with_gaps(derived.position_stream(s, d)))(s, d), "speed_kmh", "gap_km"),
+    "stream_vehicle_status_ttl": _status_ttl,
+}
 
 QUERIES: dict[str, Query] = {**BATCH, **STREAMS}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetlens.catalog import EXTENT_LINES, IDLE_AFTER, IDLE_POLL, LINE, LOG_FORMS, RAW_DIGITS, UPSERT_CUT
+from fleetlens.catalog import EXTENT_LINES, IDLE_AFTER, IDLE_POLL, LINE, LOG_FORMS, RAW_DIGITS, TTL_SECONDS, UPSERT_CUT
 from fleetlens.functions import display
 from fleetlens.operators.logmetrics import seconds_of
 from fleetlens.plans import panels
@@ -152,6 +152,21 @@ def _closure(names: tuple[str, ...]) -> set[str]:
     return found
 
 
+def _only_near(column: str, keys: str) -> str:
+    """LAG of a column where the row before is at most the time to live away."""
+    window = f"OVER (PARTITION BY {keys} ORDER BY event_time, event_id)"
+    return f"CASE WHEN event_time - lag(event_time) {window} <= to_seconds({TTL_SECONDS}) THEN lag({column}) {window} END"
+
+
+# LAGs with a time to live, in the places of "fixes" and "neighbours".
+TTL_BLOCKS = {
+    "fixes": f"SELECT *, {_only_near('py', 'p')} AS from_py, {_only_near('px', 'p')} AS from_px, "
+             f"{_only_near('event_time', 'p')} AS from_time FROM positions",
+    "neighbours": f"SELECT *, {_only_near('py', 'c, sl')} AS near_py, {_only_near('px', 'c, sl')} AS near_px, "
+                  f"{_only_near('p', 'c, sl')} AS near_p FROM positions",
+}
+
+
 def _sql(body: str, *blocks: str) -> str:
     """``body`` with the named blocks and all they read put in front as common table expressions."""
     wanted = _closure(blocks)
@@ -422,6 +437,12 @@ met AS (SELECT poll, lag(watermark) OVER (ORDER BY poll) AS met FROM marks),
 counts AS (SELECT poll, count(*) AS rows, count(*) FILTER (WHERE event_time <= met) AS late FROM arrivals JOIN met USING (poll) GROUP BY poll)
 """
 
+def _replaced(sql: str) -> str:
+    for name, text in TTL_BLOCKS.items():
+        sql = sql.replace(f"{name} AS ({BLOCKS[name].strip()})", f"{name} AS ({text})")
+    return sql
+
+
 # Continuous jobs. Ordered rows come out once the watermark, two seconds behind the newest report, has passed them.
 _PASSED = "event_time <= (SELECT mark FROM passed)"
 _CLOSED = "date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM passed)"
@@ -440,6 +461,13 @@ ORACLES |= {
     "stream_latest_position": ORACLES["latest_position"],
     "stream_vehicle_status": _sql("SELECT * FROM passed_status", "passed_status"),
     "stream_line_catalogue": ORACLES["line_catalogue"],
+    "stream_headway_events": _sql(
+        f"""SELECT event_id, linha, p, event_time, round(speed_kmh, {_D}) AS speed_kmh, round(gap_km, {_D}) AS gap_km,
+  round(headway_min, {_D}) AS headway_min FROM headways WHERE {_PASSED}""", "headways", "passed"),
+    "stream_motion_left": _sql(
+        f"""SELECT event_id, linha, sl, p, event_time, round(speed_kmh, {_D}) AS speed_kmh, gap_event_id, round(gap_km, {_D}) AS gap_km
+FROM motion WHERE {_PASSED}""", "motion", "passed"),
+    "stream_vehicle_status_ttl": _replaced(_sql("SELECT * FROM passed_status", "passed_status")),
     "stream_idle_partitions": _with(
         _ARRIVALS, """SELECT ends AS janela_fim, watermark, active, idle, rows, late FROM marks JOIN counts USING (poll)
 WHERE poll < (SELECT max(poll) FROM polls)""", "positions"),

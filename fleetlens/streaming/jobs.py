@@ -58,7 +58,8 @@ class JobConfig:
     the Parquet result tables. ``state_partitions`` is the number of state partitions of a new stream, by default the
     session's shuffle partitions; a stream keeps the number it starts with. ``keep_seconds`` is how long a replaced version
     of a table stays readable. ``idle_seconds`` is how long a source partition may be silent before the watermark goes on
-    without it; None waits for ever.
+    without it; None waits for ever. ``ttl_seconds`` is how long the last report of a silent vehicle or line is kept in the
+    state of ordered jobs; by default for ever.
     """
 
     tables: str
@@ -69,6 +70,7 @@ class JobConfig:
     state_partitions: int | None = None
     keep_seconds: int = KEEP_SECONDS
     idle_seconds: float | None = IDLE_SECONDS
+    ttl_seconds: float | None = None
 
     def table(self, spec: schemas.TableSpec) -> str:
         return f"{self.tables}/{spec.name}"
@@ -257,9 +259,9 @@ def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] =
     """One query that orders the reports and keeps the results of the named jobs."""
     results = [ORDERED[name](cfg) for name in names]
     path = f"{cfg.tables}/ordered_state"
-    idle_us = None if cfg.idle_seconds is None else int(cfg.idle_seconds * 1_000_000)
+    idle_us, ttl_us = (None if seconds is None else int(seconds * 1_000_000) for seconds in (cfg.idle_seconds, cfg.ttl_seconds))
     return _start(positions, cfg, "ordered", lambda rows, batch: ordered.run_batch(
-        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us))
+        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us, ttl_us))
 
 
 def source_marks_job(arrivals: DataFrame, cfg: JobConfig, poll_seconds: int = POLL_SECONDS) -> StreamingQuery:

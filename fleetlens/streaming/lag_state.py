@@ -11,6 +11,10 @@ A key may be hot, so its rows are not gathered under the key alone. They are spl
 * :class:`SlotStitch` runs per key on slot-first and boundary rows only, two per slot, and gives every slot-first row the
   boundary row before it. All other rows pass through it in lanes of their own, spread like the slots.
 
+With a time to live a key whose last row is older is forgotten: its next row has no predecessor, and an event-time timer
+clears what is kept of it once the watermark is that far on. The result is the same whenever the timer fires, because a row
+behind the watermark can only follow at a longer gap.
+
 A task thus holds one slot of one key at a time, however many rows a key has, and state per key is one row plus the slots
 the watermark has not closed.
 """
@@ -53,13 +57,13 @@ def _frame(rows: Sequence[Sequence], names: Sequence[str]) -> pd.DataFrame:
 class SlotLag(StatefulProcessor):
     """Predecessors within one slot of one key; ``values`` maps new columns to row columns."""
 
-    def __init__(self, row: StructType, keys: Sequence[str], tie: str, values: dict[str, str], slot_us: int):
+    def __init__(self, row: StructType, keys: Sequence[str], tie: str, values: dict[str, str], slot_us: int, ttl_us: int | None = None):
         self._row = row
         self._keys = list(keys)
         self._at, self._tie = row.names.index(_US), row.names.index(tie)
         self._sources = [row.names.index(old) for old in values.values()]
         self._names = [*keys, *row.names, *values, _SLOT, _ROLE, "event_time"]
-        self._width = slot_us
+        self._width, self._ttl = slot_us, ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -106,7 +110,8 @@ class SlotLag(StatefulProcessor):
         missing = (None,) * len(self._sources)
         out = []
         for row in ready:
-            found = missing if before is None else tuple(before[i] for i in self._sources)
+            gone = before is None or self._ttl is not None and row[self._at] - before[self._at] > self._ttl
+            found = missing if gone else tuple(before[i] for i in self._sources)
             role = _FIRST if before is None else _PLAIN
             out.append((*prefix, *row, *found, slot, role, row[self._at]))
             before = row
@@ -132,18 +137,24 @@ class SlotLag(StatefulProcessor):
 
 
 class SlotStitch(StatefulProcessor):
-    """Predecessors of slot-first rows: the boundary row before them. Needs no timers, because a boundary row never
-    comes in a later micro-batch than the rows after it."""
+    """Predecessors of slot-first rows: the boundary row before them. Waits for nothing, because a boundary row never
+    comes in a later micro-batch than the rows after it; timers only clear last rows that have outlived their time."""
 
-    def __init__(self, row: StructType, keys: Sequence[str], values: dict[str, str], output: Sequence[str]):
+    def __init__(self, row: StructType, keys: Sequence[str], values: dict[str, str], output: Sequence[str], ttl_us: int | None = None):
         self._row = row
         self._keys = list(keys)
         self._values = dict(values)
         self._output = list(output)
+        self._at, self._ttl = row.names.index(_US), ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
         self._last = handle.getValueState("last", self._row)
 
+    def _end_of(self, last: tuple) -> int:
+        """Watermark in milliseconds at which a last row has no follower any more."""
+        return (last[self._at] + self._ttl) // 1000 + 1
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if key[len(self._keys)] >= 0:
             for batch in rows:
@@ -157,18 +168,26 @@ class SlotStitch(StatefulProcessor):
         carried = {new: [] for new in self._values}
         sources = {new: self._row.names.index(old) for new, old in self._values.items()}
         for role, row in zip(edges[_ROLE], _rows(edges, self._row.names)):
+            gone = last is None or self._ttl is not None and row[self._at] - last[self._at] > self._ttl
             for new, at in sources.items():
-                carried[new].append(None if last is None else last[at])
+                carried[new].append(None if gone else last[at])
             if role == _BOUNDARY:
                 last = row
         if last is not None:
             self._last.update(last)
+            if self._ttl is not None:
+                self._handle.registerTimer(self._end_of(last))
         for new, found in carried.items():
             edges[new] = pd.Series(found, dtype=object)
         first = edges[edges[_ROLE] == _FIRST]
         if len(first):
             yield first[self._output]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._last.exists() and self._end_of(tuple(self._last.get())) <= timerValues.getCurrentWatermarkInMs():
+            self._last.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -180,13 +199,15 @@ def stream_lag(
     values: dict[str, str],
     slot_seconds: int,
     tie: str = "event_id",
+    ttl_seconds: float | None = None,
 ) -> DataFrame:
     """Streaming twin of ``lag_over``: ``columns`` of every report with ``values`` of the key's previous report.
 
     ``positions`` must carry a watermark on ``event_time``. A source named ``event_time`` gives the previous time, as
     microseconds. Rows come out once the watermark has passed them. ``slot_seconds`` changes how the work is split, never
-    the result.
+    the result. A row that follows more than ``ttl_seconds`` after its key's last one has no predecessor.
     """
+    ttl_us = None if ttl_seconds is None else int(ttl_seconds * 1_000_000)
     width = slot_seconds * 1_000_000
     kept = [c for c in dict.fromkeys([*columns, tie]) if c != "event_time" and c not in keys]
     at = F.unix_micros("event_time")
@@ -200,7 +221,7 @@ def stream_lag(
         *key_fields, *row.fields, *added, StructField(_SLOT, LongType()), StructField(_ROLE, IntegerType()), when
     ])
     in_slots = slim.groupBy(*keys, _SLOT).transformWithStateInPandas(
-        statefulProcessor=SlotLag(row, keys, tie, sources, width), outputStructType=inner, outputMode="append",
+        statefulProcessor=SlotLag(row, keys, tie, sources, width, ttl_us), outputStructType=inner, outputMode="append",
         timeMode="eventTime", eventTimeColumnName="event_time",
     )
     lane = F.when(F.col(_ROLE) == _PLAIN, F.col(_SLOT)).otherwise(F.lit(-1)).alias(_LANE)
@@ -209,7 +230,7 @@ def stream_lag(
         in_slots.select("*", lane)
         .groupBy(*keys, _LANE)
         .transformWithStateInPandas(
-            statefulProcessor=SlotStitch(row, keys, sources, output.names), outputStructType=output,
+            statefulProcessor=SlotStitch(row, keys, sources, output.names, ttl_us), outputStructType=output,
             outputMode="append", timeMode="eventTime", eventTimeColumnName="event_time",
         )
     )

@@ -47,13 +47,17 @@ class Step(NamedTuple):
     mark: int
 
 
-def _lag(rows: DataFrame, seeds: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
-    """``values`` of the previous row of the same key, where ``seeds`` come before all rows."""
+def _lag(rows: DataFrame, seeds: DataFrame, keys: list[str], values: dict[str, str], ttl_us: int | None) -> DataFrame:
+    """``values`` of the previous row of the same key, where ``seeds`` come before all rows; NULL if it is older than the
+    time to live."""
     both = rows.withColumn("_seed", F.lit(False)).unionByName(
         seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
     order = Window.partitionBy(*keys).orderBy(*motion.ORDER)
-    found = both.withColumns({new: F.lag(old).over(order) for new, old in values.items()})
-    return found.where(~F.col("_seed")).drop("_seed")
+    lags = {new: F.lag(old).over(order) for new, old in values.items()}
+    if ttl_us is not None:
+        near = F.unix_micros("event_time") - F.unix_micros(F.lag("event_time").over(order)) <= ttl_us
+        lags = {new: F.when(near, value) for new, value in lags.items()}
+    return both.withColumns(lags).where(~F.col("_seed")).drop("_seed")
 
 
 def _sources(batch: DataFrame, state: DataFrame, now_us: int) -> DataFrame:
@@ -64,11 +68,12 @@ def _sources(batch: DataFrame, state: DataFrame, now_us: int) -> DataFrame:
     return sent.unionByName(known).groupBy("event_id").agg(F.max("event_time").alias("event_time"), F.max(SEEN).alias(SEEN))
 
 
-def advance(batch: DataFrame, state: DataFrame, delay_us: int, idle_us: int | None = None, now_us: int | None = None) -> Step | None:
+def advance(batch: DataFrame, state: DataFrame, delay_us: int, idle_us: int | None = None, now_us: int | None = None,
+            ttl_us: int | None = None) -> Step | None:
     """Put a micro-batch in order; None when no report has a time yet.
 
     Partitions that were silent for longer than ``idle_us`` until ``now_us`` (by default the clock) do not hold the
-    watermark back; without ``idle_us`` all do.
+    watermark back; without ``idle_us`` all do. A vehicle or line whose last report is older than ``ttl_us`` is forgotten.
     """
     at = F.unix_micros("event_time")
     now_us = time.time_ns() // 1000 if now_us is None else now_us
@@ -88,10 +93,13 @@ def advance(batch: DataFrame, state: DataFrame, delay_us: int, idle_us: int | No
 
     pending = fresh.unionByName(kept(WAITING))
     ready = pending.where(at <= mark)
-    rows = _lag(_lag(ready, kept(VEHICLE), list(motion.VEHICLE), FIX), kept(LINE), list(motion.LINE_WAY), headway.NEIGHBOUR)
+    fixes = _lag(ready, kept(VEHICLE), list(motion.VEHICLE), FIX, ttl_us)
+    rows = _lag(fixes, kept(LINE), list(motion.LINE_WAY), headway.NEIGHBOUR, ttl_us)
 
     def last(keys, role: str) -> DataFrame:
-        return as_state(newest_rows(ready.unionByName(kept(role)), list(keys), motion.ORDER), role)
+        found = newest_rows(ready.unionByName(kept(role)), list(keys), motion.ORDER)
+        # What the watermark has left behind by more than the time to live can have no follower.
+        return as_state(found if ttl_us is None else found.where(at >= mark - ttl_us), role)
 
     line = batch.sparkSession.range(1).select(F.timestamp_micros(F.lit(mark)).alias("event_time"))
     after = as_state(pending.where(at > mark), WAITING).unionByName(last(motion.VEHICLE, VEHICLE)).unionByName(
@@ -106,12 +114,13 @@ def as_state(rows: DataFrame, role: str) -> DataFrame:
 
 
 def run_batch(batch: DataFrame, number: BatchId, path: str, delay_us: int, keep_seconds: int,
-              results: list[Callable[[DataFrame, int, BatchId], None]], idle_us: int | None = None) -> None:
+              results: list[Callable[[DataFrame, int, BatchId], None]], idle_us: int | None = None,
+              ttl_us: int | None = None) -> None:
     """Order a micro-batch, hand the rows to every result, then move the state on."""
     spark: SparkSession = batch.sparkSession
     if has_version(spark, path, number):
         return
-    step = advance(batch, read_table(spark, path, STATE), delay_us, idle_us)
+    step = advance(batch, read_table(spark, path, STATE), delay_us, idle_us, ttl_us=ttl_us)
     if step is None:
         return
     rows = step.rows.persist()
