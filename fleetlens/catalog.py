@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions import display, timing
-from fleetlens.operators import constraints, deadletter, logmetrics, upsert
+from fleetlens.operators import constraints, deadletter, logmetrics, sketches, upsert
 from fleetlens.operators.lag import CHUNK
 from fleetlens.plans import fleet, headway, motion, panels, routes
 from fleetlens.schemas import LATEST_POSITION, TABLES
 from fleetlens.session import SETTINGS, ensure_checkpoint_dir, shared_dir
 from fleetlens.sources import derived, feed, producer
 from fleetlens.sources.positions import with_gps_timestamp
-from fleetlens.streaming import idle, jobs, joined
+from fleetlens.streaming import idle, jobs, joined, logstreams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,6 +246,69 @@ def _status_ttl(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.read_table(spark, cfg.table(spec), spec.schema)
 
 
+def _log_stream(name: str, panel: panels.Panel) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        cfg = _job_config(spark, name)
+        spark.conf.set(jobs.STATE_STORE, SETTINGS[jobs.STATE_STORE])
+        rows = logstreams.run_panel(derived.log_stream(spark, folder), panel)
+        logstreams.append_panel(rows, cfg, name).awaitTermination()
+        found = spark.read.schema(rows.schema).parquet(f"{cfg.tables}/{name}")
+        return _rounded(found, "value") if dict(found.dtypes)["value"] == "double" else found
+
+    return run
+
+
+# Log panels as streams. The ranges of the first ones slide; the last have a value at every step.
+LOG_STREAMS: dict[str, panels.Panel] = {
+    "stream_log_rate": panels.Panel("rate", "5m", matching={"container": ".*kafka.*|.*python.*"}, step="1m"),
+    "stream_log_rate_by_container": panels.Panel("rate_by_container", "1h", matching={"container": ".*flink.*"}, step="10m"),
+    "stream_log_bytes_over_time": panels.Panel("bytes", "1h", matching={"container": ".*kafka.*|.*python.*"}, step="10m"),
+    "stream_log_live_containers": panels.PANELS["flink_live_containers"],
+    "stream_log_count_default": panels.PANELS["registry_errors"],
+    "stream_log_bytes_default": panels.PANELS["flink_bytes_by_container"],
+}
+
+
+def _quantile_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether quantiles of days, merged from the stored sketches of a streamed job's hours, keep their bound on the rank."""
+    cfg = _job_config(spark, "log_quantile_sketch")
+    wanted = logmetrics.condition(panels.PANELS["flink_checkpoint_p95"].equal)
+    lines = derived.log_stream(spark, folder).withWatermark("ts", logstreams.DELAY)
+    bins = sketches.stored(sketches.value_sketches(lines, panels.CHECKPOINT_MS, "1h", panels.SERIES, wanted))
+    logstreams.append_panel(bins, cfg, "bins").awaitTermination()
+    by = ["container", "stream"]
+    merged = sketches.merged_quantiles(spark.read.schema(bins.schema).parquet(f"{cfg.tables}/bins"), 0.95, "24h", by)
+    lines = logmetrics.extract(logmetrics.select_logs(derived.logs(spark, folder), panels.PANELS["flink_checkpoint_p95"].equal),
+                               panels.CHECKPOINT_MS, "found")
+    # The last bin is still open.
+    newest = derived.logs(spark, folder).agg(F.max("ts")).first()[0]
+    done = F.date_trunc("hour", F.date_trunc("millisecond", F.lit(newest)) - F.expr(f"INTERVAL {logstreams.DELAY}"))
+    values = lines.where(F.col("ts") < done).select(*by, F.window("ts", "24 hours").alias("w"), F.col("found").cast("double").alias("v"))
+    both = values.select(*by, F.col("w.start").alias("window_start"), "v").join(merged, [*by, "window_start"])
+    ranks = both.groupBy(*by, "window_start", "window_end").agg(
+        F.count(F.lit(1)).alias("values"), F.avg((F.col("v") < F.col("value")).cast("int")).alias("low"),
+        F.avg((F.col("v") <= F.col("value")).cast("int")).alias("high"))
+    error = F.greatest(F.col("low") - 0.95, 0.95 - F.col("high"), F.lit(0.0))
+    return ranks.select(*by, "window_start", "window_end", "values", (error <= sketches.RANK_ERROR).alias("within"))
+
+
+def _active_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Vehicles of each line and hour, exact and whether the union of a streamed job's sketches of minutes is within its bound."""
+    cfg = _job_config(spark, "active_vehicles_sketch")
+    jobs.vehicle_sketches_job(derived.position_stream(spark, folder), cfg).awaitTermination()
+    bins = spark.read.parquet(f"{cfg.tables}/vehicle_sketches")
+    about = sketches.active_vehicles(bins, "1h").withColumnRenamed("total_onibus_ativos", "about").drop("ultima_atualizacao")
+    seen = derived.positions(spark, folder)
+    newest = seen.agg(F.max("event_time")).first()[0]
+    done = F.date_trunc("minute", F.date_trunc("millisecond", F.lit(newest)) - F.expr("INTERVAL 2 SECONDS"))
+    exact = seen.where(F.col("event_time") < done).groupBy(F.col("c").alias("linha"), F.window("event_time", "1 hour").alias("w")).agg(
+        F.count_distinct("p").alias("total_onibus_ativos"))
+    both = exact.select("linha", F.col("w.start").alias("window_start"), "total_onibus_ativos").join(about, ["linha", "window_start"], "left")
+    off = F.abs(F.col("about") - F.col("total_onibus_ativos"))
+    return both.select("linha", "window_start", "total_onibus_ativos",
+                       F.coalesce(off <= F.ceil(sketches.COUNT_ERROR * F.col("total_onibus_ativos")), F.lit(False)).alias("within"))
+
+
 STREAMS |= {
     "stream_idle_partitions": _idle_partitions,
     # Append streams, joined by Spark's stream-stream join.
@@ -254,6 +317,9 @@ STREAMS |= {
     "stream_motion_left": lambda s, d: _rounded(_appended(
         "motion_left", lambda s, d: joined.motion_with_gaps(derived.position_stream(s, d)))(s, d), "speed_kmh", "gap_km"),
     "stream_vehicle_status_ttl": _status_ttl,
+    **{name: _log_stream(name, panel) for name, panel in LOG_STREAMS.items()},
+    "log_quantile_sketch": _quantile_sketch,
+    "active_vehicles_sketch": _active_sketch,
 }
 
 QUERIES: dict[str, Query] = {**BATCH, **STREAMS}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,16 @@ def _interval(seconds: int) -> str:
     return f"{seconds} seconds"
 
 
+def condition(
+    equal: Mapping[str, str] | None = None, matching: Mapping[str, str] | None = None, line_regex: str | None = None
+) -> Column:
+    """Labels equal a value or match a whole-label regex, and the text contains ``line_regex``."""
+    tests = [F.col(label) == value for label, value in (equal or {}).items()]
+    tests += [F.col(label).rlike(f"^(?:{pattern})$") for label, pattern in (matching or {}).items()]
+    tests += [] if line_regex is None else [F.col("line").rlike(line_regex)]
+    return reduce(Column.__and__, tests, F.lit(True))
+
+
 def select_logs(
     logs: DataFrame,
     equal: Mapping[str, str] | None = None,
@@ -35,11 +46,7 @@ def select_logs(
     line_regex: str | None = None,
 ) -> DataFrame:
     """Lines whose labels equal a value or match a whole-label regex, and whose text contains ``line_regex``."""
-    for label, value in (equal or {}).items():
-        logs = logs.where(F.col(label) == value)
-    for label, pattern in (matching or {}).items():
-        logs = logs.where(F.col(label).rlike(f"^(?:{pattern})$"))
-    return logs if line_regex is None else logs.where(F.col("line").rlike(line_regex))
+    return logs.where(condition(equal, matching, line_regex))
 
 
 def extract(logs: DataFrame, pattern: str, label: str) -> DataFrame:

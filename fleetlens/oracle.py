@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fleetlens.catalog import EXTENT_LINES, IDLE_AFTER, IDLE_POLL, LINE, LOG_FORMS, RAW_DIGITS, TTL_SECONDS, UPSERT_CUT
+from fleetlens.catalog import (
+    EXTENT_LINES, IDLE_AFTER, IDLE_POLL, LINE, LOG_FORMS, LOG_STREAMS, RAW_DIGITS, TTL_SECONDS, UPSERT_CUT,
+)
 from fleetlens.functions import display
 from fleetlens.operators.logmetrics import seconds_of
 from fleetlens.plans import panels
@@ -437,6 +439,13 @@ met AS (SELECT poll, lag(watermark) OVER (ORDER BY poll) AS met FROM marks),
 counts AS (SELECT poll, count(*) AS rows, count(*) FILTER (WHERE event_time <= met) AS late FROM arrivals JOIN met USING (poll) GROUP BY poll)
 """
 
+def _closed_panel(panel: Panel) -> str:
+    """A panel's rows whose range the watermark has passed."""
+    mark = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 SECOND FROM logs)"
+    sql = _panel_sql(panel)
+    return f"{_sql('', 'logs')} SELECT * FROM ({sql}) WHERE window_end <= {mark}"
+
+
 def _replaced(sql: str) -> str:
     for name, text in TTL_BLOCKS.items():
         sql = sql.replace(f"{name} AS ({BLOCKS[name].strip()})", f"{name} AS ({text})")
@@ -461,6 +470,16 @@ ORACLES |= {
     "stream_latest_position": ORACLES["latest_position"],
     "stream_vehicle_status": _sql("SELECT * FROM passed_status", "passed_status"),
     "stream_line_catalogue": ORACLES["line_catalogue"],
+    **{name: _closed_panel(panel) for name, panel in LOG_STREAMS.items()},
+    "log_quantile_sketch": _sql(f"""
+SELECT container, stream, time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+  count(*) AS "values", true AS within
+FROM logs WHERE container = 'flink-jobmanager' AND regexp_matches(line, '{panels.CHECKPOINT_MS}')
+  AND ts < (SELECT date_trunc('hour', date_trunc('milliseconds', max(ts)) - INTERVAL 2 SECOND) FROM logs) GROUP BY ALL""", "logs"),
+    "active_vehicles_sketch": _sql("""
+SELECT c AS linha, date_trunc('hour', event_time) AS window_start, count(DISTINCT p) AS total_onibus_ativos, true AS within
+FROM positions WHERE event_time < (SELECT date_trunc('minute', date_trunc('milliseconds', max(event_time)) - INTERVAL 2 SECOND) FROM positions)
+GROUP BY ALL""", "positions"),
     "stream_headway_events": _sql(
         f"""SELECT event_id, linha, p, event_time, round(speed_kmh, {_D}) AS speed_kmh, round(gap_km, {_D}) AS gap_km,
   round(headway_min, {_D}) AS headway_min FROM headways WHERE {_PASSED}""", "headways", "passed"),

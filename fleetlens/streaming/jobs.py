@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from fleetlens import schemas
+from fleetlens.operators import sketches
 from fleetlens.operators.latest import newest_rows
 from fleetlens.operators.upsert import (
     KEEP_SECONDS,
@@ -35,7 +36,7 @@ from fleetlens.operators.upsert import (
 )
 from fleetlens.plans import fleet, motion
 from fleetlens.session import SETTINGS
-from fleetlens.sources.positions import POLL
+from fleetlens.sources.positions import POLL, watermarked
 from fleetlens.streaming import idle, ordered
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -264,6 +265,17 @@ def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] =
         rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us, ttl_us))
 
 
+def vehicle_sketches_job(positions: DataFrame, cfg: JobConfig, bin_: str = "1m") -> StreamingQuery:
+    """Sketches of the vehicles of every line and minute, appended once the watermark has passed the minute. Beside job 1 for
+    fleets whose pairs of line and vehicle are too many: any span is a union of its minutes (``sketches.active_within``)."""
+    bins = sketches.stored(sketches.vehicle_sketches(watermarked(positions), bin_))
+    return (
+        bins.writeStream.queryName("vehicle_sketches").outputMode("append").format("parquet")
+        .option("path", f"{cfg.tables}/vehicle_sketches").option("checkpointLocation", f"{cfg.checkpoints}/vehicle_sketches")
+        .trigger(**dict(cfg.trigger)).start()
+    )
+
+
 def source_marks_job(arrivals: DataFrame, cfg: JobConfig, poll_seconds: int = POLL_SECONDS) -> StreamingQuery:
     """Watermark, active and idle partitions, and late reports at the end of every poll, for watching a source. ``arrivals``
     have ``source_partition``, ``event_time`` and ``arrived``."""
