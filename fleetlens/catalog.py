@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions import display, timing
-from fleetlens.operators import constraints, deadletter, logmetrics, sketches, upsert
+from fleetlens.operators import constraints, deadletter, logindex, logmetrics, sketches, spatial, upsert
 from fleetlens.operators.lag import CHUNK
 from fleetlens.plans import fleet, headway, motion, panels, routes
 from fleetlens.schemas import LATEST_POSITION, TABLES
@@ -309,7 +309,46 @@ def _active_sketch(spark: SparkSession, folder: str) -> DataFrame:
                        F.coalesce(off <= F.ceil(sketches.COUNT_ERROR * F.col("total_onibus_ativos")), F.lit(False)).alias("within"))
 
 
+def _shape_index(spark: SparkSession, folder: str) -> spatial.Index:
+    """The stored index of a folder's shapes, built where there is none yet of these shapes."""
+    shapes = derived.shapes(spark, folder)
+    # Shapes that change have another index.
+    state = shapes.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*shapes.columns).cast("decimal(38,0)"))).first()
+    path = f"{shared_dir(spark)}/shape-index-{uuid.uuid5(uuid.NAMESPACE_URL, f'{folder} {state}').hex}"
+    at = ["shape_pt_lat", "shape_pt_lon"]
+    return spatial.opened(spark, path) or spatial.build(shapes, at, "shape_dist_traveled", "shape_id", routes.SEARCH_DEGREES, path)
+
+
+def _log_scan_stored(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
+    logindex.append_logs(derived.logs(spark, folder), path)
+    panel = panels.PANELS[LOG_FORMS["log_scan"]]
+    return logindex.read_logs(spark, path, panel.equal, panel.matching, panel.line)
+
+
+# Over stored indexes.
+STORED: dict[str, Query] = {
+    "nearest_shape_stored": lambda s, d: routes.place_on_index(_stored_latest(s, d), _shape_index(s, d)).select(
+        "prefixo", "linha", "dist_percorrida_metros"),
+    "route_spacing_stored": lambda s, d: routes.route_spacing(_stored_latest(s, d), _shape_index(s, d)),
+    "log_scan_stored": _log_scan_stored,
+}
+
+def _all_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the eight result tables after one query with one reader has kept them all."""
+    cfg = _job_config(spark, "together")
+    jobs.start_together(derived.position_stream(spark, folder), cfg).awaitTermination()
+    found = None
+    for name, spec in TABLES.items():
+        stored = upsert.read_history if spec.updated in spec.keys else lambda s, path, spec: upsert.read_table(s, path, spec.schema)
+        part = stored(spark, cfg.table(spec), spec).agg(F.count(F.lit(1)).alias("linhas"), F.count_distinct(
+            spec.keys[0]).alias("chaves"), F.max(spec.updated).alias("ultima")).withColumn("tabela", F.lit(name))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 STREAMS |= {
+    "stream_all_jobs": _all_jobs,
     "stream_idle_partitions": _idle_partitions,
     # Append streams, joined by Spark's stream-stream join.
     "stream_headway_events": lambda s, d: _rounded(_appended(
@@ -322,4 +361,4 @@ STREAMS |= {
     "active_vehicles_sketch": _active_sketch,
 }
 
-QUERIES: dict[str, Query] = {**BATCH, **STREAMS}
+QUERIES: dict[str, Query] = {**BATCH, **STORED, **STREAMS}

@@ -72,9 +72,7 @@ def nearest_point(
     result; by default it follows from the number of points, which Parquet answers from its footers.
     """
     levels = levels_for(points.count()) if levels is None else levels
-    lat, lon = left_at
-    # Slightly wider cells than the radius, so rounding at a box edge cannot push a point out of the 3x3 block.
-    finest = radius * 1.0001 / FAN**levels
+    finest = finest_cell(radius, levels)
     located = points.select(
         F.col(point_at[0]).alias("plat"), F.col(point_at[1]).alias("plon"), F.col(value).alias("_value")
     ).where(F.col("plat").isNotNull() & F.col("plon").isNotNull())
@@ -82,22 +80,45 @@ def nearest_point(
     # Written once: the points are scanned here and counted above, whatever the number of levels.
     ensure_checkpoint_dir(points.sparkSession)
     distinct_points = located.groupBy("ci", "cj", "plat", "plon").agg(F.min("_value").alias("_value")).checkpoint()
+    candidates = coarse_blocks(distinct_spots(left, left_at), finest, levels)
+    return search(left, left_at, value, candidates, _cell_bounds(distinct_points, levels), distinct_points, radius)
+
+
+def finest_cell(radius: float, levels: int) -> float:
+    """Side of the finest cells. Slightly wider than the radius asks for, so rounding at a box edge cannot push a point out
+    of the 3x3 coarsest cells."""
+    return radius * 1.0001 / FAN**levels
 
-    spots = (
+
+def distinct_spots(left: DataFrame, left_at: Sequence[str]) -> DataFrame:
+    lat, lon = left_at
+    return (
         left.select(F.col(lat).alias("slat"), F.col(lon).alias("slon"))
         .where(F.col("slat").isNotNull() & F.col("slon").isNotNull())
         .distinct()
     )
+
+
+def coarse_blocks(spots: DataFrame, finest: float, levels: int) -> DataFrame:
+    """Every location with the 3x3 coarsest cells (``pi``, ``pj``) around it."""
     def block(coordinate: str) -> Column:
         home = F.shiftright(_cell(F.col(coordinate), finest), FAN_BITS * levels)
         return F.explode(F.sequence(home - 1, home + 1))
 
-    candidates = spots.withColumn("pi", block("slat")).withColumn("pj", block("slon"))
+    return spots.withColumn("pi", block("slat")).withColumn("pj", block("slon"))
+
 
+def search(
+    left: DataFrame, left_at: Sequence[str], value: str, candidates: DataFrame, pyramid: Sequence[DataFrame], points: DataFrame,
+    radius: float,
+) -> DataFrame:
+    """Go down the ``pyramid`` (bounds of occupied cells, from the coarser level to the finest) from the ``candidates`` of
+    every location, and compare the points of the cells that are left."""
+    lat, lon = left_at
     slat, slon = F.col("slat"), F.col("slon")
     box = (slat - radius, slat + radius, slon - radius, slon + radius)
     per_spot = Window.partitionBy("slat", "slon")
-    for cells in _cell_bounds(distinct_points, levels):
+    for cells in pyramid:
         children = cells.withColumns({"pi": _parent(F.col("ci")), "pj": _parent(F.col("cj"))})
         touches = (
             (F.col("lat1") >= box[0]) & (F.col("lat0") <= box[1]) & (F.col("lon1") >= box[2]) & (F.col("lon0") <= box[3])
@@ -121,7 +142,7 @@ def nearest_point(
 
     matched = (
         candidates.withColumnsRenamed({"pi": "ci", "pj": "cj"})
-        .join(distinct_points, ["ci", "cj"])
+        .join(points, ["ci", "cj"])
         .where(F.col("plat").between(box[0], box[1]) & F.col("plon").between(box[2], box[3]))
     )
     best = matched.groupBy("slat", "slon").agg(

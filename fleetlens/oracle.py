@@ -9,6 +9,7 @@ from fleetlens.functions import display
 from fleetlens.operators.logmetrics import seconds_of
 from fleetlens.plans import panels
 from fleetlens.plans.panels import Panel
+from fleetlens.schemas import TABLES
 
 POSITIONS = """
 SELECT event_id, c, cl, sl, lt0, lt1, qv, p, a, epoch_ms(gps) AS ta,
@@ -457,6 +458,9 @@ _PASSED = "event_time <= (SELECT mark FROM passed)"
 _CLOSED = "date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (SELECT mark FROM passed)"
 ORACLES |= {
     "adjacent_lag_chunked": ORACLES["adjacent_lag"],
+    "nearest_shape_stored": ORACLES["nearest_shape"],
+    "route_spacing_stored": ORACLES["route_spacing"],
+    "log_scan_stored": ORACLES["log_scan"],
     "headway_by_line_chunked": ORACLES["headway_by_line"],
     "stream_active_vehicles": ORACLES["active_vehicles"],
     "stream_speed_by_line": _sql(f"{_SPEED_LINE} AND {_PASSED} GROUP BY linha", "speeds", "passed"),
@@ -491,3 +495,17 @@ FROM motion WHERE {_PASSED}""", "motion", "passed"),
         _ARRIVALS, """SELECT ends AS janela_fim, watermark, active, idle, rows, late FROM marks JOIN counts USING (poll)
 WHERE poll < (SELECT max(poll) FROM polls)""", "positions"),
 }
+
+
+def _all_jobs() -> str:
+    parts = []
+    for name, (table, spec) in zip(STREAM_TABLES, TABLES.items(), strict=True):
+        parts.append(f"SELECT '{table}' AS tabela, count(*) AS linhas, count(DISTINCT {spec.keys[0]}) AS chaves, "
+                     f"max({spec.updated}) AS ultima FROM ({ORACLES[name]})")
+    return " UNION ALL ".join(parts)
+
+
+# The job that keeps each table, in the order of the tables.
+STREAM_TABLES = ("stream_active_vehicles", "stream_speed_by_line", "stream_speed_history", "stream_headway_by_line",
+                 "stream_headway_history", "stream_latest_position", "stream_vehicle_status", "stream_line_catalogue")
+ORACLES["stream_all_jobs"] = _all_jobs()

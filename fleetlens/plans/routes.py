@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import display
 from fleetlens.functions.timing import clock
+from fleetlens.operators import spatial
 from fleetlens.operators.lag import lag_over, order_splits
 from fleetlens.operators.nearest import nearest_point
 from fleetlens.session import ensure_checkpoint_dir
@@ -26,15 +27,21 @@ def place_on_shapes(latest: DataFrame, shapes: DataFrame) -> DataFrame:
     return placed.withColumnRenamed("shape_dist_traveled", "dist_percorrida_metros")
 
 
+def place_on_index(latest: DataFrame, index: spatial.Index) -> DataFrame:
+    """The same from a stored index of the shapes."""
+    return spatial.nearest_point(latest, index, ["latitude", "longitude"], "dist_percorrida_metros")
+
+
 def route_spacing(
-    latest: DataFrame, shapes: DataFrame, rows_per_chunk: int | None = None
+    latest: DataFrame, shapes: DataFrame | spatial.Index, rows_per_chunk: int | None = None
 ) -> DataFrame:
     """Gap of every vehicle to the next one behind it along the line, with a diagnosis.
 
     Places are written once, one row per vehicle, and counted by line to see whether one could outgrow a task. Vehicles
     that are not near a shape have no distance, sort after all others and get no gap, so they are left out before the LAG.
     """
-    placed = place_on_shapes(latest.select("prefixo", "linha", "latitude", "longitude"), shapes)
+    place = place_on_index if isinstance(shapes, spatial.Index) else place_on_shapes
+    placed = place(latest.select("prefixo", "linha", "latitude", "longitude"), shapes)
     placed = placed.where(F.col("dist_percorrida_metros").isNotNull())
     ensure_checkpoint_dir(latest.sparkSession)
     placed = placed.checkpoint()

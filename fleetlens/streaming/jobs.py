@@ -11,9 +11,11 @@ to a sink such as a database.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,6 +40,7 @@ from fleetlens.plans import fleet, motion
 from fleetlens.session import SETTINGS
 from fleetlens.sources.positions import POLL, watermarked
 from fleetlens.streaming import idle, ordered
+from fleetlens.streaming.ledger import finish, finished, forget
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -132,7 +135,10 @@ _PAIRS = schemas.TableSpec(
 )
 
 
-def active_vehicles_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
+Body = Callable[[DataFrame, BatchId], None]
+
+
+def _active_vehicles(cfg: JobConfig) -> Body:
     """Job 1. Keeps one row per (line, vehicle) and counts them, so a hot line is never one growing set. Reports without a
     vehicle keep their line's time up to date but are no vehicle, as in the batch plan."""
 
@@ -154,7 +160,11 @@ def active_vehicles_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
         )
         _replace(counts, batch, cfg, schemas.ACTIVE_VEHICLES)
 
-    return _start(positions, cfg, "active_vehicles", merge)
+    return merge
+
+
+def active_vehicles_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
+    return _start(positions, cfg, "active_vehicles", _active_vehicles(cfg))
 
 
 def _running_schema() -> StructType:
@@ -256,13 +266,16 @@ ORDERED: dict[str, Callable[[JobConfig], Result]] = {
 }
 
 
-def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] = tuple(ORDERED)) -> StreamingQuery:
-    """One query that orders the reports and keeps the results of the named jobs."""
+def _ordered(cfg: JobConfig, names: Sequence[str]) -> Body:
     results = [ORDERED[name](cfg) for name in names]
     path = f"{cfg.tables}/ordered_state"
     idle_us, ttl_us = (None if seconds is None else int(seconds * 1_000_000) for seconds in (cfg.idle_seconds, cfg.ttl_seconds))
-    return _start(positions, cfg, "ordered", lambda rows, batch: ordered.run_batch(
-        rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us, ttl_us))
+    return lambda rows, batch: ordered.run_batch(rows, batch, path, WATERMARK_US, cfg.keep_seconds, results, idle_us, ttl_us)
+
+
+def ordered_jobs(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] = tuple(ORDERED)) -> StreamingQuery:
+    """One query that orders the reports and keeps the results of the named jobs."""
+    return _start(positions, cfg, "ordered", _ordered(cfg, names))
 
 
 def vehicle_sketches_job(positions: DataFrame, cfg: JobConfig, bin_: str = "1m") -> StreamingQuery:
@@ -284,13 +297,8 @@ def source_marks_job(arrivals: DataFrame, cfg: JobConfig, poll_seconds: int = PO
         rows, batch, cfg.table(idle.MARKS), f"{cfg.tables}/source_marks_state", poll_seconds, WATERMARK_US, idle_us, cfg.keep_seconds))
 
 
-def _newest(plan: Callable[[DataFrame], DataFrame], spec: schemas.TableSpec, cfg: JobConfig):
-    return lambda rows, batch: _store(plan(rows), batch, cfg, spec)
-
-
-def latest_position_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Job 6."""
-    return _start(positions, cfg, "latest_position", _newest(fleet.latest_position, schemas.LATEST_POSITION, cfg))
+def _newest(plan: Callable[[DataFrame], DataFrame], spec: schemas.TableSpec) -> Callable[[JobConfig], Body]:
+    return lambda cfg: lambda rows, batch: _store(plan(rows), batch, cfg, spec)
 
 
 def _status_rows(rows: DataFrame) -> DataFrame:
@@ -298,9 +306,22 @@ def _status_rows(rows: DataFrame) -> DataFrame:
     return fleet.as_status_rows(newest_rows(found, ["p"], ["event_time", "_has_gap", "event_id"]))
 
 
+# Jobs 1, 6 and 8 take reports as they come.
+UNORDERED: dict[str, Callable[[JobConfig], Body]] = {
+    "active_vehicles": _active_vehicles,
+    "latest_position": _newest(fleet.latest_position, schemas.LATEST_POSITION),
+    "line_catalogue": _newest(fleet.line_catalogue, schemas.LINE_CATALOGUE),
+}
+
+
+def latest_position_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
+    """Job 6."""
+    return _start(positions, cfg, "latest_position", UNORDERED["latest_position"](cfg))
+
+
 def line_catalogue_job(positions: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """Job 8."""
-    return _start(positions, cfg, "line_catalogue", _newest(fleet.line_catalogue, schemas.LINE_CATALOGUE, cfg))
+    return _start(positions, cfg, "line_catalogue", UNORDERED["line_catalogue"](cfg))
 
 
 JOBS: dict[str, Callable[[DataFrame, JobConfig], StreamingQuery]] = {
@@ -330,3 +351,40 @@ def start_all(
         return queries
     finally:
         spark.conf.set(PARTITIONS, wanted)
+
+
+def _fan_out(bodies: dict[str, Body], cfg: JobConfig) -> Body:
+    """Run all bodies on a micro-batch side by side, and note in a ledger which have finished.
+
+    If one fails the batch fails, and Spark repeats it; those that the ledger names are not run again. The entries of a batch
+    go when the next one has finished.
+    """
+    ledger = f"{cfg.tables}/_ledger"
+
+    def run(rows: DataFrame, batch: BatchId) -> None:
+        spark = rows.sparkSession
+        done = finished(spark, ledger, batch)
+        # Jobs of the same micro-batch share the executors, and its rows, which are kept in memory.
+        with ThreadPoolExecutor(len(bodies)) as pool:
+            running = {name: pool.submit(inheritable_thread_target(spark)(body), rows, batch)
+                       for name, body in bodies.items() if name not in done}
+            failed = []
+            for name, result in running.items():
+                if result.exception() is None:
+                    finish(spark, ledger, batch, name)
+                else:
+                    failed.append(result.exception())
+        if failed:
+            raise failed[0]
+        forget(spark, ledger, batch)
+
+    return run
+
+
+def start_together(positions: DataFrame, cfg: JobConfig, names: tuple[str, ...] = NAMES) -> StreamingQuery:
+    """All named jobs in one streaming query with one reader: every micro-batch is read once and handed to all of them."""
+    bodies = {name: UNORDERED[name](cfg) for name in names if name in UNORDERED}
+    shared = tuple(name for name in names if name in ORDERED)
+    if shared:
+        bodies["ordered"] = _ordered(cfg, shared)
+    return _start(positions, cfg, "together", _fan_out(bodies, cfg))
