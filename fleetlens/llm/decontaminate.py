@@ -4,29 +4,35 @@ The automaton holds every run of words of every item. Training words stream thro
 at each word is tracked; a match of ``window`` words or more, or of a whole item that is shorter, marks its words. Texts
 are read in segments, so a long text needs no more memory than a short one.
 
-Items are the small side: they are read in shards of at most ``SHARD_BYTES`` of text, each built into one automaton that
-every task gets; however many shards there are, the documents are never shuffled. A shard is chosen by a hash of the
-item, so an item is never divided; an item longer than the bound makes a shard of its size.
+Items are the small side: they are dealt into shards of about ``SHARD_BYTES`` of text by a hash of the item, so an item is
+never divided, and a task builds the automaton of each shard and writes it to the shared folder. A pass over the documents
+takes ``PER_PASS`` automata, which are all that the driver and the tasks hold of the items at once. A benchmark of so many
+shards needs one pass and no shuffle. A larger one is matched pass by pass: all but the last write what they hit, by a
+128-bit hash of the text and only for texts that are hit, and the last takes that up.
 
 Defined cases: null texts and items have no words; an item without words matches nothing; equal items all count, an item
-id that occurs twice counts once; repeated rows are matched each; other columns are ignored whatever their names; without
-documents or items nothing is hit.
+id that occurs twice counts once, and items without an id count under the empty name; repeated rows are matched each; other
+columns are ignored whatever their names; without documents or items nothing is hit.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.llm.stored import written
 from fleetlens.llm.words import FOLD, alnum_words, row_chunks, text_column
 
 WINDOW = 10
 SHARD_BYTES = 1 << 20
+PER_PASS = 4
 SEGMENT = 1 << 20
 # A text with more than this share of its words in test items is dropped, not cut.
 MAX_COVERAGE = 0.5
@@ -158,57 +164,125 @@ def _union(one: list[tuple[int, int]], two: list[tuple[int, int]]) -> list[tuple
     return out
 
 
-def _shards(items: DataFrame, text: str, key: str, window: int, shard_bytes: int) -> Iterator[tuple[SuffixAutomaton, bool]]:
-    """Automata of all items in turn, each with whether it is the last."""
+class _Packed:
+    """An automaton as bytes, which is unpacked where it is used and not on the driver."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self):
+        return pickle.loads, (self.data,)
+
+
+def built_shards(items: DataFrame, text: str, key: str, window: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """A stored table of ``shard`` and its packed ``automaton``, and the number of shards."""
     rows = items.select(F.col(key).cast("string").alias("name"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     count = max(1, -(-size // shard_bytes))
-    for shard in range(count):
-        part = rows.where(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == shard)
-        yield SuffixAutomaton([(r["name"] or "", split_words(r["text"])) for r in part.sort("name", "text").collect()],
-                              window), shard == count - 1
+
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        held = frame.sort_values(["name", "text"], na_position="first")
+        automaton = SuffixAutomaton([(name or "", split_words(value)) for name, value in zip(held["name"], held["text"], strict=True)], window)
+        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "automaton": [pickle.dumps(automaton, pickle.HIGHEST_PROTOCOL)]})
+
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("name", "text"), F.lit(count)).cast("int"))
+    return written(dealt.groupBy("shard").applyInPandas(build, "shard int, automaton binary"), "automata"), count
+
+
+def _passes(spark: SparkSession, built: DataFrame, count: int, per_pass: int) -> Iterator[tuple[list, bool]]:
+    """Broadcast automata of each pass in turn, and whether it is the last. Shards without items are not there."""
+    for begin in range(0, count, per_pass):
+        rows = built.where(F.col("shard").between(begin, begin + per_pass - 1)).orderBy("shard").collect()
+        yield [spark.sparkContext.broadcast(_Packed(bytes(r["automaton"]))) for r in rows], begin + per_pass >= count
+
+
+def _match_all(shared: Sequence, text: str) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """What several automata find in a text together."""
+    count, spans, names = 0, [], set()
+    for automaton in shared:
+        count, new, hit = automaton.match(text)
+        spans = _union(spans, new) if spans else new
+        names |= hit
+    # Without any automaton the words still count.
+    return count if shared else len(split_words(text)), spans, names
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+_SPANS = "array<struct<start:long,end:long>>"
+_HIT = f"h1 long, h2 long, spans {_SPANS}, items array<string>"
+# Two hashes name a text.
+_NAMED = {"h1": (17,), "h2": (42,)}
+
+
+def _named(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumns({name: F.xxhash64(F.col(text), *[F.lit(v) for v in salt]) for name, salt in _NAMED.items()})
+
+
+def _hits(texts: DataFrame, shared: list) -> DataFrame:
+    """The texts that a pass hits, by name, once each."""
+
+    def match(batches):
+        automata = [s.value for s in shared]
+        for batch in batches:
+            for part in row_chunks(batch, "text"):
+                rows = []
+                for h1, h2, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), text_column(part.column(2)).to_pylist(), strict=True):
+                    _, spans, names = _match_all(automata, value)
+                    if spans:
+                        rows.append((h1, h2, [{"start": s, "end": e} for s, e in spans], sorted(names)))
+                h1, h2, spans, names = zip(*rows, strict=True) if rows else ((), (), (), ())
+                yield pa.record_batch([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(spans, _SPAN),
+                                       pa.array(names, pa.list_(pa.string()))], names=["h1", "h2", "spans", "items"])
+
+    return texts.mapInArrow(match, _HIT).dropDuplicates(["h1", "h2"])
+
+
+def _earlier_hits(docs: DataFrame, text: str, items: DataFrame, item_text: str, item_key: str, window: int, shard_bytes: int,
+                  per_pass: int) -> tuple[list, DataFrame | None]:
+    """The automata of the last pass, and by name of the text what the passes before it hit, if there are any."""
+    built, count = built_shards(items, item_text, item_key, window, shard_bytes)
+    texts = _named(docs.select(F.col(text).alias("text")), "text").select("h1", "h2", "text")
+    found = []
+    for shared, last in _passes(docs.sparkSession, built, count, per_pass):
+        if last:
+            break
+        found.append(written(_hits(texts, shared), "hits"))
+        for automaton in shared:
+            automaton.destroy()
+    if not found:
+        return shared, None
+    # A text has a row of each pass at most.
+    both = reduce(DataFrame.unionByName, found).groupBy("h1", "h2").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return shared, both
 
 
 def match_items(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
-                item_key: str = "item_id", window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                item_key: str = "item_id", window: int = WINDOW, shard_bytes: int = SHARD_BYTES, per_pass: int = PER_PASS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, hit ``spans`` in words and names of ``items``."""
-    spark = docs.sparkSession
-    found = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                        F.lit(0).cast("long").alias("n_words"),
-                        F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
-                        F.array().cast("array<string>").alias("items"))
-
-    def matcher(shared, last):
-        def match(batches):
-            automaton = shared.value
-            for batch in batches:
-                for part in row_chunks(batch, "text"):
-                    counts, spans, names = [], [], []
-                    columns = (text_column(part.column(1)), part.column(3), part.column(4))
-                    for value, old, known in zip(*(c.to_pylist() for c in columns), strict=True):
-                        count, new, hit = automaton.match(value)
-                        counts.append(count)
-                        merged = _union([(s["start"], s["end"]) for s in old], new) if old else new
-                        spans.append([{"start": s, "end": e} for s, e in merged])
-                        names.append(sorted(hit | set(known)))
-                    # The text goes on only if there is another automaton to match it with.
-                    going = [] if last else [part.column(1)]
-                    yield pa.record_batch([
-                        part.column(0), *going, pa.array(counts, pa.int64()), pa.array(spans, _SPAN),
-                        pa.array(names, pa.list_(pa.string())),
-                    ], names=["doc_id", *["text"] * len(going), "n_words", "spans", "items"])
-
-        return match
-
-    for automaton, last in _shards(items, item_text, item_key, window, shard_bytes):
-        shared = spark.sparkContext.broadcast(automaton)
-        going = "" if last else "text string, "
-        found = found.mapInArrow(matcher(shared, last), f"doc_id long, {going}{_FOUND}")
-    return found
+    shared, before = _earlier_hits(docs, text, items, item_text, item_key, window, shard_bytes, per_pass)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    if before is None:
+        rows = rows.withColumns({"spans": F.lit(None).cast(_SPANS), "items": F.lit(None).cast("array<string>")})
+    else:
+        rows = _named(rows, "text").join(before, ["h1", "h2"], "left").select("doc_id", "text", "spans", "items")
+
+    def match(batches):
+        automata = [s.value for s in shared]
+        for batch in batches:
+            for part in row_chunks(batch, "text"):
+                counts, spans, names = [], [], []
+                columns = (text_column(part.column(1)), part.column(2), part.column(3))
+                for value, old, known in zip(*(c.to_pylist() for c in columns), strict=True):
+                    count, new, hit = _match_all(automata, value)
+                    merged = _union([(s["start"], s["end"]) for s in old], new) if old else new
+                    counts.append(count)
+                    spans.append([{"start": s, "end": e} for s, e in merged])
+                    names.append(sorted(hit | set(known or ())))
+                yield pa.record_batch([part.column(0), pa.array(counts, pa.int64()), pa.array(spans, _SPAN),
+                                       pa.array(names, pa.list_(pa.string()))], names=["doc_id", "n_words", "spans", "items"])
+
+    return rows.mapInArrow(match, f"doc_id long, n_words long, spans {_SPANS}, items array<string>")
 
 
 def hit_words(spans: str = "spans"):
@@ -227,27 +301,34 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE,
-                  window: int = WINDOW) -> DataFrame:
+                  window: int = WINDOW, shard_bytes: int = SHARD_BYTES, per_pass: int = PER_PASS) -> DataFrame:
     """``docs`` without rows covered over ``max_coverage`` and without the hit spans of the others; all columns stay."""
-    context = docs.sparkSession.sparkContext
-    automata = [context.broadcast(a) for a, _ in _shards(items, "text", "item_id", window, SHARD_BYTES)]
+    shared, before = _earlier_hits(docs, text, items, "text", "item_id", window, shard_bytes, per_pass)
 
-    @F.pandas_udf("struct<text:string,dropped:boolean>")
-    def cleaned(values):
-        texts, dropped = [], []
-        for value in values:
-            count, spans = 0, []
-            for automaton in automata if value else ():
-                count, new, _ = automaton.value.match(value)
-                spans = _union(spans, new) if spans else new
-            covered = sum(end - start for start, end in spans)
-            dropped.append(bool(covered) and covered > max_coverage * count)
-            texts.append(cut_spans(value, spans) if spans else value)
-        return pd.DataFrame({"text": texts, "dropped": dropped})
+    def cleaned_text(value: str, old: list[tuple[int, int]], automata: list) -> tuple[str | None, bool]:
+        if not value:
+            return value, False
+        count, spans, _ = _match_all(automata, value)
+        spans = _union(old, spans) if old else spans
+        covered = sum(end - start for start, end in spans)
+        return cut_spans(value, spans) if spans else value, bool(covered) and covered > max_coverage * count
 
+    @F.pandas_udf("struct<text:string,dropped:boolean>")
+    def cleaned(values: pd.Series, earlier: pd.Series) -> pd.DataFrame:
+        automata = [s.value for s in shared]
+        done = [cleaned_text(value, [] if flat is None else list(zip(flat[::2].tolist(), flat[1::2].tolist(), strict=True)), automata)
+                for value, flat in zip(values, earlier, strict=True)]
+        return pd.DataFrame({"text": pd.Series([t for t, _ in done], dtype=object), "dropped": pd.Series([d for _, d in done], dtype=bool)})
+
+    # Whole rows travel as one column, so that no column of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    flat = F.lit(None).cast("array<long>")
+    if before is not None:
+        rows = _named(rows, "text").join(before, ["h1", "h2"], "left")
+        flat = F.flatten(F.transform("spans", lambda s: F.array(s["start"], s["end"])))
     # Said to be nondeterministic so that it runs once for the filter and the text.
-    done = docs.withColumn("_clean", cleaned.asNondeterministic()(F.col(text)))
-    return done.where(~F.col("_clean.dropped")).withColumn(text, F.col("_clean.text")).drop("_clean")
+    done = rows.select("row", cleaned.asNondeterministic()(F.col("text"), flat).alias("clean")).where(~F.col("clean.dropped"))
+    return done.select(*[F.col("clean.text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

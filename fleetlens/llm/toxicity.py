@@ -7,12 +7,14 @@ the positives among the unlabelled rows, and the bound at zero keeps the correct
 second term turns negative the step goes back up its gradient.
 
 Bounds: at most ``POSITIVES`` confirmed rows and ``UNLABELLED`` rows are learnt from, chosen by a hash of their keys; the
-vocabulary keeps features that are commoner among the
-confirmed rows by ``MIN_Z`` standard errors and ``MIN_LIFT`` times and are in at least ``MIN_SHARE`` of them. Every row is scored.
+vocabulary keeps features that are commoner among the confirmed rows by ``MIN_Z`` standard errors and ``MIN_LIFT`` times and
+are in at least ``MIN_ROWS`` of them, however small a share that is: rare kinds of toxic text keep their words. Every row is
+scored.
 
 Defined cases: null and empty texts get the score of a text without features; repeated rows are scored each; rows whose
 label is null, or that have both labels, teach nothing; without any confirmed row all scores are the prior 0; labels,
-lang, source and the key never enter a score; an empty table gives an empty result.
+lang, source and the key never enter a score; rows without a key are in no fold and not held out, and teach nothing; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ UNLABELLED = 9_000
 BUCKETS = 1 << 18
 MIN_Z = 4.0
 MIN_LIFT = 3.0
-MIN_ROWS, MIN_SHARE = 4, 0.03
+MIN_ROWS = 4
 STARTS = (4, 5, 6)
 EPOCHS = 150
 RATE = 0.1
@@ -39,20 +41,21 @@ _CLASSES = alnum_words()
 
 def text_features(texts: pa.Array) -> list[np.ndarray]:
     """Distinct feature numbers of each text: hashed words, and hashed first bytes of words."""
-    names, starts, _, counts = located_words(texts, _CLASSES, FOLD)
+    names, starts, ends, counts = located_words(texts, _CLASSES, FOLD)
     data, edges = _buffer(texts)
     data = np.concatenate([FOLD[data], np.zeros(8, np.uint8)])
     at = starts + np.repeat(edges[:-1], counts)
+    sizes = ends - starts
     begin, out = 0, []
     mask = np.uint64(BUCKETS - 1)
     for count in counts:
         _, first = np.unique(names[begin:begin + count], return_index=True)
-        place = at[begin:begin + count][first]
+        place, size = at[begin:begin + count][first], sizes[begin:begin + count][first]
         columns = [mix(names[begin:begin + count][first])]
         packed = np.zeros(len(place), np.uint64)
-        # Bytes past the end of a word are read too: what follows a short word is a separator or the next text.
+        # A word that is shorter ends in zeros, whatever follows it.
         for k in range(max(STARTS)):
-            packed |= data[place + k].astype(np.uint64) << np.uint64(8 * k)
+            packed |= np.where(k < size, data[place + k], 0).astype(np.uint64) << np.uint64(8 * k)
             if k + 1 in STARTS:
                 columns.append(mix(packed + (np.uint64(k) << np.uint64(56))))
         out.append(np.unique(np.concatenate(columns) & mask).astype(np.int32))
@@ -79,26 +82,32 @@ def _logistic(margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.logaddexp(0, -margin), -sigmoid(-margin)
 
 
+def risk_gradient(positive: Rows, unlabelled: Rows, theta: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk at weights and offset ``theta``, and the direction to step against: the gradient of the whole
+    risk or, where the second term is below zero, that of the term turned round."""
+    score_p, score_u = (rows.dot(theta[:-1]) + theta[-1] for rows in (positive, unlabelled))
+    n_p, n_u = len(score_p), max(len(score_u), 1)
+    plus, d_plus = _logistic(score_p)
+    minus_p, d_minus_p = _logistic(-score_p)
+    minus_u, d_minus_u = _logistic(-score_u)
+    rest = minus_u.sum() / n_u - prior * minus_p.mean()
+    if rest >= 0:
+        on_p, on_u = prior * (d_plus + d_minus_p) / n_p, -d_minus_u / n_u
+    else:
+        on_p, on_u = -prior * d_minus_p / n_p, d_minus_u / n_u
+    size = len(theta) - 1
+    weights = positive.gradient(on_p, size) + unlabelled.gradient(on_u, size)
+    return prior * plus.mean() + max(rest, 0.0), np.append(weights, on_p.sum() + on_u.sum())
+
+
 def nn_pu(positive: Rows, unlabelled: Rows, prior: float, size: int) -> tuple[np.ndarray, float]:
     """Weights and offset that minimise the non-negative risk, by full-batch Adam."""
     theta = np.zeros(size + 1)
     theta[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, EPOCHS + 1):
-        score_p = positive.dot(theta[:-1]) + theta[-1]
-        score_u = unlabelled.dot(theta[:-1]) + theta[-1]
-        n_p, n_u = len(score_p), max(len(score_u), 1)
-        plus, d_plus = _logistic(score_p)
-        minus_p, d_minus_p = _logistic(-score_p)
-        minus_u, d_minus_u = _logistic(-score_u)
-        rest = minus_u.sum() / n_u - prior * minus_p.mean()
-        if rest >= 0:
-            on_p, on_u = prior * (d_plus + d_minus_p) / n_p, -d_minus_u / n_u
-        else:
-            on_p, on_u = -prior * d_minus_p / n_p, d_minus_u / n_u
-        gradient = np.empty(size + 1)
-        gradient[:-1] = positive.gradient(on_p, size) + unlabelled.gradient(on_u, size) + 1e-5 * theta[:-1]
-        gradient[-1] = on_p.sum() + on_u.sum()
+        _, gradient = risk_gradient(positive, unlabelled, theta, prior)
+        gradient[:-1] += 1e-5 * theta[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta = theta - RATE * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -114,7 +123,7 @@ def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     pooled = (in_p + in_u + 1) / (n_p + n_u + 2)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u))
     share_n = np.maximum(in_u / n_u - prior * in_p / n_p, 0) / (1 - prior) + 1 / n_u
-    return (z >= MIN_Z) & (in_p / n_p >= MIN_LIFT * share_n) & (in_p >= max(MIN_ROWS, MIN_SHARE * n_p))
+    return (z >= MIN_Z) & (in_p / n_p >= MIN_LIFT * share_n) & (in_p >= MIN_ROWS)
 
 
 class Model:
@@ -171,5 +180,5 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str =
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = score_toxicity(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

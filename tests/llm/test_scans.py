@@ -10,6 +10,7 @@ import pytest
 
 from fleetlens.llm import decontaminate as D
 from fleetlens.llm import quality, secrets, token_counts, toxicity
+from fleetlens.llm.labelled import Rows
 from tests.conftest import SMALL, rows_of
 from tests.llm.conftest import LONG, ODD
 
@@ -341,3 +342,135 @@ def test_long_and_short_texts_score_alike_when_scored_in_other_company():
     texts = ["", LONG, "a b", "x!! y | z", "same same same"]
     alone = [quality.text_scores(pa.array([t]), weights)[0] for t in texts]
     assert np.allclose(quality.text_scores(pa.array(texts), weights), alone)
+
+
+def test_non_negative_risk_equals_a_plain_loop():
+    """One step of the optimiser against finite differences of the risk, in both branches of the bound at zero."""
+    rng = np.random.default_rng(3)
+    size, prior = 6, 0.3
+    seen = set()
+    for trial in range(6):
+        rows = [[rng.choice(size, rng.integers(0, 4), replace=False) for _ in range(n)] for n in (5, 9)]
+        if trial % 2:
+            # Unlabelled rows look like no positive, so that the second term turns negative at these weights.
+            rows[1] = [np.array([5]) for _ in range(9)]
+        theta = rng.normal(size=size + 1) * 3
+        if trial % 2:
+            theta[:5], theta[5], theta[-1] = 4.0, -9.0, 2.0
+
+        def margin(weights, row):
+            return sum(weights[j] for j in row) + weights[-1]
+
+        def part(weights, index, sign):
+            return np.mean([np.log1p(np.exp(-sign * margin(weights, row))) for row in rows[index]])
+
+        def rest(weights):
+            return part(weights, 1, -1) - prior * part(weights, 0, -1)
+
+        # Above zero the whole risk goes down its gradient; below, the second term goes back up.
+        on = rest(theta) >= 0
+        seen.add(bool(on))
+        risk = (lambda w: prior * part(w, 0, 1) + rest(w)) if on else (lambda w: -rest(w))
+        steps = np.eye(size + 1) * 1e-6
+        numeric = np.array([(risk(theta + h) - risk(theta - h)) / 2e-6 for h in steps])
+        value, gradient = toxicity.risk_gradient(Rows(rows[0]), Rows(rows[1]), theta, prior)
+        assert np.allclose(gradient, numeric, atol=1e-6)
+        assert np.isclose(value, prior * part(theta, 0, 1) + max(0.0, rest(theta)))
+    assert seen == {True, False}
+
+
+def test_leader_updates_equal_a_plain_dictionary():
+    rng = np.random.default_rng(4)
+    learner, z, n = quality.Ftrl(20), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * quality.L1) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(300):
+        ids = rng.choice(21, rng.integers(1, 6), replace=False)
+        values, label = rng.normal(size=len(ids)) * 3, int(rng.integers(2))
+        learner.update(ids, values, label)
+        weights = {i: weight(i) for i in ids}
+        p = 1 / (1 + np.exp(-sum(weights[i] * v for i, v in zip(ids, values))))
+        for i, v in zip(ids, values):
+            g = (p - label) * v
+            sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / quality.ALPHA
+            z[i] = z.get(i, 0.0) + g - sigma * weights[i]
+            n[i] = n.get(i, 0.0) + g * g
+    assert np.allclose(learner.weights(), [weight(i) for i in range(21)]) and np.any(learner.weights() == 0)
+
+
+def test_features_equal_plain_splitting():
+    """Equal words and pairs share buckets, and shares are counts over all of them."""
+    import pyarrow as pa
+
+    texts = ["the cat, the cat sat", "", "sat the cat", "b b b a", "x"]
+    for text, (ids, shares) in zip(texts, quality.row_features(pa.array(texts))):
+        words = re.findall(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]+", text)
+        words = ["<same>" if i and w == words[i - 1] else w for i, w in enumerate(words)]
+        assert np.isclose(shares.sum(), quality.SCALE if words else 0.0)
+        pairs = set(zip(words, words[1:]))
+        assert len(ids) <= len(set(words)) + len(pairs) and (not words or len(ids) >= len(set(words)))
+    plain = ["kitten kitten dog", "dog kitten", "kittens"]
+    first, second, third = (set(f.tolist()) for f in toxicity.text_features(pa.array(plain)))
+    # Both have the same words, whatever stands behind them; another ending shares the first letters.
+    assert first == second and len(first & third) >= len(toxicity.STARTS)
+    assert len(first) <= 2 * (1 + len(toxicity.STARTS))
+
+
+def test_rare_kinds_of_positives_keep_their_words():
+    """A kind that is 2 % of the positives, with words of its own, is found, and clean texts are left alone."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    plain = [f"word{i}" for i in range(400)]
+
+    def text(own=()):
+        return " ".join(rng.choice(plain) for _ in range(30)) + "".join(f" {rng.choice(own)}" for _ in range(3 if own else 0))
+
+    common, rare = [f"vile{c}" for c in "abcdef"], [f"grim{c}" for c in "uvwxyz"]
+    positives = [text(rare if i % 50 == 0 else common) for i in range(3000)]
+    others = [text(common) if i % 20 == 0 else text(rare) if i % 1000 == 1 else text() for i in range(9000)]
+    made = [toxicity.text_features(pa.array(t)) for t in (positives, others)]
+    model = toxicity.fit(*made, 0.051)
+
+    def share(texts):
+        return np.mean(model.scores(pa.array(texts)) >= 0.5)
+
+    assert share([text(common) for _ in range(300)]) >= 0.99
+    assert share([text(rare) for _ in range(300)]) >= 0.9
+    assert share([text() for _ in range(1000)]) <= 0.005
+
+
+def test_rows_without_a_key_are_not_held_out(spark, tmp_path, docs_of):
+    docs_of([(None, "some text"), (3, "other text"), (5, None)]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = {r["doc_id"]: r["held_out"] for r in toxicity.op4_toxicity(spark, str(tmp_path)).collect()}
+    assert rows == {None: False, **{k: zlib.crc32(str(k).encode()) % 5 == 0 for k in (3, 5)}}
+
+
+@pytest.mark.parametrize("shard_bytes, per_pass", [(1 << 20, 4), (150, 4), (40, 1)])
+def test_many_shards_find_what_one_automaton_finds(spark, docs_of, shard_bytes, per_pass):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 3, 12, 30])))) for i in range(50)] + [(None, "w1 w2 w3 w4 w1")]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(30)]
+    texts = [t + " " + items[i % 50][1] + " x " + items[i * 7 % 50][1] for i, t in enumerate(texts)] + ["w1 w2 w3 w4 w1", "", None]
+    docs = docs_of([(i, t) for i, t in enumerate(texts + texts[:5])])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    if per_pass == 1:
+        assert D.built_shards(bench, "text", "item_id", 10, shard_bytes)[1] >= 50
+    whole = D.SuffixAutomaton([("" if k is None else str(k), D.split_words(t)) for k, t in items])
+    got = {r["doc_id"]: (r["n_words"], [tuple(s) for s in r["spans"]], r["items"])
+           for r in D.match_items(docs, bench, shard_bytes=shard_bytes, per_pass=per_pass).collect()}
+    plain = {}
+    for i, t in enumerate(texts + texts[:5]):
+        count, spans, names = whole.match(t or "")
+        plain[i] = (count, spans, sorted(names))
+    assert got == plain and sum(bool(spans) for _, spans, _ in plain.values()) >= 30
+    kept = {r["doc_id"]: r["text"] for r in D.decontaminate(docs, bench, shard_bytes=shard_bytes, per_pass=per_pass).collect()}
+    assert kept == {i: t if not t else D.cut_spans(t, plain[i][1]) for i, t in enumerate(texts + texts[:5])
+                    if sum(e - s for s, e in plain[i][1]) <= 0.5 * plain[i][0]}
