@@ -30,7 +30,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates, that with the least key. Rows without words all stay."""
+    """One row of each group of near-duplicates (similarity of 0.85 or more), that with the least key. Rows without words
+    all stay."""
     return near_duplicates.keep_one(docs)
 
 
@@ -62,10 +63,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. A stage's table goes once the next one is written in full."""
     home = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{home}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        before = path
     return docs
