@@ -24,7 +24,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -613,29 +613,33 @@ def _pieces_of(value: str, key: int, rate: int, rounds: int) -> Iterator[tuple[i
             yield -(n * 8 + m + 1), slots, _tags(_character_spans(made, tokens), secrets)
 
 
-def train(runs: list[tuple[list[list[int]], list[int]]]) -> np.ndarray:
-    """Weights by full-batch Adam on the conditional log-likelihood: a row for each feature, then three for transitions."""
+def train(runs: list[tuple[Sequence, Sequence]]) -> np.ndarray:
+    """Weights by full-batch Adam on the conditional log-likelihood: a row for each feature, then three for transitions.
+    ``runs`` are feature numbers by token (lists, or rows of an array) and labels."""
     weights = np.zeros((_FEATURES + 3, 3))
-    if not any(any(labels) for _, labels in runs):
+    if not any(np.any(labels) for _, labels in runs):
         weights[_slot("bias"), OUT] = 1.0
         return weights
     # Chains are padded to one length; padding is outside and masked. Features stand token after token.
     runs = [(rows[:LONGEST_RUN], labels[:LONGEST_RUN]) for rows, labels in runs]
     counts = np.array([len(labels) for _, labels in runs])
     longest, width = counts.max(), max(len(row) for rows, _ in runs for row in rows)
-    ids = np.full((counts.sum(), width), _FEATURES, np.int64)
+    ids = np.full((counts.sum(), width), _FEATURES, np.int32)
     for at, row in enumerate(row for rows, _ in runs for row in rows):
         ids[at, :len(row)] = row
     mask = (np.arange(longest) < counts[:, None]).astype(np.float64)
     real = mask > 0
     gold = np.zeros((len(runs), longest), np.int64)
-    gold[real] = [label for _, labels in runs for label in labels]
-    flat, one = ids.reshape(-1), np.eye(3)
+    gold[real] = np.concatenate([np.asarray(labels) for _, labels in runs])
+    flat, one = ids.reshape(-1).astype(np.int64), np.eye(3)
     first = second = 0.0
     for t in range(1, ROUNDS + 1):
         table = np.vstack([weights[:-3], np.zeros(3)])
         emit, step = np.zeros((len(runs), longest, 3)), _steps(weights)
-        emit[real] = sum(table[ids[:, k]] for k in range(width))
+        total = np.zeros((len(ids), 3))
+        for k in range(width):
+            total += table[ids[:, k]]
+        emit[real] = total
         alpha = np.empty_like(emit)
         beta = np.zeros_like(emit)
         alpha[:, 0] = emit[:, 0] + step[OUT]
@@ -685,22 +689,23 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows:
     def runs(batches):
         for batch in batches:
             for part in row_chunks(batch, "text", SEGMENT):
-                at, slots, labels = [], [], []
+                at, slots, labels, secret = [], [], [], []
                 for key_, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     for begin, features, tags in _pieces_of(value, key_ or 0, rate, rounds):
                         at.append((key_ or 0) * 31 + begin)
-                        slots.append(features.tolist())
-                        labels.append(tags.tolist())
+                        slots.append(features[:LONGEST_RUN].astype(np.int32).tobytes())
+                        labels.append(tags[:LONGEST_RUN].astype(np.int8).tobytes())
+                        secret.append(bool((tags != OUT).any()))
                 yield pa.record_batch([
-                    pa.array(at, pa.int64()), pa.array(slots, pa.list_(pa.list_(pa.int32()))),
-                    pa.array(labels, pa.list_(pa.int32())),
-                ], names=["at", "features", "labels"])
-
-    found = written(rows.mapInArrow(runs, "at long, features array<array<int>>, labels array<int>"), "pieces")
-    secret = F.exists("labels", lambda label: label != OUT)
-    kept = [r for some, most in ((secret, SAMPLE_RUNS), (~secret, PER_SECRET * SAMPLE_RUNS))
-            for r in found.where(some).orderBy(F.xxhash64("at"), "at", "labels").limit(most).collect()]
-    return train([(r["features"], r["labels"]) for r in kept])
+                    pa.array(at, pa.int64()), pa.array(slots, pa.binary()), pa.array(labels, pa.binary()), pa.array(secret, pa.bool_()),
+                ], names=["at", "features", "labels", "secret"])
+
+    found = written(rows.mapInArrow(runs, "at long, features binary, labels binary, secret boolean"), "pieces")
+    # The driver gets a bounded number of pieces, packed.
+    kept = [r for some, most in (("secret", SAMPLE_RUNS), ("NOT secret", PER_SECRET * SAMPLE_RUNS))
+            for r in found.where(some).orderBy(F.xxhash64("at"), "at", "labels").limit(most).select("features", "labels").collect()]
+    unpacked = ((np.frombuffer(r["features"], np.int32), np.frombuffer(r["labels"], np.int8)) for r in kept)
+    return train([(features.reshape(len(labels), -1), labels) for features, labels in unpacked])
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
