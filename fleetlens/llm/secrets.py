@@ -624,14 +624,14 @@ def train(runs: list[tuple[Sequence, Sequence]]) -> np.ndarray:
     runs = [(rows[:LONGEST_RUN], labels[:LONGEST_RUN]) for rows, labels in runs]
     counts = np.array([len(labels) for _, labels in runs])
     longest, width = counts.max(), max(len(row) for rows, _ in runs for row in rows)
-    ids = np.full((counts.sum(), width), _FEATURES, np.int32)
+    ids = np.full((counts.sum(), width), _FEATURES, np.int64)
     for at, row in enumerate(row for rows, _ in runs for row in rows):
         ids[at, :len(row)] = row
     mask = (np.arange(longest) < counts[:, None]).astype(np.float64)
     real = mask > 0
     gold = np.zeros((len(runs), longest), np.int64)
     gold[real] = np.concatenate([np.asarray(labels) for _, labels in runs])
-    flat, one = ids.reshape(-1).astype(np.int64), np.eye(3)
+    flat, one = ids.reshape(-1), np.eye(3)
     first = second = 0.0
     for t in range(1, ROUNDS + 1):
         table = np.vstack([weights[:-3], np.zeros(3)])
@@ -659,10 +659,13 @@ def train(runs: list[tuple[Sequence, Sequence]]) -> np.ndarray:
         start[OUT] = (one[gold[:, 0]] - node[:, 0]).sum(0)
         gradient[-3:] += start
         if longest > 1:
-            pair = np.exp(alpha[:, :-1, :, None] + step + (emit + beta)[:, 1:, None, :] - norm[:, None, None, None])
-            both = mask[:, 1:]
+            both, ahead = mask[:, 1:], emit + beta
             seen = np.einsum("nia,nib,ni->ab", one[gold[:, :-1]], one[gold[:, 1:]], both)
-            gradient[-3:] += seen - (pair * both[:, :, None, None]).sum((0, 1))
+            # Place by place, so that no table of all places and pairs of labels is held.
+            for i in range(longest - 1):
+                pair = np.exp(alpha[:, i, :, None] + step + ahead[:, i + 1, None, :] - norm[:, None, None])
+                seen -= (pair * both[:, i, None, None]).sum(0)
+            gradient[-3:] += seen
         gradient = gradient / len(runs) - 1e-4 * weights
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
