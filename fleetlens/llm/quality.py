@@ -8,7 +8,8 @@ Bound: at most ``SAMPLE_ROWS`` labelled rows are learnt from, chosen by a hash o
 
 Defined cases: null and empty texts have no n-gram and get the score of the offset alone; repeated rows are scored each;
 rows whose label is null, or that have both labels, teach nothing; without labels every score is 0.5; labels, lang,
-source and the key never enter a score; an empty table gives an empty result.
+source and the key never enter a score; rows without a key are in no fold, so the query's ``held_out`` is null for them; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
