@@ -174,6 +174,44 @@ def test_error_bounds_hold():
     assert np.corrcoef(guess.ravel(), exact.ravel())[0, 1] > 0.75
 
 
+def test_layers_leave_few_rows_and_all_neighbours():
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(20_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    centre, queries = vectors[:500].mean(0), vectors[:50]
+    exact = queries @ vectors.T
+    reach = np.sort(exact, axis=1)[:, -A.K, None]
+    shares = []
+    for layers in (1, 3, A.LAYERS):
+        codes = A.Codes(None, centre, A.encode(vectors, centre, layers))
+        guess, error = codes.estimates(queries)
+        assert (guess + error < exact).mean() < 5e-4
+        least = np.sort(guess - error, axis=1)[:, -A.K, None]
+        near = guess + error >= least
+        assert near[exact >= reach].mean() > 0.99
+        shares.append(near.mean())
+    assert shares[0] > 10 * shares[2] and shares[2] < 0.01
+
+
+def test_codes_are_small_and_survive_packing():
+    rng = np.random.default_rng(3)
+    vectors, queries = rng.normal(size=(30, 13)), rng.normal(size=(4, 13))
+    packed = A.encode(vectors, vectors.mean(0))
+    assert packed.shape == (30, A.LAYERS * (2 + 4) + 8)
+    for one, other in zip(A.Codes(vectors, vectors.mean(0)).estimates(queries),
+                          A.Codes(None, vectors.mean(0), packed).estimates(queries), strict=True):
+        assert (one == other).all()
+
+
+def test_nearest_of_huge_and_tiny_numbers(spark, monkeypatch):
+    monkeypatch.setattr(A, "VECTOR_BLOCK", 16)
+    rng = np.random.default_rng(8)
+    scales = [1e-200, 1e-30, 1.0, 1e25, 1e60, 1e140]
+    rows = [(i, [float(x) for x in rng.normal(size=5) * scales[i % 6]]) for i in range(90)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert set(rows_of(A.nearest(table, table.where("vec_id % 20 = 0"), k=4))) == plain_nearest(rows, 4, 20)
+
+
 # Pipeline
 
 
