@@ -5,6 +5,10 @@ new turns, and a span is the turns that end in one cell; a turn longer than a ce
 one training window: the system turn again, as much of the turns before the span as ``history`` and the budget allow, and
 the new turns. Only new assistant turns are under the loss mask, so each is a target once and repeated ones are masked.
 
+Where a conversation has more than ``LONG_CHARS`` characters, no task gets a whole one: turns are ordered by ranges, prefix
+sums go on from the sums of earlier ranges, and the token line is cut into pieces that begin with the history they need.
+The windows are the same in either form.
+
 Template: ``<s>[role]`` line feed, text, ``</s>`` line feed. Texts and roles cannot forge it: ``&``, ``<`` and ``[`` are
 escaped (in roles also ``]`` and line feed), and ``unescape`` undoes that exactly.
 
@@ -20,10 +24,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm.stored import RANGE, ROW, written
+
 BUDGET = 1024
 HISTORY = 256
 # Tokens of the marks around one turn.
 MARKS = 4
+# Characters of one conversation that a task should hold; where one has more, conversations are cut over tasks.
+LONG_CHARS = 1 << 26
+# Budgets in a piece of a cut conversation.
+PIECE_BUDGETS = 64
+# Characters of roles and texts that place a turn among the ranges.
+PREFIX = 64
 SYSTEM, TARGET = "system", "assistant"
 OPEN, CLOSE, END = "<s>[", "]\n", "</s>\n"
 _ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"))
@@ -55,34 +67,93 @@ def _turns(conversations: DataFrame, tokens: Callable[[Column], Column]) -> Data
     text, role = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("role"), F.lit(""))
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                                 role.alias("role"), text.alias("text"))
+    rows = rows.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
     head = F.concat(F.lit(OPEN), _replaced(escape(F.col("role")), _ROLE_ESCAPES), F.lit(CLOSE))
     return rows.withColumns({
         "tokens": tokens(F.col("text")) + MARKS, "head": head, "inner": escape(F.col("text")),
     }).withColumns({
         "body": F.concat("head", "inner", F.lit(END)), "head_chars": F.length("head"), "inner_chars": F.length("inner"),
-    }).withColumn("chars", F.length("body").cast("long"))
+    }).withColumn("chars", F.length("body").cast("long")).drop("head", "inner")
 
 
-def _spans(turns: DataFrame, budget: int, history: int) -> DataFrame:
-    """Turns with their place on the token and character lines, their span, and the turns just before them."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+def _in_one_piece(turns: DataFrame) -> DataFrame:
+    """Turns with their place on the token and character lines and the system turn: one window a conversation."""
+    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first(F.struct("role", "tokens", "body")).over(running)
-    placed = turns.withColumns({
-        "pos": F.row_number().over(order), "to": F.sum("tokens").over(running), "char_to": F.sum("chars").over(running),
-        "first": first,
+    return turns.withColumns({
+        "pos": F.row_number().over(order).cast("long"), "to": F.sum("tokens").over(running),
+        "char_to": F.sum("chars").over(running), "first": first,
+    }).withColumns({
+        "system_tokens": F.when(F.col("first.role") == SYSTEM, F.col("first.tokens")),
+        "system_body": F.when(F.col("first.role") == SYSTEM, F.col("first.body")),
+    }).drop("turn", "text", "first")
+
+
+def _range_keys() -> list[Column]:
+    """Keys in the order of turns whose sampled edges are short. Texts that are alike beyond ``PREFIX`` stay together; short
+    ones that are alike are equal, so they may be dealt over ranges."""
+    role, text = F.substring("role", 1, PREFIX), F.substring("text", 1, PREFIX)
+    told = F.length("role") < PREFIX
+    equal = told & (F.length("text") < PREFIX)
+    return [F.col("conv"), F.col("turn"), role, F.when(told, text).otherwise(""),
+            F.when(equal, F.monotonically_increasing_id()).otherwise(F.lit(0))]
+
+
+def _in_ranges(turns: DataFrame) -> DataFrame:
+    """The same but for the system turn's body, however long a conversation is: turns are put in order by ranges, which may cut conversations, and the sums
+    of a conversation's earlier ranges are added to the prefix sums inside each."""
+    dealt = turns.repartitionByRange(*_range_keys()).sortWithinPartitions("conv", "turn", "role", "text")
+    ordered = written(dealt.drop("turn", "text").withColumns(
+        {RANGE: F.spark_partition_id(), ROW: F.monotonically_increasing_id()}), "turns")
+    sums = ordered.groupBy("conv", RANGE).agg(
+        F.count(F.lit(1)).alias("turns"), F.sum("tokens").alias("sum_tokens"), F.sum("chars").alias("sum_chars"),
+        F.min_by(F.struct("role", "tokens"), ROW).alias("first"))
+    ranges = Window.partitionBy("conv").orderBy(RANGE)
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.first("first").over(ranges.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    starts = sums.select("conv", RANGE, *[
+        F.coalesce(F.sum(column).over(earlier), F.lit(0)).alias(name)
+        for column, name in (("turns", "pos_0"), ("sum_tokens", "to_0"), ("sum_chars", "char_0"))
+    ], F.when(first["role"] == SYSTEM, first["tokens"]).alias("system_tokens"))
+    order = Window.partitionBy("conv", RANGE).orderBy(ROW)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ordered.join(starts, ["conv", RANGE]).withColumns({
+        "pos": F.col("pos_0") + F.row_number().over(order), "to": F.col("to_0") + F.sum("tokens").over(running),
+        "char_to": F.col("char_0") + F.sum("chars").over(running),
     })
-    has_system = F.col("first.role") == SYSTEM
-    system_tokens = F.when(has_system, F.col("first.tokens")).otherwise(0)
-    cell = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - system_tokens) / 2))
+    return placed.drop(RANGE, ROW, "pos_0", "to_0", "char_0")
+
+
+def _spans(placed: DataFrame, budget: int, history: int, pieces: bool) -> DataFrame:
+    """Turns with their span and the turns just before them. With ``pieces`` the token line of a conversation is cut, and
+    the turns at the end of a piece are given to the next one too."""
+    placed = placed.withColumn("has_system", F.col("system_tokens").isNotNull()).withColumn(
+        "system_tokens", F.coalesce("system_tokens", F.lit(0)))
+    cell = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2))
     placed = placed.withColumns({
-        "from": F.col("to") - F.col("tokens"), "char_from": F.col("char_to") - F.col("chars"), "has_system": has_system,
-        "system_tokens": system_tokens, "is_system": has_system & (F.col("pos") == 1),
+        "from": F.col("to") - F.col("tokens"), "char_from": F.col("char_to") - F.col("chars"),
+        "is_system": F.col("has_system") & (F.col("pos") == 1),
         "span": F.floor((F.col("to") - 1) / cell) * 2 + F.when(F.col("tokens") > cell, 0).otherwise(1),
     })
-    before = Window.partitionBy("conv_id").orderBy("from").rangeBetween(-history, -1)
+    key = ["conv"]
+    if pieces:
+        width = PIECE_BUDGETS * budget + history
+        own = F.floor(F.col("from") / width)
+        late = F.col("from") >= (own + 1) * width - history
+        key = ["conv", "piece"]
+        placed = placed.select("*", own.alias("own"), F.explode(
+            F.when(late, F.array(own, own + 1)).otherwise(F.array(own))).alias("piece"))
+    before = Window.partitionBy(*key).orderBy("from").rangeBetween(-history, -1)
     past = F.collect_list(F.when(~F.col("is_system"), F.struct("from", "body"))).over(before)
-    return placed.withColumn("past", past)
+    placed = placed.withColumn("past", past)
+    return placed.where("piece = own").drop("piece", "own") if pieces else placed
+
+
+def _has_long(turns: DataFrame) -> bool:
+    """Whether some conversation has more characters than a task should hold."""
+    most = turns.groupBy("conv").agg(F.sum("chars").alias("chars")).agg(F.max("chars").alias("most")).first()["most"]
+    return (most or 0) > LONG_CHARS
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY,
@@ -91,19 +162,25 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     code points, end exclusive), ``new_from`` (where the turns begin that no earlier window had), ``n_tokens`` and
     ``over_budget``."""
     new = F.struct("pos", "role", "body", "char_from", "head_chars", "inner_chars")
-    grouped = _spans(_turns(conversations, tokens), budget, history).groupBy("conv_id", "span").agg(
+    turns = _turns(conversations, tokens)
+    pieces = _has_long(turns)
+    placed = _in_ranges(turns) if pieces else _in_one_piece(turns)
+    grouped = _spans(placed, budget, history, pieces).groupBy("conv", "span").agg(
         F.array_sort(F.collect_list(new)).alias("new"), F.sum("tokens").alias("new_tokens"), F.min("from").alias("from"),
-        F.min("char_from").alias("char_from"), F.min_by("past", "pos").alias("past"), F.first("first").alias("first"),
+        F.min("char_from").alias("char_from"), F.min_by("past", "pos").alias("past"), F.first("conv_id").alias("conv_id"),
         F.first("has_system").alias("has_system"), F.first("system_tokens").alias("system_tokens"),
-        F.bool_or("is_system").alias("starts"),
+        F.bool_or("is_system").alias("starts"), *([] if pieces else [F.first("system_body").alias("system_body")]),
     )
+    if pieces:
+        systems = placed.where("pos = 1 AND system_tokens IS NOT NULL").select("conv", F.col("body").alias("system_body"))
+        grouped = grouped.join(systems, "conv", "left")
     again = F.col("has_system") & ~F.col("starts")
     kept_tokens = F.when(again, F.col("system_tokens")).otherwise(0)
     room = F.least(F.lit(history), F.lit(budget) - kept_tokens - F.col("new_tokens"))
     rows = grouped.withColumn("edge", F.col("from") - room)
     rows = rows.withColumn("repeated", F.filter("past", lambda turn: turn["from"] >= F.col("edge")))
     rows = rows.withColumn("prelude", F.concat(
-        F.when(again, F.col("first.body")).otherwise(""), F.array_join(F.transform("repeated", lambda turn: turn["body"]), ""),
+        F.when(again, F.col("system_body")).otherwise(""), F.array_join(F.transform("repeated", lambda turn: turn["body"]), ""),
     )).withColumn("new_from", F.length("prelude").cast("long"))
     repeated_tokens = F.when(F.size("repeated") > 0, F.col("from") - F.element_at("repeated", 1)["from"]).otherwise(0)
 

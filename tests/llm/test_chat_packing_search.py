@@ -48,6 +48,23 @@ def test_windows_give_back_every_turn_once(spark, budget, history):
             assert row["text"].count("be brief be brief be brief") == 1
 
 
+@pytest.mark.parametrize("budget, history", [(200, 60), (12, 3)])
+def test_cut_conversations_give_the_same_windows(spark, monkeypatch, budget, history):
+    rows = [(1, i // 3, ["user", "assistant"][i % 2], NASTY[i % len(NASTY)] if i % 4 else f"turn {i} " * (i % 23)) for i in range(500)]
+    rows += [(2, 0, "system", "be brief " * 3)] + [(2, i, "assistant", "word " * (i * 7 % 190)) for i in range(1, 120)]
+    rows += [(None, None, None, None)] * 90 + [(None, 3, "r" * (60 + i), "t" * (i * 9 % 80)) for i in range(30)]
+    rows += [(None, 3, "user", "p" * 64 + str(i % 7)) for i in range(40)] + [(3, 0, "system", "x"), (4, 1, "user", "alone")]
+    given = spark.createDataFrame(rows, TALK).withColumns({"conv": F.lit(1), "piece": F.lit("p"), "tokens": F.lit(0)}).repartition(7)
+    assert not chat._has_long(chat._turns(given, chat.piece_count))
+    plain = sorted(map(repr, chat.windows(given, budget, history).collect()))
+    monkeypatch.setattr(chat, "LONG_CHARS", 10)
+    monkeypatch.setattr(chat, "PIECE_BUDGETS", 1)
+    assert sorted(map(repr, chat.windows(given, budget, history).collect())) == plain
+    plan = chat.windows(given, budget, history)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+    assert chat.windows(spark.createDataFrame([], TALK)).collect() == []
+
+
 def test_history_is_repeated_but_masked(spark):
     rows = [(1, i, "assistant", f"number {i} " + "w " * 12) for i in range(20)]
     made = sorted(chat.windows(spark.createDataFrame(rows, TALK), 120, 40).collect(), key=lambda r: r["window"])
