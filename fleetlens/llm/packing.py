@@ -241,7 +241,8 @@ def encoder(name: str) -> Encoder:
 
 def _keyed(docs: DataFrame, text: str, key: str, edges: np.ndarray) -> DataFrame:
     """Rows with their key on the curve, and the range it falls into."""
-    tie = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(7)), 64 - TIE_BITS)
+    # Rows may share key and text, so the place of the row where it is read has a part in the tie.
+    tie = F.shiftrightunsigned(F.xxhash64(F.col(key), F.monotonically_increasing_id()), 64 - TIE_BITS)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), tie.alias("tie"))
 
     def keyed(batches):

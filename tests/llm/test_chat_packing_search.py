@@ -151,6 +151,15 @@ def test_equal_texts_spread_over_ranges(spark, monkeypatch):
     assert len(sizes) == 4 and max(sizes) < 250
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_key_and_text_spread_over_ranges(spark, monkeypatch, key):
+    monkeypatch.setattr(packing, "RANGE_BYTES", 1 << 12)
+    docs = spark.range(400).select(F.lit(key).cast("long").alias("doc_id"), F.lit("the very same words in each of them " * 3).alias("text"))
+    pieces = packing.pack(docs).select((F.col("sequence_id") / (1 << 32)).cast("int").alias("range"), "start")
+    sizes = [r["count"] for r in pieces.where("start = 0").groupBy("range").count().collect()]
+    assert sum(sizes) == 400 and len(sizes) == 4 and max(sizes) < 250
+
+
 # Nearest neighbours
 
 
