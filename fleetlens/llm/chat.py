@@ -78,7 +78,7 @@ def _turns(conversations: DataFrame, tokens: Callable[[Column], Column]) -> Data
 
 def _in_one_piece(turns: DataFrame) -> DataFrame:
     """Turns with their place on the token and character lines and the system turn: one window a conversation."""
-    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first(F.struct("role", "tokens", "body")).over(running)
     return turns.withColumns({
@@ -136,7 +136,7 @@ def _spans(placed: DataFrame, budget: int, history: int, pieces: bool) -> DataFr
         "is_system": F.col("has_system") & (F.col("pos") == 1),
         "span": F.floor((F.col("to") - 1) / cell) * 2 + F.when(F.col("tokens") > cell, 0).otherwise(1),
     })
-    key = ["conv"]
+    key = ["conv_id"]
     if pieces:
         width = PIECE_BUDGETS * budget + history
         own = F.floor(F.col("from") / width)
@@ -165,11 +165,13 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     turns = _turns(conversations, tokens)
     pieces = _has_long(turns)
     placed = _in_ranges(turns) if pieces else _in_one_piece(turns)
-    grouped = _spans(placed, budget, history, pieces).groupBy("conv", "span").agg(
+    # Without pieces the key stays what the caller may group by next, so one shuffle serves all.
+    key, named = ("conv", [F.first("conv_id").alias("conv_id")]) if pieces else ("conv_id", [F.first("system_body").alias("system_body")])
+    grouped = _spans(placed, budget, history, pieces).groupBy(key, "span").agg(
         F.array_sort(F.collect_list(new)).alias("new"), F.sum("tokens").alias("new_tokens"), F.min("from").alias("from"),
-        F.min("char_from").alias("char_from"), F.min_by("past", "pos").alias("past"), F.first("conv_id").alias("conv_id"),
+        F.min("char_from").alias("char_from"), F.min_by("past", "pos").alias("past"),
         F.first("has_system").alias("has_system"), F.first("system_tokens").alias("system_tokens"),
-        F.bool_or("is_system").alias("starts"), *([] if pieces else [F.first("system_body").alias("system_body")]),
+        F.bool_or("is_system").alias("starts"), *named,
     )
     if pieces:
         systems = placed.where("pos = 1 AND system_tokens IS NOT NULL").select("conv", F.col("body").alias("system_body"))
