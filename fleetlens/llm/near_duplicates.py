@@ -3,14 +3,20 @@
 Texts with equal shingle sets form one class, found by a hash of the whole set, and only classes go on. Each class has two
 collections of ``SIDES`` short keys (``HALF`` minhashes each); a table key is a pair with one of either, so ``SIDES ** 2``
 tables of ``2 * HALF`` minhashes cost ``2 * SIDES * HALF`` of them, about a square root of what separate tables would. A
-pair of similarity s meets in some table with probability ``(1 - (1 - s ** HALF) ** SIDES) ** 2``: 0.997 at 0.85, 0.9999
-at 0.95.
+pair of similarity s meets in some table with probability ``(1 - (1 - s ** HALF) ** SIDES) ** 2``: 0.999 at 0.85, 0.9999
+at 0.9.
 
-Classes that meet are grouped into candidate clusters (stars around the least class of a bucket, then components), and
-each cluster is compared in full, which finds more than the tables alone. A cluster beyond ``BLOCK`` is cut by size class,
-as sets of too different size cannot be linked, and into blocks, and each pair of blocks is a task. A task counts common
-shingles of all its pairs at once, but returns only a spanning forest of the links, so a group of n copies gives n rows,
-never n squared. Memory of a task is bounded by two blocks or one document.
+Classes that only share boilerplate meet as well, and components of all that meet would run together. So those that meet
+are held against each other by codes first: a set's hashes fall into ``BINS`` bins, and the code keeps one bit of the least
+hash of each. Codes of linked sets differ in more than ``_limit`` bins less than once in 100,000 pairs; of longer sets those of
+similarity 0.65 pass about as rarely, of short ones more do, which cost little to compare. A bucket is searched from class to class among those not reached yet, so n copies
+cost n comparisons, and only classes that do not look alike are held against all others; a bucket beyond ``ROWS`` is cut
+into blocks, and each pair of blocks is a task.
+
+Components of what is left are the clusters, and each is compared in full on the sets. A cluster beyond ``BLOCK`` is cut by
+size class, as sets of too different size cannot be linked, and into blocks, and each pair of blocks is a task. A task
+counts common shingles of all its pairs at once, but returns only a spanning forest of the links, so a group of n copies
+gives n rows, never n squared. Memory of a task is bounded by two blocks or one document.
 
 Defined cases: a text with fewer words than a shingle is one shingle; null, empty and blank texts have none and are linked
 with nothing, not even with each other; rows with equal text, repeated keys among them, are one class; a null key never
@@ -37,7 +43,12 @@ from fleetlens.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 PERCENT = 85
-HALF, SIDES = 3, 7
+HALF, SIDES = 3, 8
+# Bins of a set's code (a power of two), and the deviations that codes of linked sets may lie beyond what is expected.
+BINS = 1024
+DEVIATIONS = 4.5
+# Classes of a block in which codes are compared.
+ROWS = 8192
 # Shingles of a block; a document weighs DOC_WEIGHT more than its shingles, which bounds the documents too.
 BLOCK = 200_000
 DOC_WEIGHT = 256
@@ -79,6 +90,16 @@ def short_keys(found: np.ndarray) -> np.ndarray:
     return keys
 
 
+def code(found: np.ndarray) -> np.ndarray:
+    """One bit of the least hash in each bin, zero where the bin is empty, as BINS / 64 names."""
+    hashed = np.sort(mix(found ^ np.uint64(0x2545F4914F6CDD1D)))
+    bins = (hashed >> np.uint64(65 - BINS.bit_length())).astype(np.int64)
+    first = np.flatnonzero(np.diff(bins, prepend=-1))
+    bits = np.zeros(BINS, np.uint8)
+    bits[bins[first]] = hashed[first].astype(np.uint8) & 1
+    return np.packbits(bits).view(np.uint64)
+
+
 def set_name(found: np.ndarray) -> int:
     """Name of a whole set, the same for equal sets."""
     total = np.array([np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64) + np.uint64(len(found))], np.uint64)
@@ -94,22 +115,81 @@ def _signed(rows: DataFrame) -> DataFrame:
                 yield pa.record_batch([
                     part.column(0), part.column(2), pa.array([len(found) for found in sets], pa.int64()),
                     pa.array([set_name(found) for found in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                ], names=["doc_id", "text_hash", "n_shingles", "name", "keys"])
+                    pa.array([long_names(code(found)) if len(found) else [] for found in sets], pa.list_(pa.int64())),
+                ], names=["doc_id", "text_hash", "n_shingles", "name", "keys", "code"])
 
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
-    return hashed.mapInArrow(sign, "doc_id long, text_hash long, n_shingles long, name long, keys array<long>")
+    return hashed.mapInArrow(
+        sign, "doc_id long, text_hash long, n_shingles long, name long, keys array<long>, code array<long>")
+
+
+def _limit(least, exp, sqrt):
+    """How many bins the codes of two linked sets may differ in, the smaller of ``least`` shingles. Their union has at most
+    100 / PERCENT as many, which fill so many bins; in a share of these the least hashes differ, every second in its bit."""
+    filled = BINS * (1 - exp(least * (-100 / PERCENT / BINS)))
+    share = (100 - PERCENT) / 200
+    return filled * share + sqrt(filled * (share * (1 - share))) * DEVIATIONS + 1
+
+
+def look_alike(size: int, own: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Which sets may be linked with the one of this size and code."""
+    differ = np.bitwise_count(codes ^ own).sum(1, dtype=np.int64)
+    least, most = np.minimum(sizes, size), np.maximum(sizes, size)
+    return (differ <= _limit(least, np.exp, np.sqrt)) & (100 * least >= PERCENT * most)
+
+
+def alike_forest(sizes: np.ndarray, codes: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that keep the components of sets that look alike; where there are two sides, of pairs across them."""
+    left, out, across = np.arange(len(sizes)), [], bool(side.any())
+    while len(left):
+        frontier, left = [int(left[0])], left[1:]
+        while frontier and len(left):
+            node = frontier.pop()
+            hit = look_alike(sizes[node], codes[node], sizes[left], codes[left])
+            if across:
+                hit &= side[left] != side[node]
+            reached, left = left[hit].tolist(), left[~hit]
+            out += [(node, other) for other in reached]
+            frontier += reached
+    return out
+
+
+def _alike(group: pd.DataFrame) -> pd.DataFrame:
+    names = group["name"].to_numpy()
+    edges = alike_forest(group["n_shingles"].to_numpy(), np.stack(group["code"].to_numpy()).view(np.uint64), group["side"].to_numpy())
+    found = np.array(edges, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"u": names[found[:, 0]], "v": names[found[:, 1]]})
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """Edges between classes that share a table key: from each class of a bucket to the least one."""
+    """Edges between classes that share a table key and look alike, a spanning forest of each bucket."""
     table = F.transform(F.sequence(F.lit(0), F.lit(SIDES**2 - 1)), lambda t: F.xxhash64(
         t, F.element_at("keys", (t / SIDES).cast("int") + 1), F.element_at("keys", SIDES + 1 + t % SIDES)))
     keyed = classes.select("name", F.explode(table).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("name").alias("least"), F.max("name").alias("most"), F.count(F.lit(1)).alias("n"))
-    pairs = buckets.where("n = 2").select(F.col("least").alias("u"), F.col("most").alias("v"))
-    larger = buckets.where("n > 2").select("key", F.col("least").alias("u"))
-    stars = keyed.join(larger, "key").where("name <> u").select("u", F.col("name").alias("v"))
-    return pairs.union(stars).distinct()
+    codes = classes.select("name", "n_shingles", "code")
+    # Two names of a bucket's members: buckets of the same members, as copies make in many tables, are searched once.
+    buckets = keyed.groupBy("key").agg(
+        F.min("name").alias("u"), F.max("name").alias("v"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("name")).alias("a"), F.bit_xor(F.xxhash64("name", F.lit(1))).alias("b")).where("n > 1").checkpoint()
+
+    pairs = buckets.where("n = 2").select("u", "v").distinct()
+    for end in "uv":
+        pairs = pairs.join(codes.select(F.col("name").alias(end), F.col("n_shingles").alias(f"n_{end}"),
+                                        F.col("code").alias(f"code_{end}")), end)
+    differ = F.aggregate(F.zip_with("code_u", "code_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    least, most = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
+    near = pairs.where((differ <= _limit(least, F.exp, F.sqrt)) & (100 * least >= PERCENT * most)).select("u", "v")
+
+    larger = buckets.where("n > 2").groupBy("n", "a", "b").agg(F.min("key").alias("key"))
+    own, blocks = F.col("block"), F.ceil(F.col("n") / ROWS).cast("int")
+    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(
+        F.least(b, own).alias("low"), F.greatest(b, own).alias("high"), (b < own).cast("int").alias("side")))
+    members = keyed.join(larger.select("key", blocks.alias("blocks")), "key").withColumn(
+        "block", F.pmod(F.xxhash64("name", "key"), F.col("blocks")).cast("int"))
+    dealt = members.join(codes, "name").select("key", "name", "n_shingles", "code", F.explode(tasks).alias("task")).select(
+        "key", "task.*", "name", "n_shingles", "code")
+    stars = dealt.groupBy("key", "low", "high").applyInPandas(_alike, "u long, v long")
+    return near.union(stars).distinct()
 
 
 def _tasks(members: DataFrame) -> DataFrame:
@@ -235,7 +315,8 @@ def _grouped(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame
     rows = text_rows(docs, text, key)
     signed = _signed(rows).checkpoint()
     classes = signed.where("n_shingles > 0").groupBy("name").agg(
-        F.min("doc_id").alias("least_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+        F.min("doc_id").alias("least_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"),
+        F.first("code").alias("code")).checkpoint()
     clusters = components(_candidates(classes)).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
     sized = classes.select("name", F.coalesce("least_doc", F.lit(-(1 << 63))).alias("first_doc"), "least_doc", "n_shingles")
     members = clusters.join(sized, "name").checkpoint()

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlens.llm import near_duplicates as N
 from fleetlens.llm import queries
@@ -106,6 +107,70 @@ def test_groups_of_near_copies(spark, monkeypatch, block):
     assert kept == sorted(set(roots))
 
 
+def _set(rng, size):
+    return rng.integers(0, 1 << 63, size, dtype=np.uint64)
+
+
+@pytest.mark.parametrize("size", [1, 3, 20, 150, 700, 5_000])
+def test_codes_of_linked_sets_look_alike(size):
+    rng = np.random.default_rng(size)
+    linked = unlike = 0
+    for _ in range(300):
+        union = _set(rng, size + 17 * size // 100)
+        apart = int(0.15 * len(union))
+        cut = rng.integers(0, apart + 1)
+        pair = [np.unique(union[cut:]), np.unique(np.concatenate([union[:cut], union[apart:]]))]
+        if min(map(len, pair)):
+            codes = np.stack([N.code(s) for s in pair])
+            sizes = np.array([len(s) for s in pair])
+            if N.linked(pair)[0, 1]:
+                linked += 1
+                assert N.look_alike(sizes[0], codes[0], sizes[1:], codes[1:]).all()
+        half = [np.concatenate([union[:len(union) // 2], _set(rng, len(union) // 2)]) for _ in range(2)]
+        codes = np.stack([N.code(s) for s in half])
+        unlike += int(N.look_alike(len(half[0]), codes[0], np.array([len(half[1])]), codes[1:])[0])
+    assert linked >= 300 or size == 1
+    assert size < 700 or unlike == 0
+
+
+@pytest.mark.parametrize("rows", [N.ROWS, 5])
+def test_alike_forest_keeps_components(spark, monkeypatch, rows):
+    monkeypatch.setattr(N, "ROWS", rows)
+    rng = np.random.default_rng(9)
+    sets, groups = [], []
+    for group in range(6):
+        base = _set(rng, 900)
+        for _ in range(12):
+            sets.append(np.unique(np.concatenate([base[rng.random(900) > 0.02], _set(rng, 9)])))
+            groups.append(group)
+    schema = "name long, n_shingles long, keys array<long>, code array<long>"
+    data = [(i, len(s), [group % 2] * (2 * N.SIDES), W.long_names(N.code(s)).tolist())
+            for i, (s, group) in enumerate(zip(sets, groups, strict=True))]
+    edges = [tuple(r) for r in N._candidates(spark.createDataFrame(data, schema)).collect()]
+    assert {frozenset(g) for g in _groups(72, edges)} == {frozenset(range(12 * g, 12 * g + 12)) for g in range(6)}
+    # One search of the two buckets, however many tables hold them.
+    assert len(edges) == 66 or rows == 5
+
+
+def test_a_chain_of_boilerplate_is_not_one_cluster(spark):
+    """5,000 texts that share over half of their shingles with those near them in a chain, and 40 near copies among them."""
+    rng = random.Random(14)
+    passages = [[f"p{i}w{j}" for j in range(60)] for i in range(250)]
+    texts = []
+    for i in range(5_000):
+        shared = [w for p in range(3) for w in passages[(i // 20 + p) % 250]]
+        texts.append(" ".join(shared + [f"own{i}w{j}" for j in range(rng.randint(70, 90))]))
+    copied = rng.sample(range(5_000), 40)
+    texts += [texts[i] + " one tail more" for i in copied]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = N._signed(docs).groupBy("name").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("code").alias("code"))
+    clusters = components(N._candidates(classes)).groupBy("component").count().agg(F.max("count"), F.sum("count")).first()
+    assert clusters[0] <= 40 and clusters[1] <= 1_000
+    roots = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(docs).collect()}
+    assert roots == {i: i for i in range(5_000)} | {5_000 + at: i for at, i in enumerate(copied)}
+
+
 def test_common_counts_and_forest():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
