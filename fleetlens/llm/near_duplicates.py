@@ -155,8 +155,12 @@ def alike_forest(sizes: np.ndarray, codes: np.ndarray, side: np.ndarray) -> list
 
 
 def _alike(group: pd.DataFrame) -> pd.DataFrame:
-    names = group["name"].to_numpy()
-    edges = alike_forest(group["n_shingles"].to_numpy(), np.stack(group["code"].to_numpy()).view(np.uint64), group["side"].to_numpy())
+    group = group.sort_values("key", kind="stable")
+    names, sizes, side = (group[column].to_numpy() for column in ("name", "n_shingles", "side"))
+    codes = np.stack(group["code"].to_numpy()).view(np.uint64)
+    edges, begins = [], np.flatnonzero(np.diff(group["key"].to_numpy()) != 0) + 1
+    for low, high in zip([0, *begins.tolist()], [*begins.tolist(), len(names)], strict=True):
+        edges += [(low + u, low + v) for u, v in alike_forest(sizes[low:high], codes[low:high], side[low:high])]
     found = np.array(edges, np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": names[found[:, 0]], "v": names[found[:, 1]]})
 
@@ -186,9 +190,13 @@ def _candidates(classes: DataFrame) -> DataFrame:
         F.least(b, own).alias("low"), F.greatest(b, own).alias("high"), (b < own).cast("int").alias("side")))
     members = keyed.join(larger.select("key", blocks.alias("blocks")), "key").withColumn(
         "block", F.pmod(F.xxhash64("name", "key"), F.col("blocks")).cast("int"))
-    dealt = members.join(codes, "name").select("key", "name", "n_shingles", "code", F.explode(tasks).alias("task")).select(
-        "key", "task.*", "name", "n_shingles", "code")
-    stars = dealt.groupBy("key", "low", "high").applyInPandas(_alike, "u long, v long")
+    # Most buckets are small: those that need no blocks share a group with others, about ROWS classes in each.
+    packs = (buckets.where("n > 2").agg(F.sum("n")).first()[0] or 0) // ROWS + 1
+    pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key", F.lit(2)), F.lit(packs))).otherwise(F.col("key"))
+    dealt = members.withColumn("pack", pack).join(codes, "name").select(
+        "key", "pack", "name", "n_shingles", "code", F.explode(tasks).alias("task")).select(
+        "key", "pack", "task.*", "name", "n_shingles", "code")
+    stars = dealt.groupBy("pack", "low", "high").applyInPandas(_alike, "u long, v long")
     return near.union(stars).distinct()
 
 
