@@ -11,7 +11,7 @@ from fleetlens.plans import headway
 from fleetlens.sources import derived
 from fleetlens.sources.positions import read_positions, watermarked
 from fleetlens.streaming import jobs, joined, ordered
-from fleetlens.streaming.lag_state import stream_lag
+from fleetlens.streaming.lag_state import BUCKETS, stream_lag
 from tests.conftest import SMALL, START, rows_of
 
 
@@ -88,6 +88,28 @@ def test_lag_streams_forget_silent_keys(spark, reports, tmp_path, ttl, slot):
         assert kept[-1] <= 6
 
 
+def test_lag_streams_keep_state_by_bucket(spark, reports, tmp_path):
+    """Many keys share few state entries, and numbers come out whole beside NULLs."""
+    big = 2**60
+    rows = [{"id": big + 3 * p + i, "p": p, "at": 10 * i + p % 7, "py": float(p)} for p in range(600) for i in range(2)]
+    known = reports([*rows, {"id": 1, "p": 9, "at": 3700}, {"id": 2, "p": 8, "at": 3900}])
+    for name, part in (("a", known.where("event_id <> 2")), ("b", known.where("event_id = 2"))):
+        # Every seventh vehicle has no number, and every fifth report no place.
+        part.withColumn("p", F.expr("if(p % 7 = 0, NULL, p)")).withColumn("py", F.expr("if(event_id % 5 = 0, NULL, py)")).coalesce(
+            1).write.mode("append").parquet(str(tmp_path / "in"))
+    found = {"was_id": "event_id", "was_py": "py", "was": "event_time"}
+    out = stream_lag(watermarked(source_of(spark, str(tmp_path / "in"))), ["p"], ["py"], found, 3600)
+    stored, progress = appended(spark, out, tmp_path)
+    everything = read_positions(spark, "parquet", str(tmp_path / "in"))
+    order = "OVER (PARTITION BY p ORDER BY event_time, event_id)"
+    expected = everything.selectExpr(
+        "p", "py", "event_id", f"lag(event_id) {order} AS was_id", f"lag(py) {order} AS was_py",
+        f"unix_micros(lag(event_time) {order}) AS was", "event_time").where(passed_by(spark, str(tmp_path / "in")))
+    assert stored.count() == 1201 and rows_of(stored) == rows_of(expected)
+    lag = [o for p in progress for o in p.stateOperators if o.operatorName.startswith("transformWithState")]
+    assert 0 < max(o.numRowsTotal for o in lag) <= 4 * BUCKETS
+
+
 @pytest.mark.parametrize("ttl", [None, 100])
 def test_ordered_state_forgets_silent_vehicles_and_lines(spark, reports, tmp_path, ttl):
     rows = [{"p": 1, "at": 0, "c": "A"}, {"p": 1, "at": 90, "km": 1.0, "c": "A"}, {"p": 1, "at": 300, "km": 2.0, "c": "A"},
