@@ -300,25 +300,33 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
+def _cleaned(values: pa.Array, earlier: pa.Array, automata: Sequence, max_coverage: float) -> pa.Array:
+    """For each text, itself without its spans (null where it stays as it is) and whether its row goes. ``earlier``: starts
+    and ends of spans in turn. Texts become Python strings a megabyte at a time, and only those that change are returned."""
+    cuts, dropped = [], []
+    for part in row_chunks(pa.record_batch([values, earlier], names=["text", "earlier"]), "text"):
+        for value, flat in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            if not value:
+                cuts.append(None)
+                dropped.append(False)
+                continue
+            count, spans, _ = _match_all(automata, value)
+            if flat:
+                spans = _union(list(zip(flat[::2], flat[1::2], strict=True)), spans)
+            covered = sum(end - start for start, end in spans)
+            cuts.append(cut_spans(value, spans) if spans else None)
+            dropped.append(bool(covered) and covered > max_coverage * count)
+    return pa.StructArray.from_arrays([pa.array(cuts, pa.string()), pa.array(dropped, pa.bool_())], names=["cut", "dropped"])
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE,
                   window: int = WINDOW, shard_bytes: int = SHARD_BYTES, per_pass: int = PER_PASS) -> DataFrame:
     """``docs`` without rows covered over ``max_coverage`` and without the hit spans of the others; all columns stay."""
     shared, before = _earlier_hits(docs, text, items, "text", "item_id", window, shard_bytes, per_pass)
 
-    def cleaned_text(value: str, old: list[tuple[int, int]], automata: list) -> tuple[str | None, bool]:
-        if not value:
-            return value, False
-        count, spans, _ = _match_all(automata, value)
-        spans = _union(old, spans) if old else spans
-        covered = sum(end - start for start, end in spans)
-        return cut_spans(value, spans) if spans else value, bool(covered) and covered > max_coverage * count
-
-    @F.pandas_udf("struct<text:string,dropped:boolean>")
-    def cleaned(values: pd.Series, earlier: pd.Series) -> pd.DataFrame:
-        automata = [s.value for s in shared]
-        done = [cleaned_text(value, [] if flat is None else list(zip(flat[::2].tolist(), flat[1::2].tolist(), strict=True)), automata)
-                for value, flat in zip(values, earlier, strict=True)]
-        return pd.DataFrame({"text": pd.Series([t for t, _ in done], dtype=object), "dropped": pd.Series([d for _, d in done], dtype=bool)})
+    @F.arrow_udf("struct<cut:string,dropped:boolean>")
+    def cleaned(values: pa.Array, earlier: pa.Array) -> pa.Array:
+        return _cleaned(values, earlier, [s.value for s in shared], max_coverage)
 
     # Whole rows travel as one column, so that no column of theirs can clash.
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
@@ -328,7 +336,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_cov
         flat = F.flatten(F.transform("spans", lambda s: F.array(s["start"], s["end"])))
     # Said to be nondeterministic so that it runs once for the filter and the text.
     done = rows.select("row", cleaned.asNondeterministic()(F.col("text"), flat).alias("clean")).where(~F.col("clean.dropped"))
-    return done.select(*[F.col("clean.text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+    cut = F.coalesce(F.col("clean.cut"), F.col("row")[text])
+    return done.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,6 +123,13 @@ def text_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     return sigmoid(total * (SCALE / np.maximum(2 * counts, 1)) + weights[-1])
 
 
+def batch_scores(texts: pa.Array, weights: np.ndarray) -> pa.Array:
+    """Scores of a batch of any size, a megabyte of text at a time."""
+    batch = pa.record_batch([text_column(texts)], names=["text"])
+    found = [text_scores(part.column(0), weights) for part in row_chunks(batch, "text")]
+    return pa.array(np.concatenate(found) if found else np.zeros(0))
+
+
 def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: its key and a score from 0 to 1."""
 
@@ -138,12 +145,10 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text", key:
 def keep_good(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` with a score of ``threshold`` or more, all columns as they were."""
 
-    @F.pandas_udf("double")
-    def score(values):
-        texts = text_column(pa.array(values, pa.large_string()))
-        batch = pa.record_batch([texts], names=["text"])
-        found = [text_scores(part.column(0), weights) for part in row_chunks(batch, "text")]
-        return values.__class__(np.concatenate(found) if found else np.zeros(0))
+    # Texts stay in Arrow; as pandas strings a batch would be held several times over.
+    @F.arrow_udf("double")
+    def score(values: pa.Array) -> pa.Array:
+        return batch_scores(values, weights)
 
     return docs.where(score(F.coalesce(F.col(text), F.lit(""))) >= threshold)
 

@@ -28,7 +28,6 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -730,31 +729,37 @@ def scan_secrets(docs: DataFrame, weights: np.ndarray, text: str = "text", key:
     return _rows(docs, text, key).mapInArrow(scan, f"doc_id long, spans {SPANS}")
 
 
+def _without(value: str, spans: list[tuple[str, int, int]], mark: str) -> str | None:
+    """The text with ``mark`` in place of its spans, null where it has none."""
+    out, at = [], 0
+    for _, start, end in spans:
+        if start >= at:
+            out += [value[at:start], mark]
+        at = max(at, end)
+    return "".join(out) + value[at:] if out else None
+
+
+def _redacted(values: pa.Array, field: Emissions, step: np.ndarray, mark: str) -> pa.Array:
+    """The texts that change, null in place of all others. A segment of texts at a time becomes Python strings."""
+    out = []
+    for part in row_chunks(pa.record_batch([values], names=["text"]), "text", SEGMENT):
+        spans = batch_spans(text_column(part.column(0)), field, step)
+        out += [_without(value, found, mark) if value else None
+                for value, found in zip(part.column(0).to_pylist(), spans, strict=True)]
+    return pa.array(out, pa.string())
+
+
 def redact_secrets(docs: DataFrame, weights: np.ndarray, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` written as ``mark``; null texts stay null and all columns stay."""
     step = _steps(weights)
 
-    def without(value: str, spans: list[tuple[str, int, int]]) -> str:
-        out, at = [], 0
-        for _, start, end in spans:
-            if start >= at:
-                out += [value[at:start], mark]
-            at = max(at, end)
-        return "".join(out) + value[at:] if out else value
-
-    @F.pandas_udf("string")
-    def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def redacted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         field = Emissions(weights)
         for values in batches:
-            table = pa.record_batch([pa.array(values, pa.string())], names=["text"])
-            out = []
-            for part in row_chunks(table, "text", SEGMENT):
-                spans = batch_spans(text_column(part.column(0)), field, step)
-                out += [value if not value else without(value, found)
-                        for value, found in zip(part.column(0).to_pylist(), spans, strict=True)]
-            yield pd.Series(out, dtype=object)
-
-    return docs.withColumn(text, redacted(F.col(text)))
+            yield _redacted(values, field, step, mark)
+
+    return docs.withColumn(text, F.coalesce(redacted(F.col(text)), F.col(text)))
 
 
 def _of_kind(kind: str):

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetlens.llm import decontaminate as D
@@ -474,3 +476,32 @@ def test_many_shards_find_what_one_automaton_finds(spark, docs_of, shard_bytes,
     kept = {r["doc_id"]: r["text"] for r in D.decontaminate(docs, bench, shard_bytes=shard_bytes, per_pass=per_pass).collect()}
     assert kept == {i: t if not t else D.cut_spans(t, plain[i][1]) for i, t in enumerate(texts + texts[:5])
                     if sum(e - s for s, e in plain[i][1]) <= 0.5 * plain[i][0]}
+
+
+def _peak(run):
+    tracemalloc.start()
+    try:
+        made = run()
+        return made, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_stages_hold_a_part_of_a_batch_and_return_only_texts_that_change():
+    item = " ".join(f"item{i}" for i in range(12))
+    texts = [None, "", f"before {item} " + "after " * 20] + [f"row {i} " + f"word{i % 50} " * 400 for i in range(9_000)]
+    batch = pa.array(texts, pa.string())
+    automata = [D.SuffixAutomaton([("a", D.split_words(item))])]
+    none = pa.nulls(len(texts), pa.list_(pa.int64()))
+    made, peak = _peak(lambda: D._cleaned(batch, none, automata, 0.5))
+    assert peak < batch.nbytes / 3
+    cuts = made.field("cut")
+    assert cuts.null_count == len(texts) - 1 and cuts[2].as_py() == "before  " + "after " * 20
+    assert not any(made.field("dropped").to_pylist())
+    weights = np.zeros(quality.BUCKETS + 1, np.float32)
+    scores, peak = _peak(lambda: quality.batch_scores(batch, weights))
+    assert peak < 1.5 * batch.nbytes and scores.to_pylist() == [0.5] * len(texts)
+    few = pa.array([None, "", "plain words", "password = abcdef123 here"] + ["more plain words"] * 50, pa.string())
+    plain = secrets.train([])
+    red = secrets._redacted(few, secrets.Emissions(plain), secrets._steps(plain), "[SECRET]").to_pylist()
+    assert [i for i, value in enumerate(red) if value is not None] == [3] and red[3].endswith("[SECRET] here")
